@@ -5,9 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import table
+from .decontam import decontaminate
+from .linededup import drop_common_lines
+from .lm import score_texts
+from .quality import fit_quality, score_quality
+from .sampling import fold
+from .simhash import simhash_components
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -16,14 +24,86 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(path(name))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 10-word window of a benchmark item."""
+    hits = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spans=False)
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the rows whose crc32 of the id is no multiple of 5."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), fold(F.col("id"), 5) != 0)
+    return score_toxicity(docs, model).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of every document over 3-word shingles, linked at 3 or fewer bits."""
+    return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose key is in at least 10 documents."""
+    kept = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Round trip of every document through the byte-level BPE of 50k tokens."""
     return bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path(), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learnt from the rows whose crc32 of the id modulo 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), fold(F.col("id"), 4) != 2)
+    return score_quality(docs, model).select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code length of every document, learnt from the rows whose crc32 of the id modulo 7 is not 2."""
+    return score_texts(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) != 2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_bpe,)}
+    return {f.__name__: f for f in (op2_decontamination, op4_toxicity, op5_simhash, op7_line_dedup, op8_bpe, op9_quality, op10_lm)}
+
+
+#: DuckDB's form of the blanks that a line key loses at both ends.
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_FOLD = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2_SQL = f"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_FOLD.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(list_slice(w, i, i + 9), ' ') AS body
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM windows),
+runs AS (
+  SELECT r, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS body
+  FROM (SELECT r, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM words, sizes WHERE len(w) >= k)),
+hits AS (SELECT r, i, k, item FROM runs JOIN windows USING (k, body)),
+found AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + k - 1)) AS place FROM (SELECT DISTINCT r, i, k FROM hits)) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN found USING (r) LEFT JOIN named USING (r)
+"""
+
+OP7_SQL = f"""
+WITH lines AS (
+  SELECT r, doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos
+  FROM (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents)),
+keyed AS (SELECT r, doc_id, line, pos, {_FOLD.format(f"trim(line, {_BLANKS})")} AS key FROM lines),
+common AS (SELECT key, true AS bad FROM keyed WHERE length(key) > 0 GROUP BY key HAVING count(DISTINCT r) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE bad) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE bad IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common USING (key) GROUP BY r
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
