@@ -2,8 +2,8 @@
 
 A token's bucket is its crc32 modulo ``BUCKETS``. Each bucket has a fixed sparse index vector of +1 and -1; its context
 vector is the sum of the index vectors of its neighbours within ``REACH`` tokens, over the sample. A document is pooled into
-the mean of its tokens' index vectors, the mean of their context vectors (each of length 1) and its length. A network of one
-hidden layer is fitted on that, and a temperature on rows kept apart makes its outputs probabilities.
+the mean of its tokens' index vectors, the mean of their context vectors (each of length 1), its length, and how much the pooling is the work of a few tokens. A
+network of one hidden layer is fitted on that, and a temperature on rows kept apart makes its outputs probabilities.
 
 All is fitted on at most about ``sample_rows`` labelled rows; buckets and dimensions bound what is broadcast (16 MB).
 """
@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ from .sampling import drawn, labelled
 #: Labelled rows that the model is fitted on, about, at most.
 SAMPLE_ROWS = 20_000
 BUCKETS, DIM, ONES, REACH = 1 << 16, 64, 4, 2
-HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
+HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-2
 #: Tasks that gather context vectors, and ranges of buckets in which these are summed; with SAMPLE_ROWS they bound a group.
 TASKS, RANGES = 12, 8
 #: A probability of at least this much is called good.
@@ -70,17 +71,21 @@ def context_sums(texts: Iterator[str]) -> np.ndarray:
 
 
 def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
-    """Mean of the rows of vectors that the text's tokens have, and the logarithm of their number; zeros without tokens."""
-    counts = Counter(_TOKEN.findall(text))
-    out = np.zeros(vectors.shape[1] + 1, np.float32)
+    """Mean of the rows of vectors that the text's tokens have, the logarithms of the number of tokens and of tokens for
+    each different one, the share of tokens that have themselves within reach, and the length of the mean index vector;
+    zeros without tokens."""
+    tokens = _TOKEN.findall(text)
+    counts = Counter(tokens)
+    width = vectors.shape[1]
+    out = np.zeros(width + 4, np.float32)
     if counts:
         n = np.fromiter(counts.values(), np.float32, len(counts))
         ids = np.fromiter(map(bucket, counts), np.int64, len(counts))
         total = n.sum()
         for at in range(0, len(ids), 4096):
-            out[:-1] += n[at : at + 4096] @ vectors[ids[at : at + 4096]]
-        out[:-1] /= total
-        out[-1] = np.log1p(total)
+            out[:width] += n[at : at + 4096] @ vectors[ids[at : at + 4096]]
+        out[:width] /= total
+        out[width:] = np.log1p(total), np.log(total / len(n)), max(sum(map(eq, tokens, tokens[k:])) for k in range(1, REACH + 1)) / total, np.linalg.norm(out[:DIM])
     return out
 
 

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
-from .common import table
+from .common import scratch_path, table
 from .decontam import decontaminate
+from .htmltext import extract_main_text
 from .linededup import drop_common_lines
 from .lm import score_texts
 from .quality import fit_quality, score_quality
 from .sampling import fold
 from .simhash import simhash_components
+from .topk import top_inner_products
 from .toxicity import fit_toxicity, score_toxicity
+from .warc import read_warc, with_record_types, write_warc
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -24,12 +27,32 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(path(name))
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a 10-word window of a benchmark item."""
     hits = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spans=False)
     return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written and read back."""
+    path = scratch_path(spark, "archives")
+    write_warc(with_record_types(table(spark, sf_dir, "pages").select("page_id", "url", "html")), path)
+    records = read_warc(spark, path, payload=False)
+    stored = F.col("record_type") == "response"
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        F.when(stored, F.col("stored_bytes")).otherwise(F.col("declared_bytes")).alias("payload_bytes"),
+        F.when(stored, F.col("stored_digest")).otherwise(F.col("declared_digest")).alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the rows whose crc32 of the id is no multiple of 5."""
     docs = table(spark, sf_dir, "documents")
@@ -42,6 +65,11 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of every 50th vector with all others."""
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines whose key is in at least 10 documents."""
     kept = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
@@ -66,7 +94,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_decontamination, op4_toxicity, op5_simhash, op7_line_dedup, op8_bpe, op9_quality, op10_lm)}
+    return {f.__name__: f for f in (op1_main_text, op2_decontamination, op3_warc, op4_toxicity, op5_simhash, op6_topk, op7_line_dedup, op8_bpe, op9_quality, op10_lm)}
 
 
 #: DuckDB's form of the blanks that a line key loses at both ends.
@@ -105,5 +133,26 @@ FROM keyed LEFT JOIN common USING (key) GROUP BY r
 """
 
 
+OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+g AS (SELECT body, max(page_id) AS first FROM p WHERE octet_length(encode(body)) >= 1000 GROUP BY body)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes, sha1(body) AS payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p LEFT JOIN g USING (body)
+"""
+
+OP6_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op6_topk": OP6_SQL, "op7_line_dedup": OP7_SQL}

@@ -6,8 +6,10 @@ ones; texts labelled harmless are not used as negatives. With the class prior q
 turns negative the step goes the other way, which keeps a flexible model from fitting the positives by heart. The prior is
 the share of toxic rows among the labelled rows of the training fold.
 
-Features are which words a text has (A-Z lower-cased, letters and whatever is not ASCII), hashed into ``BUCKETS``; the model is
-a numpy logistic one. Words that are in fewer than ``MIN_TEXTS`` texts of the sample have no weight.
+Features are which words a text has (A-Z lower-cased, letters and whatever is not ASCII) and with which 3 to 7 letters its
+words begin, hashed into ``BUCKETS``; the model is a numpy logistic one. Only features that are in ``MIN_TEXTS`` positives and
+stand out in them against the unlabelled texts by ``LEAST_Z`` standard errors have a weight: the positives are few and words
+are many, and what does not stand out would only be learnt by heart.
 """
 
 from __future__ import annotations
@@ -27,16 +29,22 @@ from .sampling import drawn, labelled
 
 #: Rows that the model is fitted on, about, at most: confirmed toxic ones, and unlabelled ones.
 POSITIVE_ROWS, UNLABELLED_ROWS = 8_000, 16_000
-BUCKETS, MIN_TEXTS = 1 << 18, 5
-STEPS, RATE, DECAY = 160, 0.08, 2e-5
+BUCKETS, MIN_TEXTS, LEAST_Z = 1 << 18, 4, 6.0
+STEPS, RATE, DECAY = 300, 0.1, 1e-4
+#: Lengths of the beginnings of words that are features.
+STEMS = (3, 4, 5, 6, 7)
 #: Prior where no labelled row tells one.
 PRIOR = 0.1
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 def features(text: str) -> np.ndarray:
-    """The buckets of the words of a text, ascending."""
-    return np.unique(np.array([zlib.crc32(w) & (BUCKETS - 1) for w in set(text.encode().translate(_FOLD).split())], np.int32))
+    """The buckets of a text's features, ascending."""
+    words = set(text.encode().translate(_FOLD).decode().split())
+    found = set(words)
+    for k in STEMS:
+        found.update(["^" + w[:k] for w in words if len(w) > k])
+    return np.unique(np.array([zlib.crc32(w.encode()) & (BUCKETS - 1) for w in found], np.int32))
 
 
 @dataclass
@@ -54,14 +62,17 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     rows = positive + unlabelled
     size = np.array([len(r) for r in rows])
     flat = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-    enough = np.bincount(flat, minlength=BUCKETS) >= MIN_TEXTS
+    n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
+    head = int(size[: len(positive)].sum())
+    with_p, with_u = np.bincount(flat[:head], minlength=BUCKETS), np.bincount(flat[head:], minlength=BUCKETS)
+    usual = np.minimum((with_u + 1) / (n_u + 2), 0.999)
+    enough = (with_p >= MIN_TEXTS) & ((with_p / n_p - usual) / np.sqrt(usual * (1 - usual) / n_p) >= LEAST_Z)
     used = np.flatnonzero(enough)
     column = np.full(BUCKETS, -1)
     column[used] = np.arange(len(used))
     row = np.repeat(np.arange(len(rows)), size)[enough[flat]]
     flat = column[flat[enough[flat]]]
     p = np.arange(len(rows)) < len(positive)
-    n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
     w = np.zeros(len(used) + 1)
     w[-1] = np.log(prior / (1 - prior))
     first, second = np.zeros_like(w), np.zeros_like(w)
