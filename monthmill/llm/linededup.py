@@ -26,6 +26,8 @@ MIN_DOCS = 10
 FANOUT = 4
 #: Batches into which one table is dealt.
 BATCHES = 4
+#: Tasks to which the rows of one key are dealt when its rows are looked up.
+SALTS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -125,18 +127,17 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     spark = docs.sparkSession
     text = F.col(text_col)
     runs = LineRuns(spark, min_docs, fanout)
-    texts = docs.select(text.alias("t"))
-    staged = scratch_path(spark, "line-batches")
-    batch = F.pmod(F.xxhash64(F.lit("batch"), "t"), F.lit(batches)).cast("int")
-    texts.select(batch.alias("batch"), F.explode(key_hashes(F.col("t"))).alias("k")).groupBy("batch", "k.a", "k.b").agg(F.count("*").alias("n")).write.partitionBy("batch").parquet(staged)
-    counts = spark.read.schema("a bigint, b bigint, n bigint, batch int").parquet(staged)
-    for i in range(batches):
-        runs.put(counts.where(F.col("batch") == i).select("a", "b", "n"))
-    discard(spark, staged)
-    bad = runs.common()
-    # a row is known by its text: rows with equal texts lose equal lines
-    mine = docs.select(text.alias("t")).select(F.xxhash64("t").alias("ta"), F.xxhash64(F.lit("text"), "t").alias("tb"), F.explode(key_hashes(F.col("t"))).alias("k")).select("ta", "tb", "k.a", "k.b")
-    drops = mine.join(bad, ["a", "b"], "left_semi").groupBy("ta", "tb").agg(F.collect_set(F.struct("a", "b")).alias("bad"))
+    # the keys of each row, hashed once; a row is known by its text, as rows with equal texts lose equal lines
+    staged = scratch_path(spark, "line-keys")
+    own = docs.select(text.alias("t")).select(F.xxhash64("t").alias("ta"), F.xxhash64(F.lit("text"), "t").alias("tb"), F.explode(key_hashes(F.col("t"))).alias("k"))
+    own.select("ta", "tb", "k.a", "k.b", F.pmod("ta", F.lit(batches)).cast("int").alias("batch")).write.partitionBy("batch").parquet(staged)
+    keys = spark.read.schema("ta bigint, tb bigint, a bigint, b bigint, batch int").parquet(staged)
+    for batch in range(batches):
+        runs.put(keys.where(F.col("batch") == batch).groupBy("a", "b").agg(F.count("*").alias("n")))
+    # a key of very many rows is dealt to SALTS tasks, and the common keys to each of them
+    bad = runs.common().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    mine = keys.select("ta", "tb", "a", "b", F.pmod("tb", F.lit(SALTS)).cast("int").alias("salt"))
+    drops = mine.join(bad, ["a", "b", "salt"], "left_semi").groupBy("ta", "tb").agg(F.collect_set(F.struct("a", "b")).alias("bad"))
     ta, tb, hit = (fresh(docs, c) for c in ("mm_ta", "mm_tb", "mm_bad"))
     rest = [c for c in docs.columns if c.lower() not in ("kept_text", "n_lines", "n_dropped")]
     named = docs.select(*[F.col(f"`{c}`") for c in rest], *([] if text_col in rest else [text]), F.xxhash64(text).alias(ta), F.xxhash64(F.lit("text"), text).alias(tb))
