@@ -26,8 +26,8 @@ WINDOW = 10
 #: Characters of windows in one automaton; bounds the broadcast and each worker's automaton (about 60 bytes a character).
 MAX_CHARS = 4_000_000
 
-#: Word characters of the normal form; everything else in ASCII separates words.
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words in a text whose letters are not lower-cased yet; everything else in ASCII separates words.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: Bytes to bytes of the normal form: A-Z to a-z, separators to a space, the rest stays.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 

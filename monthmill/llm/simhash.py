@@ -1,6 +1,6 @@
 """SimHash near-dedup by anchor-point covering.
 
-A fingerprint has 64 bits. Two fingerprints within ``max_bits`` differing bits have, among ``max_bits // 2 + 1`` equal
+A fingerprint has 64 bits. Two fingerprints within ``max_bits`` differing bits have, among ``max_bits // 2 + 1`` (two at least) equal
 parts of the word, one part in which they differ in at most one bit. In each part the anchors are the words of a covering
 code of radius 1: a perfect Hamming code on the first 2**r - 1 bits of the part, and every pattern of the bits left over.
 A fingerprint's home is the nearest anchor; it is replicated to every anchor within covering radius plus threshold, that is
@@ -93,7 +93,7 @@ def part_code(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def parts_of(max_bits: int) -> int:
-    parts = max_bits // 2 + 1
+    parts = max(2, max_bits // 2 + 1)
     if not 0 <= max_bits <= 7:
         raise ValueError("max_bits must be 0 to 7: beyond, a part has too few bits to tell fingerprints apart")
     return parts

@@ -74,17 +74,22 @@ def _header(name: str) -> Column:
     return F.nullif(F.regexp_extract(F.concat(F.lit("\r\n"), F.col("head"), F.lit("\r\n")), f"(?i)\\r\\n{name}:[ \\t]*([^\\r\\n]*?)[ \\t]*\\r\\n", 1), F.lit(""))
 
 
-def candidates(spark: SparkSession, path: str, payload: bool) -> DataFrame:
-    """One row for each piece of each file: (file, block, seq) tell its place, start and successor its offsets, head its
-    header, digest and body_bytes its payload's; raw is kept where the record may go on in the next piece."""
+def scan(spark: SparkSession, path: str) -> DataFrame:
+    """The pieces between separators with their place: file, block (the split's offset), seq (ascending in a split)."""
     text = spark.read.option("lineSep", GAP + MAGIC).text(path)
-    rows = text.select("value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
+    return text.select("value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
+
+
+def candidates(spark: SparkSession, path: str, payload: bool) -> DataFrame:
+    """One row for each piece: its place, its header and its payload's digest; raw where the record may go on in the next."""
+    rows = scan(spark, path)
     first = (F.col("block") == 0) & F.col("value").startswith(MAGIC)
     rows = rows.withColumns({"piece": F.octet_length("value").cast("long"), "opens": first, "body": F.when(first, F.substring("value", len(MAGIC) + 1, 2147483647)).otherwise(F.col("value"))})
     rows = rows.withColumn("head", F.substring_index("body", GAP, 1)).withColumn("head_bytes", (F.octet_length("head") + len(GAP)).cast("long"))
     size = _header("Content-Length").try_cast("long")
     there = F.octet_length("body").cast("long") - F.col("head_bytes")
-    rows = rows.withColumn("size", F.when((there >= 0) & (size >= 0), size)).withColumn("there", there)
+    # a header whose own blank line was taken for the separator's has a payload that begins with magic
+    rows = rows.withColumn("size", F.when(((there >= 0) | (there == -len(GAP))) & (size >= 0), size)).withColumn("there", there)
     # the last record of a file has its own blank lines behind it
     whole = F.coalesce((F.col("there") == F.col("size")) | (F.col("there") == F.col("size") + len(GAP)), F.lit(False))
     content = F.when(whole, F.substring(F.col("body").cast("binary"), (F.col("head_bytes") + 1).cast("int"), F.col("size").cast("int")))
@@ -146,6 +151,12 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     chain, _ = materialise(reachable(pieces).withColumn("linked", F.lit(True)), "warc-chain")
     known = pieces.join(chain, ["file", "start"], "left").withColumn("linked", F.col("linked").isNotNull() & F.col("size").isNotNull())
     broken = known.where(~F.col("linked") | ~F.col("whole"))
+    # pieces of a payload that look like whole records were not kept; there are few, and the files are read again for them
+    lost = known.where(~F.col("linked") & F.col("whole")).select("file", "block", "seq", F.col("piece").alias("bytes"))
+    if not lost.isEmpty():
+        again = scan(spark, path).join(lost, ["file", "block", "seq"])
+        same = F.when(F.octet_length("value") == F.col("bytes"), F.col("value").cast("binary")).otherwise(F.raise_error(F.lit("the archives were split anew")).cast("binary"))
+        broken = broken.join(again.select("file", "block", "seq", same.alias("again")), ["file", "block", "seq"], "left").withColumn("raw", F.coalesce("raw", "again"))
     owner = F.last(F.when(F.col("linked"), F.col("start")), ignorenulls=True).over(Window.partitionBy("file").orderBy("start"))
     parts = broken.withColumn("owner", owner).where(F.col("owner").isNotNull()).groupBy("file", F.col("owner").alias("start")).agg(F.sort_array(F.collect_list(F.struct("start", "raw"))).alias("parts"))
     joined = F.array_join(F.transform("parts", lambda p: p["raw"].cast("string")), GAP + MAGIC).cast("binary")
