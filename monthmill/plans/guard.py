@@ -71,7 +71,7 @@ def guarded_sql(spark: SparkSession, sql: str, schemas: set[str], max_rows: int
 
 
 def list_tables(spark: SparkSession, schema: str) -> list[tuple[str, str | None]]:
-    return [(t.name, t.description) for t in spark.catalog.listTables(schema)]
+    return [(t.name, t.description) for t in spark.catalog.listTables(schema) if not t.isTemporary]
 
 
 def describe(df: DataFrame, rows: int = 5) -> tuple[list[tuple[str, str]], DataFrame]:
