@@ -11,6 +11,9 @@ at most 17 replicas in it, whatever the size of the corpus.
 Equal fingerprints are one node. At an anchor only a spanning forest of the links is kept, at most one edge a replica, so a
 large group of near copies does not become all its pairs. An anchor with more than ``cell_rows`` replicas is dealt into
 cells: homes by one hash, replicas by another, each pair of them compared in one cell.
+
+Where near copies are to be similar in their shingles (:func:`one_of_each`), fingerprints of distinct words, which near copies
+keep close, find them, and a 128-bit sketch of the shingles' least hashes decides at the anchor.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,41 +35,70 @@ CELL_ROWS = 20_000
 #: One of so many fingerprints, by hash, is looked at to find such anchors; only the dealing depends on it, no result.
 PROBE = 16
 HOME, REPLICA = 1, 2
+SKETCH = ["sketch_a", "sketch_b"]
+SKETCH_BITS = 128
 
 
-def fingerprint(text: str, shingle: int, seed: int = 42) -> int:
-    """A-Z lower-cased, words of ``[^\\x20\\x09-\\x0D]+``, XXH64 of each run of ``shingle`` words (of all, if fewer), repeats
-    included; a bit is set where over half of the hashes have it. No words: 0."""
+def shingle_hashes(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of each run of ``shingle`` words joined by a space (of all words, if fewer), as rows of 8 bytes, high first."""
     from xxhash import xxh64_digest
 
-    words = text.encode().lower().split()
-    if not words:
-        return 0
     joined = b" ".join(words)
     n = max(1, len(words) - shingle + 1)
     ends = np.fromiter(map(len, words), np.int64, len(words))
     np.cumsum(ends + 1, out=ends)
     starts = np.concatenate([[0], ends[: n - 1]]).tolist()
     stops = (ends[min(shingle, len(words)) - 1 :] - 1).tolist()
-    hashes = np.frombuffer(b"".join([xxh64_digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)]), np.uint8).reshape(n, 8)
+    return np.frombuffer(b"".join([xxh64_digest(joined[a:b], seed) for a, b in zip(starts, stops, strict=True)]), np.uint8).reshape(n, 8)
+
+
+def fingerprint(text: str, shingle: int, seed: int = 42, distinct: bool = False) -> int:
+    """A-Z lower-cased, words of ``[^\\x20\\x09-\\x0D]+``, XXH64 of each run of ``shingle`` words (of all, if fewer), repeats
+    included unless ``distinct``; a bit is set where over half of the hashes have it. No words: 0."""
+    words = text.encode().lower().split()
+    if not words:
+        return 0
+    hashes = shingle_hashes(words, shingle, seed) if not (distinct and shingle == 1) else shingle_hashes(list(set(words)), 1, seed)
+    if distinct and shingle > 1:
+        hashes = np.unique(hashes, axis=0)
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, 8192):
+    for at in range(0, len(hashes), 8192):
         ones += np.unpackbits(hashes[at : at + 8192], axis=1).sum(axis=0, dtype=np.uint16)
-    return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
 
 
-def simhash(df: DataFrame, shingle: int, text_col: str = "text", keep: Sequence[str] = ("doc_id",), seed: int = 42) -> DataFrame:
-    """The ``keep`` columns and ``fingerprint`` (long, the bits of :func:`fingerprint`) of every whole text; null is ''."""
+def sketch(text: str, shingle: int, seed: int = 42) -> tuple[int, int]:
+    """128 bits of which two texts agree in a share of (1 + J) / 2, about, for the Jaccard similarity J of their shingles: the
+    low bit of the least hash in each of 128 ranges, an empty range taking the next one's. No words: 0."""
+    words = text.encode().lower().split()
+    if not words:
+        return 0, 0
+    hashes = np.sort(shingle_hashes(words, shingle, seed).view(">u8").ravel().astype(np.uint64))
+    ranges = np.arange(128, dtype=np.uint64)
+    least = hashes[np.minimum(np.searchsorted(hashes, ranges << np.uint64(57)), len(hashes) - 1)]
+    own = np.where(least >> np.uint64(57) == ranges, np.arange(128), 256)
+    donor = np.minimum.accumulate(np.r_[own, own + 128][::-1])[::-1][:128] % 128
+    high, low = np.packbits((least[donor] & np.uint64(1)).astype(np.uint8)).view(">i8").tolist()
+    return high, low
+
+
+def simhash(df: DataFrame, shingle: int, text_col: str = "text", keep: Sequence[str] = ("doc_id",), seed: int = 42, distinct: bool = False, sketch_shingle: int | None = None) -> DataFrame:
+    """The ``keep`` columns and ``fingerprint`` (long, the bits of :func:`fingerprint`) of every whole text, with
+    ``sketch_shingle`` also ``sketch_a`` and ``sketch_b`` (the bits of :func:`sketch`); null is ''."""
     require(df, text_col, *keep)
-    if "fingerprint" in [k.lower() for k in keep]:
-        raise ValueError("a kept column is named fingerprint")
+    names = ["fingerprint", *(SKETCH if sketch_shingle else [])]
+    if clash := {k.lower() for k in keep} & set(names):
+        raise ValueError(f"kept columns named as results: {', '.join(sorted(clash))}")
     keep = list(keep)
-    schema = T.StructType([*(df.schema[k] for k in keep), T.StructField("fingerprint", T.LongType(), False)])
+    schema = T.StructType([*(df.schema[k] for k in keep), *(T.StructField(n, T.LongType(), False) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            made = np.array([fingerprint(t or "", shingle, seed) for t in batch.column(len(keep)).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(made, pa.int64())], names=[*keep, "fingerprint"])
+            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
+            made = [np.array([fingerprint(t, shingle, seed, distinct) for t in texts], np.uint64).view(np.int64)]
+            if sketch_shingle:
+                made += list(np.array([sketch(t, sketch_shingle, seed) for t in texts], np.int64).reshape(-1, 2).T)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *(pa.array(m, pa.int64()) for m in made)], names=[*keep, *names])
 
     return df.select(*keep, text_col).mapInArrow(run, schema)
 
@@ -113,23 +145,29 @@ def anchors(fps: np.ndarray, part: int, parts: int) -> tuple[np.ndarray, np.ndar
     return row, anchor, np.where(column == 0, HOME | REPLICA, REPLICA).astype(np.int32)
 
 
-def replicas(nodes: DataFrame, max_bits: int) -> DataFrame:
-    """Rows (anchor, fingerprint, role) of every fingerprint."""
-    parts = parts_of(max_bits)
+def replicas(nodes: DataFrame, max_bits: int, key: Sequence[str]) -> DataFrame:
+    """Rows (anchor, role, key...) of every node; the key begins with the fingerprint."""
+    parts, names = parts_of(max_bits), ["anchor", "role", *key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, 4096):
-            fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             for part in range(parts):
-                row, anchor, role = anchors(fps, part, parts)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(fps[row].view(np.int64)), pa.array(role)], names=["anchor", "fingerprint", "role"])
+                row, anchor, role = anchors(columns[0].view(np.uint64), part, parts)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(role), *(pa.array(c[row]) for c in columns)], names=names)
+
+    return nodes.select(*key).mapInArrow(run, "anchor bigint, role int, " + ", ".join(f"{k} bigint" for k in key))
 
-    return nodes.select("fingerprint").mapInArrow(run, "anchor bigint, fingerprint bigint, role int")
 
+def forest(groups: np.ndarray, roles: np.ndarray, words: Sequence[np.ndarray], limits: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (row, row) of a spanning forest of the links within each group; groups are numbers in ascending order. Rows are
+    linked where the fingerprints (words[0]) and the sketches (the other words) differ in at most so many bits."""
+    n = len(groups)
+    fps, sketches = words[0], words[1:]
+
+    def far(i, j):
+        return sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in sketches) > limits[1] if sketches else np.zeros(len(i), bool)
 
-def forest(groups: np.ndarray, fps: np.ndarray, roles: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the links within each group; groups are numbers in ascending order."""
-    n = len(fps)
     label = np.arange(n)
     home = (roles & HOME) > 0
 
@@ -154,30 +192,39 @@ def forest(groups: np.ndarray, fps: np.ndarray, roles: np.ndarray, max_bits: int
     place = np.arange(n)
     for lag in range(1, min(64, int(size_of[small].max(initial=1)))):
         i = place[:-lag][small[:-lag] & (groups[:-lag] == groups[lag:]) & (home[:-lag] | home[lag:])]
-        i = i[np.bitwise_count(fps[i] ^ fps[i + lag]) <= max_bits]
+        i = i[np.bitwise_count(fps[i] ^ fps[i + lag]) <= limits[0]]
+        i = i[~far(i, i + lag)]
         join(i, i + lag)
     for start, size in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
         inside = np.arange(start, start + size)
         for at in range(0, size, 256):
             mine = inside[at : at + 256]
             mine = mine[home[mine]]
-            x, y = np.nonzero(np.bitwise_count(fps[mine][:, None] ^ fps[inside][None, :]) <= max_bits)
-            join(mine[x], inside[y])
+            x, y = np.nonzero(np.bitwise_count(fps[mine][:, None] ^ fps[inside][None, :]) <= limits[0])
+            near = ~far(mine[x], inside[y])
+            join(mine[x[near]], inside[y[near]])
     moved = np.flatnonzero(label != place)
-    return fps[moved], fps[label[moved]]
+    return moved, label[moved]
+
 
+def node(key: Sequence[str], prefix: str = "") -> Column:
+    """The key as one column: the fingerprint, or a struct of it and the sketch."""
+    return F.col(prefix + key[0]).alias("node") if len(key) == 1 else F.struct(*[F.col(prefix + k).alias(k) for k in key]).alias("node")
 
-def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Edges (a, b) between fingerprints that connect all that are linked at an anchor (nodes: distinct fingerprints)."""
-    rows = replicas(nodes, max_bits)
-    probe = replicas(nodes.where(F.pmod(F.xxhash64("fingerprint"), F.lit(PROBE)) == 0), max_bits)
+
+def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS, max_sketch: int = SKETCH_BITS) -> DataFrame:
+    """Edges (a, b) between nodes that connect all that are linked at an anchor (nodes: distinct fingerprints, or
+    fingerprints with sketches)."""
+    key = ["fingerprint", *[c for c in SKETCH if c in nodes.columns]]
+    rows = replicas(nodes, max_bits, key)
+    probe = replicas(nodes.where(F.pmod(F.xxhash64(*key), F.lit(PROBE)) == 0), max_bits, key)
     hot, hot_path = materialise(probe.groupBy("anchor").agg((F.count("*") * PROBE).alias("n")).where(F.col("n") > cell_rows).select("anchor", F.ceil(F.col("n") / cell_rows).cast("int").alias("cells")), "hot-anchors")
     if hot.isEmpty():
         cells = rows.withColumn("cell", F.lit(0))
         discard(nodes.sparkSession, hot_path)
     else:
         dealt = rows.join(hot, "anchor", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
-        mine = F.pmod(F.xxhash64("fingerprint"), F.col("cells")).cast("int")
+        mine = F.pmod(F.xxhash64(*key), F.col("cells")).cast("int")
         other = F.sequence(F.lit(0), F.col("cells") - 1)
         split = F.col("cells") > 1
         as_home = F.when((F.col("role").bitwiseAND(HOME) > 0) & split, F.transform(other, lambda o: F.struct((mine * F.col("cells") + o).alias("cell"), F.lit(HOME).alias("role"))))
@@ -185,7 +232,9 @@ def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFr
         whole = F.when(~split, F.array(F.struct(F.lit(0).alias("cell"), F.col("role"))))
         none = F.array().cast("array<struct<cell:int,role:int>>")
         placed = F.explode(F.concat(*[F.coalesce(x, none) for x in (whole, as_home, as_replica)])).alias("p")
-        cells = dealt.select("anchor", "fingerprint", placed).select("anchor", "fingerprint", "p.role", "p.cell")
+        cells = dealt.select("anchor", *key, placed).select("anchor", *key, "p.role", "p.cell")
+
+    made = [f"{side}_{k}" for side in "ab" for k in key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -193,21 +242,21 @@ def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFr
 
         def settle(final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal held, rows_held
-            anchor, cell, fps, role = (np.concatenate(x) for x in zip(*held, strict=True))
+            anchor, cell, role, *words = (np.concatenate(x) for x in zip(*held, strict=True))
             turn = np.flatnonzero((anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])) + 1
             cut = len(anchor) if final else int(turn[-1]) if len(turn) else 0
             group = np.zeros(len(anchor), np.int64)
             group[turn] = 1
             group = np.cumsum(group)
-            held, rows_held = [(anchor[cut:], cell[cut:], fps[cut:], role[cut:])], len(anchor) - cut
+            held, rows_held = [(anchor[cut:], cell[cut:], role[cut:], *(w[cut:] for w in words))], len(anchor) - cut
             if cut:
-                a, b = forest(group[:cut], fps[:cut].view(np.uint64), role[:cut], max_bits)
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+                a, b = forest(group[:cut], role[:cut], [w[:cut].view(np.uint64) for w in words], (max_bits, max_sketch))
+                yield pa.RecordBatch.from_arrays([pa.array(w[side]) for side in (a, b) for w in words], names=made)
 
         limit = 200_000
         for batch in batches:
             if batch.num_rows:
-                held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)))
+                held.append(tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3 + len(key))))
                 rows_held += batch.num_rows
                 if rows_held >= limit:
                     yield from settle(False)
@@ -215,25 +264,29 @@ def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFr
         if rows_held:
             yield from settle(True)
 
-    dealt_out = cells.select("anchor", "cell", "fingerprint", "role").repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
-    return dealt_out.mapInArrow(run, "a bigint, b bigint").distinct()
+    dealt_out = cells.select("anchor", "cell", "role", *key).repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
+    edges = dealt_out.mapInArrow(run, ", ".join(f"{m} bigint" for m in made)).distinct()
+    return edges.select(node(key, "a_").alias("a"), node(key, "b_").alias("b"))
 
 
-def near_components(fps: DataFrame, id_col: str = "doc_id", max_bits: int = 3, cell_rows: int = CELL_ROWS) -> DataFrame:
+def near_components(fps: DataFrame, id_col: str = "doc_id", max_bits: int = 3, cell_rows: int = CELL_ROWS, max_sketch: int = SKETCH_BITS) -> DataFrame:
     """Rows of fps (any columns, among them id_col and ``fingerprint``) with ``component_id``: the least id reachable over
     links of at most max_bits differing bits, the row's own included; null ids count only where a component has no other;
-    and ``component_root``, its least fingerprint, which tells components apart also where ids repeat. fps is read twice, so give it as a written table."""
+    and ``component_root``, its least fingerprint (with its sketch, if fps has sketches: then links differ in at most
+    max_sketch bits of these too), which tells components apart also where ids repeat. fps is read twice, so give it as a
+    written table."""
     require(fps, id_col, "fingerprint")
     spark = fps.sparkSession
-    nodes, _ = materialise(fps.groupBy("fingerprint").agg(F.min(id_col).alias("least")), "nodes")
-    edges = links(nodes, max_bits, cell_rows)
-    roots, _ = materialise(components(edges), "roots")
+    key = ["fingerprint", *[c for c in SKETCH if c in fps.columns]]
+    nodes, _ = materialise(fps.groupBy(*key).agg(F.min(id_col).alias("least")), "nodes")
+    roots, _ = materialise(components(links(nodes, max_bits, cell_rows, max_sketch)), "roots")
     release_shuffles(spark)
-    linked = nodes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint").select("fingerprint", "root", "least")
+    named = nodes.select(node(key), *key, "least")
+    linked = named.join(roots, "node").select(*key, "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("least"))
-    labels = linked.drop("least").join(least, "root").select("fingerprint", F.col("least").alias("component_id"), F.col("root").alias("component_root"))
-    alone = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left_anti").select("fingerprint", F.col("least").alias("component_id"), F.col("fingerprint").alias("component_root"))
-    return fps.join(labels.unionByName(alone), "fingerprint")
+    labels = linked.drop("least").join(least, "root").select(*key, F.col("least").alias("component_id"), F.col("root").alias("component_root"))
+    alone = named.join(roots, "node", "left_anti").select(*key, F.col("least").alias("component_id"), F.col("node").alias("component_root"))
+    return fps.join(labels.unionByName(alone), key)
 
 
 def simhash_components(df: DataFrame, shingle: int = 3, max_bits: int = 3, text_col: str = "text", id_col: str = "doc_id", cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -247,13 +300,16 @@ def simhash_components(df: DataFrame, shingle: int = 3, max_bits: int = 3, text_
     return out.select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(df: DataFrame, shingle: int = 5, max_bits: int = 5, text_col: str = "text", id_col: str = "doc_id", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """One row, all its columns, of each component: that with the least id (null last), ties to the least hash of the text.
-    The choice is an aggregate, so a component of any size is narrowed down where its rows are read."""
+def one_of_each(df: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 5, text_col: str = "text", id_col: str = "doc_id", cell_rows: int = CELL_ROWS) -> DataFrame:
+    """One row, all its columns, of each group of near copies: that with the least id (null last), ties to the least hash of
+    the text. Texts are near copies where SimHashes of their distinct words differ in at most max_bits bits, and sketches of
+    their runs of ``shingle`` words tell a Jaccard similarity of at least ``similarity``. The choice is an aggregate, so a group
+    of any size is narrowed down where its rows are read."""
     names = df.columns
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).alias("text"))
-    fps, _ = materialise(simhash(packed, shingle, "text", ["row"]).withColumn("id", F.col(f"row.`{id_col}`")), "fingerprints")
-    labelled = near_components(fps.select("id", "fingerprint", "row"), "id", max_bits, cell_rows)
+    fps, _ = materialise(simhash(packed, 1, "text", ["row"], distinct=True, sketch_shingle=shingle).withColumn("id", F.col(f"row.`{id_col}`")), "fingerprints")
+    most = int(SKETCH_BITS * (1 - similarity) / 2 + 0.5)
+    labelled = near_components(fps.select("id", "fingerprint", *SKETCH, "row"), "id", max_bits, cell_rows, most)
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.xxhash64(F.col(f"row.`{text_col}`")).alias("h"))
     one = labelled.groupBy("component_root").agg(F.min_by("row", order).alias("row"))
     return one.select(*[F.col(f"row.`{c}`").alias(c) for c in names])
