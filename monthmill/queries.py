@@ -45,7 +45,7 @@ SELECT 'https://games.example/' || lpad(CAST(k AS STRING), 8, '0') AS Site,
   substr(d, 1, 7) AS month, f AS _source_file, 'ingest-1' AS _run_id
 FROM (
   SELECT o_orderkey AS k, o_custkey AS w, (o_custkey * 7 + 3) % 1500 AS b, CAST(o_orderdate AS STRING) AS d, o_orderstatus AS s, o_orderpriority AS p, f
-  FROM {orders} o, (SELECT 'a.pgn.zst' AS f UNION ALL SELECT 'b.pgn.zst') x WHERE f = 'a.pgn.zst' OR o_orderkey % 97 = 0) t
+  FROM (SELECT *, 'a.pgn.zst' AS f FROM {orders} UNION ALL SELECT *, 'b.pgn.zst' AS f FROM {orders} WHERE o_orderkey % 97 = 0) o) t
 """
 
 

@@ -15,18 +15,19 @@ TAGS = "Event Site Date Round White Black Result UTCDate UTCTime WhiteElo BlackE
 
 def unquoted(value: Column) -> Column:
     """A tag's value without its quotes, \\" and then \\\\ unescaped; an unquoted value as it is; a missing one ''."""
-    bare = F.trim(value)
-    inner = F.regexp_extract(bare, r'(?s)^"(.*)"$', 1)
-    plain = F.replace(F.replace(inner, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))
-    return F.when(bare.rlike(r'(?s)^".*"$'), plain).otherwise(bare)
+    inner = F.substring(value, F.lit(2), F.length(value) - 2)
+    plain = F.when(inner.contains("\\"), F.replace(F.replace(inner, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))).otherwise(inner)
+    return F.when(value.startswith('"') & value.endswith('"') & (F.length(value) > 1), plain).otherwise(value)
 
 
 def tag_map(lines: Column) -> Column:
-    """Tags of header lines, the last of a name winning."""
-    entries = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, r"^\[?(\S+?)(?:\s|\]|$)", 1).alias("k"), unquoted(F.regexp_extract(x, r"^\[?\S+?(?:\s+(.*?))?\]?\s*$", 1)).alias("v")))
-    named = F.filter(entries, lambda e: e["k"] != "")
-    last = F.filter(F.transform(named, lambda e, i: F.struct(e["k"].alias("k"), e["v"].alias("v"), (F.size(F.filter(F.slice(named, i + 2, F.size(named)), lambda later: later["k"] == e["k"])) == 0).alias("last"))), lambda e: e["last"])
-    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["k"], e["v"])))
+    """Tags of header lines, the last of a name winning: two scans of the header, whatever its number of tags."""
+    header = F.array_join(lines, "\n")
+    keys = F.regexp_extract_all(header, F.lit(r"(?m)^\[?(\w+)"), F.lit(1))
+    values = F.transform(F.regexp_extract_all(header, F.lit(r"(?m)^\[?\w+[ \t]*([^\n]*?)[ \t]*\]?$"), F.lit(1)), unquoted)
+    none = F.create_map().cast("map<string,string>")
+    last = F.aggregate(F.arrays_zip(keys.alias("k"), values.alias("v")), none, lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(last)
 
 
 def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
@@ -35,7 +36,7 @@ def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
     lines = F.filter(F.transform(F.split(F.make_valid_utf8(F.col(value)), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
     parsed = records.withColumn("mm_lines", lines).where(F.size("mm_lines") > 0)
     # the first line lost its bracket to the separator, unless it opens the file
-    is_tag = lambda x, i: x.startswith("[") | ((i == 0) & x.rlike(r"^\w+(\s.*)?\]$"))
+    is_tag = lambda x, i: F.when(i == 0, x.startswith("[") | x.rlike(r"^\w+(\s.*)?\]$")).otherwise(x.startswith("["))
     parsed = parsed.withColumn("mm_kind", F.transform("mm_lines", lambda x, i: F.struct(x.alias("x"), is_tag(x, i).alias("t"))))
     of = lambda tag: F.transform(F.filter("mm_kind", lambda s: s["t"] == tag), lambda s: s["x"])
     parsed = parsed.withColumns({"mm_tags": tag_map(of(F.lit(True))), "movetext": F.array_join(of(F.lit(False)), " ")})
