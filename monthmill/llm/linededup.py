@@ -26,7 +26,7 @@ MIN_DOCS = 10
 FANOUT = 4
 #: Batches into which one table is dealt.
 BATCHES = 4
-#: Tasks to which the rows of one key are dealt when its rows are looked up.
+#: Tasks to which the rows of one key, or of one text, are dealt.
 SALTS = 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -138,11 +138,14 @@ def drop_common_lines(docs: DataFrame, text_col: str = "text", min_docs: int = M
     bad = runs.common().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     mine = keys.select("ta", "tb", "a", "b", F.pmod("tb", F.lit(SALTS)).cast("int").alias("salt"))
     drops = mine.join(bad, ["a", "b", "salt"], "left_semi").groupBy("ta", "tb").agg(F.collect_set(F.struct("a", "b")).alias("bad"))
-    ta, tb, hit = (fresh(docs, c) for c in ("mm_ta", "mm_tb", "mm_bad"))
+    ta, tb, salt, hit = (fresh(docs, c) for c in ("mm_ta", "mm_tb", "mm_salt", "mm_bad"))
     rest = [c for c in docs.columns if c.lower() not in ("kept_text", "n_lines", "n_dropped")]
-    named = docs.select(*[F.col(f"`{c}`") for c in rest], *([] if text_col in rest else [text]), F.xxhash64(text).alias(ta), F.xxhash64(F.lit("text"), text).alias(tb))
-    drops = drops.select(F.col("ta").alias(ta), F.col("tb").alias(tb), F.col("bad").alias(hit))
+    # copies of a text are told apart by their other columns, so that no task gets a large group of them
+    other = [F.col(f"`{c}`") for c, t in docs.dtypes if c != text_col and not t.startswith("map")]
+    spread = F.pmod(F.xxhash64(*other), F.lit(SALTS)).cast("int") if other else F.lit(0)
+    named = docs.select(*[F.col(f"`{c}`") for c in rest], *([] if text_col in rest else [text]), F.xxhash64(text).alias(ta), F.xxhash64(F.lit("text"), text).alias(tb), spread.alias(salt))
+    drops = drops.select(F.col("ta").alias(ta), F.col("tb").alias(tb), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt), F.col("bad").alias(hit))
     lines = lines_of(text)
     kept = F.when(F.col(hit).isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col(hit), key_hash(line_key(x))), F.lit(False))))
-    joined = named.join(drops, [ta, tb], "left")
+    joined = named.join(drops, [ta, tb, salt], "left")
     return joined.select(*[F.col(f"`{c}`") for c in rest], F.array_join(kept, "\n").alias("kept_text"), F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"))
