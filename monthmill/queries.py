@@ -148,6 +148,11 @@ def _dq_gold(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).drop("detail")
 
 
+def _dq_costs(spark, sf_dir):
+    m, c = checks.cost_audit(F.col("month"))
+    return checks.audit(costs(spark, sf_dir), m, c, ["month"]).drop("detail")
+
+
 def _explorer_pairs(spark, sf_dir):
     rows = sequences.steps(sequences.game_rows(raw_games(spark, sf_dir), games(spark, sf_dir)))
     return rows.groupBy("month", "prefix", "move").agg(F.count("*").alias("games"))
@@ -210,6 +215,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_curated": partial(_dq, "curated"),
         "dq_player_games": partial(_dq, "players"),
         "dq_gold": _dq_gold,
+        "dq_costs": _dq_costs,
         "daily_cost": lambda s, d: serve.daily_cost(costs(s, d), FROM).withColumn("usage_date", F.col("usage_date").cast("string")).withColumn("cost", F.col("cost").cast("double")),
         "cost_month_totals": lambda s, d: serve.cost_months(costs(s, d)).withColumn("cost", F.col("cost").cast("double")),
         "player_record": lambda s, d: serve.player_record(players(s, d), "Player10"),
@@ -408,6 +414,16 @@ def oracle_sql() -> dict[str, str]:
             ],
         ),
         "dq_gold": _dq_gold_sql(),
+        "dq_costs": _checks(
+            _COSTS,
+            "costs",
+            [
+                _zero("usage_date_in_month", "substr(usage_date, 1, 7) <> month"),
+                ("single_currency", "count(DISTINCT currency)", "1", "count(DISTINCT currency) <= 1", True),
+                ("not_empty", "count(*)", "NULL", "count(*) > 0", False),
+                _zero("no_negative_costs", "cost < 0", False),
+            ],
+        ),
         "daily_cost": f"WITH {_COSTS} SELECT usage_date, service_name, CAST(sum(CAST(cost AS DECIMAL(18,4))) AS DOUBLE) AS cost, max(currency) AS currency FROM costs WHERE month >= '{FROM}' GROUP BY ALL",
         "cost_month_totals": f"WITH {_COSTS} SELECT month, CAST(round(sum(CAST(cost AS DECIMAL(18,4))), 2) AS DOUBLE) AS cost, 'USD' AS currency FROM costs GROUP BY month",
         "player_record": f"WITH {_PLAYERS} SELECT month, count(*) AS games, sum(score) AS points FROM players WHERE NOT is_duplicate AND player_id = 'player10' GROUP BY month",
