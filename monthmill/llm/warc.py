@@ -24,6 +24,8 @@ GAP = "\r\n\r\n"
 LEAST_REVISIT = 1000
 #: Records in an archive file, at most.
 FILE_RECORDS = 20_000
+#: Groups of equal payloads, of about 100 bytes each, up to which they are broadcast.
+BROADCAST_GROUPS = 50_000
 #: Rounds of doubling after which a chain is longer than any file.
 MAX_ROUNDS = 64
 DATE = "2026-01-01T00:00:00Z"
@@ -35,14 +37,16 @@ def with_record_types(pages: DataFrame, id_col: str = "page_id", payload_col: st
     Of rows with equal payloads of at least ``least`` bytes, that with the largest id is a response and the others revisit
     it; rows that repeat its id are responses too. A null payload is empty; rows with a null id are never referred to, and a
     group of only such rows is all responses. Payloads are compared by SHA-256, counted before they are joined, and only
-    groups of several rows are joined back.
+    groups of several rows are joined back, broadcast if there are few.
     """
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
     known = pages.withColumns({"payload_bytes": F.octet_length(payload).cast("long"), "payload_digest": F.sha1(payload), "mm_key": F.sha2(payload, 256)})
     groups = known.where(F.col("payload_bytes") >= least).groupBy("mm_key").agg(F.max(id_col).alias("mm_first"), F.count("*").alias("mm_n"))
     groups = groups.where((F.col("mm_n") > 1) & F.col("mm_first").isNotNull()).drop("mm_n")
     revisit = F.col("mm_first").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("mm_first"))
-    out = known.join(groups, "mm_key", "left")
+    groups, _ = materialise(groups, "warc-groups")
+    few = groups.count() <= BROADCAST_GROUPS  # then payloads stay where they are; else both sides are dealt by key
+    out = known.join(F.broadcast(groups) if few else groups, "mm_key", "left")
     return out.withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col("mm_first"))}).drop("mm_key", "mm_first")
 
 
