@@ -20,11 +20,8 @@ def unquoted(value: Column) -> Column:
     return F.when(value.startswith('"') & value.endswith('"') & (F.length(value) > 1), plain).otherwise(value)
 
 
-def tag_map(lines: Column) -> Column:
-    """Tags of header lines, the last of a name winning: two scans of the header, whatever its number of tags."""
-    header = F.array_join(lines, "\n")
-    keys = F.regexp_extract_all(header, F.lit(r"(?m)^\[?(\w+)"), F.lit(1))
-    values = F.transform(F.regexp_extract_all(header, F.lit(r"(?m)^\[?\w+[ \t]*([^\n]*?)[ \t]*\]?$"), F.lit(1)), unquoted)
+def tag_map(keys: Column, values: Column) -> Column:
+    """A map of tags, the last of a name winning."""
     none = F.create_map().cast("map<string,string>")
     last = F.aggregate(F.arrays_zip(keys.alias("k"), values.alias("v")), none, lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])))
     return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(last)
@@ -39,7 +36,11 @@ def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
     is_tag = lambda x, i: F.when(i == 0, x.startswith("[") | x.rlike(r"^\w+(\s.*)?\]$")).otherwise(x.startswith("["))
     parsed = parsed.withColumn("mm_kind", F.transform("mm_lines", lambda x, i: F.struct(x.alias("x"), is_tag(x, i).alias("t"))))
     of = lambda tag: F.transform(F.filter("mm_kind", lambda s: s["t"] == tag), lambda s: s["x"])
-    parsed = parsed.withColumns({"mm_tags": tag_map(of(F.lit(True))), "movetext": F.array_join(of(F.lit(False)), " ")})
+    parsed = parsed.withColumns({"mm_header": F.array_join(of(F.lit(True)), "\n"), "movetext": F.array_join(of(F.lit(False)), " ")})
+    # two scans of the header, whatever its number of tags
+    found = lambda pattern: F.regexp_extract_all("mm_header", F.lit(pattern), F.lit(1))
+    parsed = parsed.withColumns({"mm_keys": found(r"(?m)^\[?(\w+)"), "mm_values": F.transform(found(r"(?m)^\[?\w+[ \t]*([^\n]*?)[ \t]*\]?$"), unquoted)})
+    parsed = parsed.withColumn("mm_tags", tag_map(F.col("mm_keys"), F.col("mm_values")))
     extra = F.map_filter("mm_tags", lambda k, v: ~k.isin(*TAGS))
     rest = [c for c in records.columns if c != value]
     return parsed.select(*rest, *[F.element_at("mm_tags", F.lit(t)).alias(t) for t in TAGS], "movetext", F.when(F.size(extra) > 0, extra).alias("extra_tags"))
