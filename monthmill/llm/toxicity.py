@@ -57,21 +57,25 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(v, -30, 30)))
 
 
+def _texts_with(rows: list[np.ndarray]) -> np.ndarray:
+    """In how many rows each bucket is; few rows at a time are joined, so the sample is never copied whole."""
+    out = np.zeros(BUCKETS, np.int64)
+    for at in range(0, len(rows), 500):
+        out += np.bincount(np.concatenate(rows[at : at + 500]), minlength=BUCKETS)
+    return out
+
+
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> ToxicityModel:
     """Full-batch Adam on the non-negative risk with the log loss."""
-    rows = positive + unlabelled
-    size = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
-    head = int(size[: len(positive)].sum())
-    with_p, with_u = np.bincount(flat[:head], minlength=BUCKETS), np.bincount(flat[head:], minlength=BUCKETS)
+    with_p, with_u = _texts_with(positive), _texts_with(unlabelled)
     usual = np.minimum((with_u + 1) / (n_u + 2), 0.999)
-    enough = (with_p >= MIN_TEXTS) & ((with_p / n_p - usual) / np.sqrt(usual * (1 - usual) / n_p) >= LEAST_Z)
-    used = np.flatnonzero(enough)
+    used = np.flatnonzero((with_p >= MIN_TEXTS) & ((with_p / n_p - usual) / np.sqrt(usual * (1 - usual) / n_p) >= LEAST_Z))
     column = np.full(BUCKETS, -1)
     column[used] = np.arange(len(used))
-    row = np.repeat(np.arange(len(rows)), size)[enough[flat]]
-    flat = column[flat[enough[flat]]]
+    rows = [c[c >= 0] for r in positive + unlabelled for c in [column[r]]]
+    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     p = np.arange(len(rows)) < len(positive)
     w = np.zeros(len(used) + 1)
     w[-1] = np.log(prior / (1 - prior))
