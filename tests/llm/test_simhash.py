@@ -109,3 +109,45 @@ def test_components_of_a_path(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(rows, "a bigint, b bigint")).collect()}
     assert got == {i: 0 for i in range(n + 1)} | {2000: 2000, 2001: 2000}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def jaccard(a, b, size=5):
+    x, y = ({" ".join(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def edited(rnd, words, kind):
+    """A copy of similarity 0.88 to 0.92, about, with a passage appended, the end cut off, or words swapped."""
+    n = max(1, round(0.11 * len(words)))
+    if kind == "appended":
+        return words + [f"new{rnd.randrange(10**6)}" for _ in range(n)]
+    if kind == "cut":
+        return words[: len(words) - round(0.1 * len(words))]
+    out = list(words)
+    for i in rnd.sample(range(5, len(words) - 5), max(1, round(0.011 * len(words)))):
+        out[i] = f"new{rnd.randrange(10**6)}"
+    return out
+
+
+@pytest.mark.parametrize("kind", ["appended", "cut", "scattered"])
+def test_near_copies_of_every_kind_of_edit(spark, kind):
+    rnd = random.Random(kind)
+    rows = []
+    for i in range(150):
+        # words of their own for each text, and many of them twice, as in prose
+        words = [f"w{i}x{int(rnd.random() ** 2 * 200)}" for _ in range(rnd.choice([120, 240, 400]))]
+        copy = edited(rnd, words, kind)
+        assert 0.84 < jaccard(" ".join(words), " ".join(copy)) < 0.96
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(copy))]
+    kept = {r.doc_id for r in S.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {2 * i for i in range(150)} <= kept
+    assert sum(2 * i + 1 not in kept for i in range(150)) >= 0.95 * 150
+
+
+@pytest.mark.parametrize("words", [1, 6, 30, 100, 300])
+def test_sketches_tell_short_texts_apart(words):
+    rnd = random.Random(words)
+    a = [[f"w{rnd.randrange(10**9)}" for _ in range(words)] for _ in range(200)]
+    made = [S.sketch(" ".join(w), 5) for w in a]
+    bits = [sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(made[i], made[i + 1], strict=True)) for i in range(199)]
+    assert min(bits) > 30 and abs(np.mean(bits) - 64) < 4
