@@ -42,7 +42,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, written and read back."""
     path = scratch_path(spark, "archives")
     write_warc(with_record_types(table(spark, sf_dir, "pages").select("page_id", "url", "html")), path)
-    records = read_warc(spark, path, payload=False)
+    records = read_warc(spark, path, payload=False, strict=True)
     stored = F.col("record_type") == "response"
     return records.select(
         F.col("record_id").cast("long").alias("page_id"),

@@ -3,8 +3,9 @@
 Writing: a record is one row of text, ended by the blank lines that end a WARC record, so Spark's own writer makes the
 archives, part by part, committed and retried like any table.
 
-Reading: the files are split at ``\\r\\n\\r\\nWARC/1.0\\r\\n``. Each piece is a candidate record: its offset is the running sum of
-the pieces' bytes within its file split plus the bytes of the splits before, and its header tells where its successor
+Reading: the files are split at ``\\nWARC/1.0\\r``. Its first byte comes once in it and is not its last, so two occurrences
+cannot overlap and no payload's end hides the record behind it. Each piece is a candidate record: its offset is the running
+sum of the pieces' bytes within its file split plus the bytes of the splits before, and its header tells where its successor
 begins. Magic inside a payload makes candidates too. Candidates are told from records by pointer jumping from the start of
 each file: pointers are doubled round by round, and only what the start reaches is a record. Before that, stretches in
 which each candidate points to the very next one, and into which no other pointer leads, are contracted to one pointer, so
@@ -20,6 +21,8 @@ from .common import discard, materialise, require
 
 MAGIC = "WARC/1.0\r\n"
 GAP = "\r\n\r\n"
+#: What the files are split at: the last byte of a gap and all of magic but its last byte.
+SEPARATOR = GAP[-1] + MAGIC[:-1]
 #: Payloads of fewer bytes are always stored.
 LEAST_REVISIT = 1000
 #: Records in an archive file, at most.
@@ -80,7 +83,7 @@ def _header(name: str) -> Column:
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """The pieces between separators with their place: file, block (the split's offset), seq (ascending in a split)."""
-    text = spark.read.option("lineSep", GAP + MAGIC).text(path)
+    text = spark.read.option("lineSep", SEPARATOR).text(path)
     return text.select("value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
 
 
@@ -88,29 +91,33 @@ def candidates(spark: SparkSession, path: str, payload: bool) -> DataFrame:
     """One row for each piece: its place, its header and its payload's digest; raw where the record may go on in the next."""
     rows = scan(spark, path)
     first = (F.col("block") == 0) & F.col("value").startswith(MAGIC)
-    rows = rows.withColumns({"piece": F.octet_length("value").cast("long"), "opens": first, "body": F.when(first, F.substring("value", len(MAGIC) + 1, 2147483647)).otherwise(F.col("value"))})
-    rows = rows.withColumn("head", F.substring_index("body", GAP, 1)).withColumn("head_bytes", (F.octet_length("head") + len(GAP)).cast("long"))
+    # magic's last byte, if it is magic, is still there
+    lead = F.when(first, len(MAGIC)).when(F.col("value").startswith(MAGIC[-1]), 1)
+    rows = rows.withColumns({"piece": F.octet_length("value").cast("long"), "opens": first, "lead": lead, "head": F.substring_index("value", GAP, 1)})
+    # where a payload begins with magic, the separator has taken the last byte of the header's blank line
+    cut = F.octet_length("head") == F.col("piece")
+    rows = rows.withColumns({"cut": cut, "head": F.when(cut, F.regexp_replace("head", "\\r\\n\\r\\z", "")).otherwise(F.col("head"))})
+    rows = rows.withColumn("head", F.substring("head", F.coalesce("lead", F.lit(0)) + 1, F.lit(2147483647))).withColumn("head_bytes", (F.octet_length("head") + len(GAP)).cast("long"))
     size = _header("Content-Length").try_cast("long")
-    there = F.octet_length("body").cast("long") - F.col("head_bytes")
-    # a header whose own blank line was taken for the separator's has a payload that begins with magic
-    rows = rows.withColumn("size", F.when(((there >= 0) | (there == -len(GAP))) & (size >= 0), size)).withColumn("there", there)
-    # the last record of a file has its own blank lines behind it
-    whole = F.coalesce((F.col("there") == F.col("size")) | (F.col("there") == F.col("size") + len(GAP)), F.lit(False))
-    content = F.when(whole, F.substring(F.col("body").cast("binary"), (F.col("head_bytes") + 1).cast("int"), F.col("size").cast("int")))
+    there = F.col("piece") - F.col("lead") - F.col("head_bytes")
+    rows = rows.withColumn("size", F.when((~F.col("cut") | (there == -1)) & (size >= 0) & F.col("lead").isNotNull(), size)).withColumn("there", there)
+    # a record has the gap but its last byte behind it, the last one of a file the whole gap, or nothing
+    whole = F.coalesce((F.col("there") - F.col("size")).isin(0, len(GAP) - 1, len(GAP)), F.lit(False))
+    content = F.when(whole, F.substring(F.col("value").cast("binary"), (F.col("lead") + F.col("head_bytes") + 1).cast("int"), F.col("size").cast("int")))
     rows = rows.withColumns({"whole": whole, "content": content}).withColumn("digest", F.sha1("content"))
     return rows.select("file", "file_path", "block", "seq", "piece", "opens", "head", "head_bytes", "size", "whole", "digest", *(["content"] if payload else []), F.when(~F.col("whole"), F.col("value").cast("binary")).alias("raw"))
 
 
 def with_offsets(pieces: DataFrame) -> DataFrame:
     """Offsets from the lengths of pieces: a running sum within a file split, and the sums of the splits before it."""
-    sep = len(GAP) + len(MAGIC)
+    sep = len(SEPARATOR)
     inside = Window.partitionBy("file", "block").orderBy("seq")
     blocks = pieces.groupBy("file", "block").agg(F.sum(F.col("piece") + sep).alias("bytes"))
     base = blocks.withColumn("base", F.coalesce(F.sum("bytes").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("bytes")
     before = F.coalesce(F.sum(F.col("piece") + sep).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     placed = pieces.withColumn("before", before).join(base, ["file", "block"])
     at = F.col("base") + F.col("before")
-    placed = placed.withColumn("start", F.when(F.col("opens") & (at == 0), at).otherwise(at - len(MAGIC))).drop("before", "base")
+    placed = placed.withColumn("start", F.when(F.col("opens") & (at == 0), at).otherwise(at - (len(MAGIC) - 1))).drop("before", "base")
     return placed.withColumn("successor", F.col("start") + len(MAGIC) + F.col("head_bytes") + F.col("size") + len(GAP))
 
 
@@ -144,16 +151,22 @@ def reachable(pieces: DataFrame) -> DataFrame:
     return runs.join(jumps.where("reached").select("file", "block", "run"), ["file", "block", "run"], "left_semi").select("file", "start")
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payload: bool = True, strict: bool = False) -> DataFrame:
     """Records of all archives under path: file, offset, record_type, record_id, target_uri, refers_to, declared_digest,
     declared_bytes, stored_bytes, stored_digest and, with ``payload``, payload (binary).
 
-    A file that does not begin with a record has none; a chain ends where a header is broken, and what follows is not read.
+    A file that does not begin with a record has none; a chain ends where a header is broken, and what follows is not read;
+    ``strict`` raises ValueError where a file's chain does not end at its end.
     Bytes are kept as they are. A record whose payload holds magic is put together from its pieces.
     """
     pieces, _ = materialise(with_offsets(candidates(spark, path, payload)), "warc-pieces")
     chain, _ = materialise(reachable(pieces).withColumn("linked", F.lit(True)), "warc-chain")
     known = pieces.join(chain, ["file", "start"], "left").withColumn("linked", F.col("linked").isNotNull() & F.col("size").isNotNull())
+    if strict:
+        sep = len(SEPARATOR)
+        ends = known.groupBy("file").agg(F.first("file_path").alias("file_path"), (F.sum(F.col("piece") + sep) - sep).alias("bytes"), F.max(F.when(F.col("linked"), F.col("successor"))).alias("end"))
+        if (bad := ends.where(~F.col("end").eqNullSafe(F.col("bytes"))).first()) is not None:
+            raise ValueError(f"{bad.file_path}: the records end at byte {bad.end} of {bad.bytes}")
     broken = known.where(~F.col("linked") | ~F.col("whole"))
     # pieces of a payload that look like whole records were not kept; there are few, and the files are read again for them
     lost = known.where(~F.col("linked") & F.col("whole")).select("file", "block", "seq", F.col("piece").alias("bytes"))
@@ -163,10 +176,10 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
         broken = broken.join(again.select("file", "block", "seq", same.alias("again")), ["file", "block", "seq"], "left").withColumn("raw", F.coalesce("raw", "again"))
     owner = F.last(F.when(F.col("linked"), F.col("start")), ignorenulls=True).over(Window.partitionBy("file").orderBy("start"))
     parts = broken.withColumn("owner", owner).where(F.col("owner").isNotNull()).groupBy("file", F.col("owner").alias("start")).agg(F.sort_array(F.collect_list(F.struct("start", "raw"))).alias("parts"))
-    joined = F.array_join(F.transform("parts", lambda p: p["raw"].cast("string")), GAP + MAGIC).cast("binary")
+    joined = F.array_join(F.transform("parts", lambda p: p["raw"].cast("string")), SEPARATOR).cast("binary")
     parts = parts.select("file", "start", joined.alias("joined"))
     records = known.where("linked").join(parts, ["file", "start"], "left")
-    skip = F.when(F.col("opens"), len(MAGIC)).otherwise(0) + F.col("head_bytes") + 1
+    skip = F.when(F.col("opens"), len(MAGIC)).otherwise(1) + F.col("head_bytes") + 1
     mended = F.substring("joined", skip.cast("int"), F.col("size").cast("int"))
     records = records.withColumn("mended", F.when(~F.col("whole"), mended))
     name = lambda c: F.regexp_extract(_header(c), "^<urn:record:(.*)>$", 1)

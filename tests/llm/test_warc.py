@@ -76,3 +76,33 @@ def test_edges(spark, pages, tmp_path):
     assert got == [(False, "response", None), (False, "response", None), (True, "revisit", 1), (True, "revisit", 1)]
     nobody = W.with_record_types(rows.where("page_id is null"))
     assert {r.record_type for r in nobody.collect()} == {"response"}
+
+
+ENDS = ["tail\r\n\r\nWARC/1.0", "tail\n\r\nWARC/1.0\r", "\r\n\r\nWARC/1.0", "WARC/1.0", "\r\nWARC/1.0\r\nx", "\r\n\r\nWARC/1.0\r\n\r\nWARC/1.0\r\n\r\nWARC/1.0", "\n\r\nWARC/1.0\r\n", "\r", "\n", "\r\n\r"]
+
+
+@pytest.mark.parametrize("split", ["128m", "97b", "41b"])
+def test_payloads_that_end_or_begin_in_magic_hide_no_record(spark, tmp_path, split):
+    """The separator must not take a payload's end together with the gap, nor the header's blank line."""
+    bodies = [b for e in ENDS for b in (e, "plain", e)]
+    rows = spark.createDataFrame([(i, "http://x/WARC/1.0", b) for i, b in enumerate(bodies)], "page_id bigint, url string, html string")
+    path = str(tmp_path / "w")
+    written(rows.coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = {int(r.record_id): bytes(r.payload).decode() for r in W.read_warc(spark, path, strict=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == dict(enumerate(bodies))
+
+
+def test_strict_reading_raises_where_a_chain_breaks_off(spark, tmp_path):
+    (tmp_path / "f").mkdir()
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "f" / "a.warc").write_bytes(record * 2)
+    assert W.read_warc(spark, str(tmp_path / "f"), strict=True).count() == 2
+    (tmp_path / "f" / "b.warc").write_bytes(record + record.replace(b": 3", b": x") + record)
+    assert W.read_warc(spark, str(tmp_path / "f")).count() == 3
+    with pytest.raises(ValueError, match="b.warc"):
+        W.read_warc(spark, str(tmp_path / "f"), strict=True)
