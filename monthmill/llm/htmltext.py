@@ -45,6 +45,9 @@ MARKS = set(
 #: Start tags that end an open paragraph or an open element of the same kind.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+#: What a head may hold; anything else ends it, as its end tag may be left out.
+HEAD = {"html", "head", "title", "meta", "link", "base", "basefont", "bgsound", "style", "script", "noscript", "noframes", "template"}
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^>]*\Z", re.S | re.I
 )
@@ -83,9 +86,13 @@ def nodes_of(page: str) -> list[Node]:
     out: list[Node] = []
     stack: list[tuple[int, str, str, bool]] = []  # serial number, tag, name in the path, boilerplate
     serial = block = at = 0
+    own: set[int] = set()  # elements that are boilerplate by themselves
+    ended: dict[int, int] = {}  # those without an end tag so far: the first node of an article or main in them
 
     def text(piece: str) -> None:
         if piece:
+            if stack and stack[-1][1] == "head" and piece.strip():
+                stack.pop()
             out.append(Node(tuple(s[0] for s in stack), tuple(s[2] for s in stack), block, html.unescape(piece), bool(stack) and stack[-1][3], any(s[1] == "a" for s in stack)))
 
     for m in _TAG.finditer(page):
@@ -102,9 +109,12 @@ def nodes_of(page: str) -> list[Node]:
         if m[2]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][1] == tag:
+                    ended.pop(stack[i][0], None)
                     del stack[i:]
                     break
             continue
+        if tag not in HEAD and stack and stack[-1][1] == "head":
+            stack.pop()
         if tag in BLOCKS:
             ends = CLOSES.get(tag, {"p"})
             for i in range(len(stack) - 1, -1, -1):
@@ -119,8 +129,18 @@ def nodes_of(page: str) -> list[Node]:
         inside = any(s[1] in ("article", "main") for s in stack)
         boilerplate = tag in BOILERPLATE or tag == "header" and not inside or bool(words & MARKS) and tag not in ("html", "body", "article", "main") or "header" in words and not inside and tag not in ("html", "body")
         serial += 1
+        if boilerplate:
+            own.add(serial)
+        if tag in ("article", "main"):
+            for s in stack:
+                if s[0] in own:
+                    ended.setdefault(s[0], len(out))
         stack.append((serial, tag, tag + classes, boilerplate or bool(stack) and stack[-1][3]))
     text(page[at:])
+    # an article ends the boilerplate around it whose end tag never came
+    if ended:
+        for i in range(min(ended.values()), len(out)):
+            out[i].boilerplate = any(e in own and i < ended.get(e, len(out)) for e in out[i].elements)
     return out
 
 

@@ -57,3 +57,29 @@ def test_edges(spark):
     assert H.extract_main_text(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         H.extract_main_text(df, keep=["url"], output="URL")
+
+
+STORY = "<p>A story, told in full, with words.</p><p>And the end of it, at last.</p>"
+TOLD = "A story, told in full, with words.\n\nAnd the end of it, at last."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T</title><meta charset=utf-8><body>" + STORY,
+        "<html><head><title>T</title><link rel=x><body><article>" + STORY + "</article></body></html>",
+        "<head><title>T</title><style>p{}</style><div>" + STORY + "</div>",
+        "<head><title>T</title>\n<p>A story, told in full, with words.</p><p>And the end of it, at last.</p>",
+        "<head><title>T</title>A story, told in full, with words.<p>And the end of it, at last.</p>",
+        "<head><template><div>No, no, no.</div></template><body>" + STORY,
+        "<body><nav><ul><li><a href=/>Home.</a></ul><article>" + STORY + "</article></body>",
+        "<body><div><aside>Side, side.<main>" + STORY + "</main></div></body>",
+        "<body><form><input name=q><menu><li>No, no.<article>" + STORY + "</article><nav>No, no.</nav></body>",
+    ],
+)
+def test_end_tags_left_out(page):
+    assert H.main_text(page) == TOLD
+
+
+def test_articles_in_closed_boilerplate_stay_out():
+    assert H.main_text("<body><article>" + STORY + "</article><aside><article><p>Read on, here, and there.</p></article></aside></body>") == TOLD
