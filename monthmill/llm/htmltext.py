@@ -4,8 +4,9 @@ A page is cut into text nodes, each with its root-to-leaf tag path (tags with th
 boilerplate element holds, text length and punctuation are added up per path and divided by the path's nodes; each node
 takes its path's two ratios; both sequences are smoothed over the page with a Gaussian, fused into their geometric mean, and
 thresholded at ``THRESHOLD`` standard deviations. The paths of the nodes above it are the content paths. The content region is
-the article, main or deepest container that holds the most of what they select, and all its nodes outside boilerplate are
-the text: a short paragraph or a heading of an article stays although its own path is thin.
+all articles and mains that hold some of what they select, if together they hold nearly all, or else the deepest container of
+all of it with the headings right before; and all its nodes outside boilerplate are the text: a short paragraph or a heading
+of an article stays although its own path is thin.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BOILERPLATE = set("nav footer aside form head menu dialog button select datalist template svg canvas object video audio map".split())
 ROLES = set("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 #: Words of class names and ids that mark boilerplate.
@@ -177,20 +179,22 @@ def main_text(page: str) -> str:
                 held[e] += size
                 links[e] += size * n.link
     total = sum(len(n.text.strip()) for n in solid if n.path in paths)
-    # containers in the order in which they open; the last that still holds nearly all is the deepest
-    region = 0
-    for e in sorted(held):
-        if tags[e] in BLOCKS and tags[e] not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "pre", "td", "tr") and held[e] >= 0.9 * total:
-            region = e
-            if tags[e] in ("article", "main"):
-                break
-    if region == 0 or tags[region] not in ("article", "main"):
-        whole = [e for e in held if tags[e] in ("article", "main") and links[e] <= MOST_LINKS * held[e]]
-        if whole:
-            region = max(whole, key=lambda e: (held[e], -e))
+    # the articles, if they hold nearly all of it; else the deepest container that holds all of it
+    articles = {e for e in held if held[e] and tags[e] in ("article", "main") and (links[e] <= MOST_LINKS * held[e] or held[e] >= 0.9 * total)}
+    if sum(len(n.text.strip()) for n in solid if n.path in paths and not articles.isdisjoint(n.elements)) >= 0.9 * total:
+        regions = articles
+    else:
+        # in the order in which they open
+        around = [e for e in sorted(held) if tags[e] in BLOCKS and tags[e] not in ("p", *HEADINGS, "li", "pre", "td", "tr") and held[e] == total]
+        regions = set(around[-1:])
+        # and the headings right before it
+        first = next((i for i, n in enumerate(solid) if not regions.isdisjoint(n.elements)), 0)
+        while first and not HEADINGS.isdisjoint(name.split(".")[0] for name in solid[first - 1].path):
+            first -= 1
+            regions.update(solid[first].elements[-1:])
     blocks: dict[int, list[str]] = {}
     for n in nodes:
-        if not region or region in n.elements:
+        if not regions or not regions.isdisjoint(n.elements):
             blocks.setdefault(n.block, []).append(n.text)
     joined = (_BLANKS.sub(" ", "".join(parts)).strip() for _, parts in sorted(blocks.items()))
     return "\n\n".join(b for b in joined if b)

@@ -83,3 +83,20 @@ def test_end_tags_left_out(page):
 
 def test_articles_in_closed_boilerplate_stay_out():
     assert H.main_text("<body><article>" + STORY + "</article><aside><article><p>Read on, here, and there.</p></article></aside></body>") == TOLD
+
+
+LONG = " ".join(["A long text, told in many words, again and again."] * 12)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div class=post><h1>Title</h1><p>A lead, in short.</p><div class=body><p>{LONG}</p><p>{LONG}</p></div></div>", f"Title\n\nA lead, in short.\n\n{LONG}\n\n{LONG}"),
+        ("<div class=post><h1>Title</h1><div class=body>" + f"<p>{LONG}</p>" * 9 + "</div></div>", "\n\n".join(["Title", *[LONG] * 9])),
+        (f"<div><article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{LONG}</p><p>{LONG}</p></article></div>", f"One\n\n{LONG}\n\nTwo\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><p>{LONG}</p></article><article><p>{LONG}</p></article><article><p>The end, at last.</p></article>", f"{LONG}\n\n{LONG}\n\n{LONG}\n\nThe end, at last."),
+        (f"<div><div class=story><p>{LONG}</p><p>{LONG}</p></div><article><p>{LONG}</p></article></div>", f"{LONG}\n\n{LONG}\n\n{LONG}"),
+    ],
+)
+def test_all_selected_content_is_kept(page, text):
+    assert H.main_text("<html><body>" + page + "<footer>Foot, foot.</footer></body></html>") == text
