@@ -33,9 +33,9 @@ class Trie:
                     continue
                 n, d = sum(seen.values()), len(seen)
                 if s[i] in seen:
-                    total += math.log10(seen[s[i]] / (n + d))
+                    total += math.log10((2 * seen[s[i]] - 1) / (2 * n))
                     break
-                total += math.log10(d / (n + d))
+                total += math.log10(d / (2 * n))
                 excluded |= set(seen)
             else:
                 total -= math.log10(256 - len(excluded))
@@ -64,13 +64,16 @@ def compare(rows, got, order):
         assert r.score == pytest.approx(trie.score(t or ""), rel=1e-9)
 
 
+CUTS = [{"block_keys": 150, "task_bytes": 300, "piece_bytes": 20, "merged_blocks": 2}, {}]
+
+
 @pytest.mark.parametrize("order", [3, 5, 6])
-@pytest.mark.parametrize("block", [200, 10**7])
-def test_against_a_plain_trie(spark, order, block):
+@pytest.mark.parametrize("cuts", CUTS)
+def test_against_a_plain_trie(spark, order, cuts):
     words = ["Banana", "bandana", "ananas", "é", "日本", "a", "nab", "cabana", "xyz"]
     rows = [(i, " ".join(words[(i * j + j) % (9 if i % 3 else 8)] for j in range(i % 17))) for i in range(60)] + [(100, None), (101, "  \n"), (102, "never seen before qqq")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {r.doc_id: r for r in lm.score_texts(df, fold7(), order=order, block_bytes=block).collect()}
+    got = {r.doc_id: r for r in lm.score_texts(df, fold7(), order=order, **cuts).collect()}
     compare(rows, got, order)
 
 
@@ -93,17 +96,47 @@ def test_query(spark, sf):
 def test_probabilities_add_up():
     import numpy as np
 
-    trie_texts = [[b"abra", b"cadabra"], [b"abc"]]
-    g, _ = lm.grams(trie_texts, 3)
-    keys, n = lm._distinct(g)
-    low = lm.Low(*lm._summed(keys & 0xFFFFFF, n))
+    g, _ = lm.grams([p for t in ("abra cadabra", "abc") for p, _ in lm.pieces(t, 3)], 3)
+    keys, n = lm.summed(g, np.ones(len(g), np.int64))
+    low = lm.low_orders(lm.shorter(keys, 1), n)
     for context in (b"abr", b"zzz", b"\xfe\xfe\xfe", b" ca"):
-        wanted = (int.from_bytes(context, "big") << 8) + np.arange(256)
+        wanted = (int.from_bytes(context[::-1], "big") << 8) + np.arange(256)
         assert np.sum(10 ** lm.prices(keys, n, wanted, 3, low)) == pytest.approx(1)
 
 
+def test_pieces_are_the_whole_text():
+    text = "One two  three\tfour " * 50 + "x" * 90
+    for limit in (6, 17, 10**6):
+        made = list(lm.pieces(text, 5, limit))
+        body = b" ".join(text.encode().lower().split()) + bytes([lm.END])
+        assert b"".join(p[5:] for p, _ in made) == body and [last for _, last in made] == [False] * (len(made) - 1) + [True]
+        assert lm.grams([p for p, _ in made], 5)[0].tolist() == lm.grams([bytes([lm.START]) * 5 + body], 5)[0].tolist()
+
+
+def test_tally_and_bytes():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    tally, want = lm.Tally(), Counter()
+    for _ in range(30):
+        keys, n = np.unique(rng.integers(-(2**62), 2**62, 50) // 2**56, return_counts=True)
+        tally.add(keys, n)
+        want.update(dict(zip(keys.tolist(), n.tolist(), strict=True)))
+    keys, n = tally.take()
+    assert dict(zip(keys.tolist(), n.tolist(), strict=True)) == want and (np.diff(keys) > 0).all() and not len(tally)
+    for x in (keys, n, np.array([-(2**63), 2**63 - 1]), np.zeros(0, np.int64)):
+        assert lm.from_bytes(lm.to_bytes(x)).tolist() == x.tolist()
+
+
+def test_model_beats_the_unigram_base_on_held_out_texts(spark):
+    """The base knows words and pays little for unknown ones; the model needs the texts of the largest table to pass it."""
+    rows = [r for r in op10_lm(spark, "/root/testdata/sf0.1").collect() if r.held_out and r.n_tokens > 1]
+    assert sum(r.score for r in rows) > 0.97 * sum(r.base_score for r in rows)
+    assert sum(r.score > r.base_score for r in rows) > 0.8 * len(rows)
+
+
 def test_edges(spark, odd_docs, no_docs):
-    out = lm.score_texts(odd_docs.drop("score"), F.col("doc_id") < 5).collect()
+    out = lm.score_texts(odd_docs, F.col("doc_id") < 5).collect()
     assert len(out) == odd_docs.count() and all(r.score < 0 for r in out)
     assert lm.score_texts(no_docs, F.lit(True)).count() == 0
     untrained = lm.score_texts(odd_docs.select("doc_id", "text").where("doc_id = 1"), F.lit(False)).first()
