@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,18 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 #: Rows that a Python helper turns into objects at once; keeps a worker's memory to a few MB of text beside its batch.
 SLICE_ROWS = 256
 
+#: Spark's setting by which a query's shuffle files go when it has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _own_dirs: dict[str, str] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), one of our own for this application."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, one of our own in local mode, as in tests, but an error
+    on a cluster, where a folder of one machine is not seen by the others."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if told:
         return told.rstrip("/")
+    if not re.fullmatch(r"local(\[[\d*, ]+\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="spark-checkpoint-")
-        spark.sparkContext.setCheckpointDir(_own_dirs[app])
     return _own_dirs[app]
 
 
@@ -32,10 +38,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write df once as Parquet in the shared folder and read it back: cuts lineage, and survives lost executors."""
+    """Write df once as Parquet in the shared folder and read it back: cuts lineage, and survives lost executors. The write's
+    shuffle files go with it, as nothing else reads them."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -46,11 +58,6 @@ def discard(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of jobs that have ended: it does so once the driver collects garbage."""
-    spark._jvm.System.gc()
-
-
 def text_slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that only a few rows become Python objects at a time."""
     for batch in batches:
