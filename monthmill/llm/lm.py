@@ -43,7 +43,7 @@ ORDER = 5
 #: Distinct grams and words of a block, about, at most; bounds what a task holds.
 BLOCK_KEYS = 3_000_000
 #: Bytes of text that a task reads, about; larger blocks share more.
-TASK_BYTES = 64_000_000
+TASK_BYTES = 32_000_000
 #: Bytes of a text beyond which it goes on in a further piece, from the next space on.
 PIECE_BYTES = 4_000_000
 #: Bytes that are turned into grams at once.
@@ -55,6 +55,8 @@ MERGED_BLOCKS = 1000
 #: Values that no UTF-8 text has: before the first byte, and after the last.
 START, END = 0xFE, 0xFF
 GRAM, WORD, TEXT = 0, 1, 2
+#: A block's number: its task's, shifted by so many bits, and its place in that task.
+BLOCK_SHIFT = 24
 
 
 def pieces(text: str, order: int = ORDER, limit: int = PIECE_BYTES) -> Iterator[tuple[bytes, bool]]:
@@ -252,7 +254,7 @@ def _cut(docs: DataFrame, order: int, buckets: int, block_keys: int, piece_bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId()
-        block, row, tally, ids_type = first << 24, first << 36, {GRAM: Tally(), WORD: Tally()}, None
+        block, row, tally, ids_type = first << BLOCK_SHIFT, first << 36, {GRAM: Tally(), WORD: Tally()}, None
 
         def rows(n: int, **columns) -> pa.RecordBatch:
             full = {"block": pa.array([block] * n, pa.int64())} | columns
@@ -376,8 +378,9 @@ def _handed_out(priced: DataFrame, packs: DataFrame, salts: int) -> DataFrame:
     return dealt.mapInArrow(run, "block bigint, kind tinyint, keys binary, prices binary")
 
 
-def _scored(texts: DataFrame, answers: DataFrame, order: int) -> DataFrame:
-    """(row, ids, train, words, known, base, code) of each piece; a block's prices come first, its texts stream past."""
+def _scored(texts: DataFrame, answers: DataFrame, order: int, tasks: int) -> DataFrame:
+    """(row, ids, train, words, known, base, code) of each piece; a block's prices come first, its texts stream past. Blocks
+    are dealt evenly to so many tasks by the numbers they are made of."""
     none = lambda kind: F.lit(None).cast(kind)
     ids_type = texts.schema["ids"].dataType
     left = answers.select("block", "kind", "keys", "prices", none("bigint").alias("row"), none(ids_type).alias("ids"), none("boolean").alias("train"), none("binary").alias("part"))
@@ -425,7 +428,8 @@ def _scored(texts: DataFrame, answers: DataFrame, order: int) -> DataFrame:
                 yield measured(batch, at, parts)
 
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("ids", ids_type), T.StructField("train", T.BooleanType()), T.StructField("words", T.LongType()), T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("code", T.DoubleType())])
-    return left.unionByName(right).repartition("block").sortWithinPartitions("block", "kind").mapInArrow(run, schema)
+    turn = F.pmod(F.shiftright("block", BLOCK_SHIFT) + F.col("block").bitwiseAND((1 << BLOCK_SHIFT) - 1), F.lit(tasks)).cast("int")
+    return left.unionByName(right).repartitionById(tasks, turn).sortWithinPartitions("block", "kind").mapInArrow(run, schema)
 
 
 def score_texts(
@@ -465,7 +469,7 @@ def score_texts(
     ends = texts.where(F.col("last") & F.col("train")).count()
     distinct, tokens = seen + (ends > 0), counted + ends
     answers = _handed_out(priced, packs.select("kind", "bucket", "block", "keys"), salts)
-    parts = _scored(texts, answers, order)
+    parts = _scored(texts, answers, order, tasks)
     one = parts.groupBy("row").agg(F.first("ids").alias("ids"), F.first("train").alias("train"), *[F.sum(c).alias(c) for c in ("words", "known", "base", "code")])
     n = F.col("words") + 1
     out, _ = materialise(
