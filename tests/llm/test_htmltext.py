@@ -1,6 +1,7 @@
 import html
 import re
 
+import numpy as np
 import pytest
 
 from monthmill.llm import htmltext as H
@@ -100,3 +101,48 @@ LONG = " ".join(["A long text, told in many words, again and again."] * 12)
 )
 def test_all_selected_content_is_kept(page, text):
     assert H.main_text("<html><body>" + page + "<footer>Foot, foot.</footer></body></html>") == text
+
+
+PLAIN = "<html><body><div>" + "".join(f"<p><a href=/{i}>Go to place {i}, now.</a></p>" for i in range(8)) + f"</div><div><h2>Title of it</h2><p>{LONG}</p><p>Short.</p><blockquote>{LONG}</blockquote></div><div>" + "".join(f"<div>Item {i}</div>" for i in range(8)) + "</div></body></html>"
+
+
+def test_ratios_decide_where_no_tag_or_class_tells(monkeypatch):
+    text = f"Title of it\n\n{LONG}\n\nShort.\n\n{LONG}"
+    assert H.main_text(PLAIN) == text
+    rng = np.random.default_rng(0)
+    for spoilt in (lambda p, *_: np.ones(len(p)), lambda p, *_: rng.random(len(p)), lambda p, length, signs: -length):
+        monkeypatch.setattr(H, "fused_ratios", spoilt)
+        assert H.main_text(PLAIN) != text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article>" + "<div>x, y." * 100_000,
+        '<a href="y> ' * 83_333,
+        "<a href='y> <b c=\"z> " * 45_000,
+        "<a b=" * 200_000,
+        "<b>" * 200_000 + "<hr>" * 100_000 + "text, at last.",
+        "<div>" * 100_000 + "</span>" * 100_000 + "x, y.",
+        "<aside>" * 60_000 + "<article>" * 60_000 + "x, y.",
+        "<!-- " * 200_000,
+        "<p>a, b.</p><br>" * 65_000,
+        "<" * 1_000_000,
+        "&" * 1_000_000,
+    ],
+)
+def test_a_megabyte_of_broken_markup_takes_seconds(page):
+    import time
+
+    began = time.process_time()
+    assert isinstance(H.main_text(page), str)
+    assert time.process_time() - began < 10
+
+
+def test_quotes():
+    assert H.main_text("<p class=it's>One, two.</p><p title='a > b'>Three, four.</p><p title=\"never ends>Five, six.</p>") == "One, two.\n\nThree, four.\n\nFive, six."
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "u", "<p>a, b.</p>", "text", 5)], "page_id bigint, url string, html string, text string, n_chars int")
+    assert [tuple(r) for r in H.extract_main_text(df).collect()] == [(1, "u", "a, b.")]
