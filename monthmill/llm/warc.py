@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, require
+from .common import discard, fresh, materialise
 
 MAGIC = "WARC/1.0\r\n"
 GAP = "\r\n\r\n"
@@ -40,17 +40,19 @@ def with_record_types(pages: DataFrame, id_col: str = "page_id", payload_col: st
     Of rows with equal payloads of at least ``least`` bytes, that with the largest id is a response and the others revisit
     it; rows that repeat its id are responses too. A null payload is empty; rows with a null id are never referred to, and a
     group of only such rows is all responses. Payloads are compared by SHA-256, counted before they are joined, and only
-    groups of several rows are joined back, broadcast if there are few.
+    groups of several rows are joined back, broadcast if there are few. All columns of pages come back, but those named as
+    results, which are replaced.
     """
     payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
-    known = pages.withColumns({"payload_bytes": F.octet_length(payload).cast("long"), "payload_digest": F.sha1(payload), "mm_key": F.sha2(payload, 256)})
-    groups = known.where(F.col("payload_bytes") >= least).groupBy("mm_key").agg(F.max(id_col).alias("mm_first"), F.count("*").alias("mm_n"))
-    groups = groups.where((F.col("mm_n") > 1) & F.col("mm_first").isNotNull()).drop("mm_n")
-    revisit = F.col("mm_first").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("mm_first"))
+    key, first = fresh(pages, "mm_key"), fresh(pages, "mm_first")
+    known = pages.withColumns({"payload_bytes": F.octet_length(payload).cast("long"), "payload_digest": F.sha1(payload), key: F.sha2(payload, 256)})
+    groups = known.where(F.col("payload_bytes") >= least).groupBy(key).agg(F.max(id_col).alias(first), F.count("*").alias("n"))
+    groups = groups.where((F.col("n") > 1) & F.col(first).isNotNull()).drop("n")
+    revisit = F.col(first).isNotNull() & ~F.col(id_col).eqNullSafe(F.col(first))
     groups, _ = materialise(groups, "warc-groups")
     few = groups.count() <= BROADCAST_GROUPS  # then payloads stay where they are; else both sides are dealt by key
-    out = known.join(F.broadcast(groups) if few else groups, "mm_key", "left")
-    return out.withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col("mm_first"))}).drop("mm_key", "mm_first")
+    out = known.join(F.broadcast(groups) if few else groups, key, "left")
+    return out.withColumns({"record_type": F.when(revisit, "revisit").otherwise("response"), "refers_to": F.when(revisit, F.col(first))}).drop(key, first)
 
 
 def _field(name: str, value: Column) -> Column:

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from monthmill.llm import warc as W
 
@@ -16,7 +17,7 @@ def page(i, text, url="http://x/"):
 def pages(spark):
     same, short = "é" * 600, "s" * 999
     rows = [page(1, same), page(5, same), page(3, same), page(2, short), page(4, short), page(6, None, None), page(7, ""), page(8, "a\r\nb: c", "http://x/\r\nEvil: 1"), page(9, FAKE.format(n=2) + "tail"), page(10, FAKE.format(n=100000)), page(11, ("line\n" * 50 + FAKE.format(n=2) + "\r\n\r\n") * 20), page(12, "WARC/1.0\r\n" * 3), page(13, "\x00\x01\r\n\r\n"), page(14, "x" * 50_000), page(15, "ends\r\n\r\nWARC/1.0\r\n")]
-    return spark.createDataFrame(rows, SCHEMA).select("page_id", "url", "html")
+    return spark.createDataFrame(rows, SCHEMA)
 
 
 def written(pages, path, **options):
@@ -106,3 +107,25 @@ def test_strict_reading_raises_where_a_chain_breaks_off(spark, tmp_path):
     assert W.read_warc(spark, str(tmp_path / "f")).count() == 3
     with pytest.raises(ValueError, match="b.warc"):
         W.read_warc(spark, str(tmp_path / "f"), strict=True)
+
+
+def test_clashing_columns_come_back(pages):
+    out = W.with_record_types(pages)
+    assert set(out.columns) == {*pages.columns, "payload_bytes", "payload_digest", "refers_to"}
+    assert {r.mm_key for r in out.collect()} == {"clash"} and {r.record_type for r in out.collect()} == {"response", "revisit"}
+
+
+TAILS = ["x", "\r", "\n", "\r\n", "\r\n\r\n", "\r\n\r", "\n\r\nWARC/1.0"]
+
+
+def test_many_small_records_at_all_offsets(spark, tmp_path):
+    """Records of 0 to 138 bytes, so that gaps and magic lie across every read buffer's edge."""
+    n = 60_000
+    tail = F.element_at(F.array(*[F.lit(t) for t in TAILS]), (F.floor(F.col("page_id") / 20_000 * 7) % 7 + 1).cast("int"))
+    rows = spark.range(n, numPartitions=3).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.concat(F.repeat(F.lit("p"), (F.pmod(F.xxhash64("id"), F.lit(131))).cast("int")), F.lit("")).alias("body"))
+    rows = rows.select("page_id", "url", F.concat("body", tail).alias("html")).persist()
+    path = str(tmp_path / "w")
+    W.write_warc(W.with_record_types(rows), path)
+    got = W.read_warc(spark, path, strict=True).select(F.col("record_id").cast("long").alias("page_id"), F.col("payload").cast("string").alias("html"))
+    assert got.count() == n and got.join(rows, ["page_id", "html"]).count() == n
+    rows.unpersist()
