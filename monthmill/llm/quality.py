@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, require, text_slices
+from .common import discard, materialise, require, text_slices
 from .sampling import drawn, labelled
 
 #: Labelled rows that the model is fitted on, about, at most.
@@ -108,6 +108,14 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
 
+def gradients(p: Sequence[np.ndarray], z: np.ndarray, t: np.ndarray) -> list[np.ndarray]:
+    """Of the mean log loss, with the weights' decay, by the layers' weights and biases p."""
+    h = np.maximum(z @ p[0] + p[1], 0)
+    g = (1 / (1 + np.exp(-np.clip(h @ p[2] + p[3], -30, 30))) - t) / len(t)
+    back = np.outer(g, p[2]) * (h > 0)
+    return [z.T @ back + DECAY * p[0], back.sum(axis=0), h.T @ g + DECAY * p[2], g.sum(keepdims=True)]
+
+
 def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 1) -> Network:
     """Adam on the log loss of four fifths of the rows; the temperature is the best on the last fifth."""
     rng = np.random.default_rng(seed)
@@ -123,10 +131,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 1) -> Network:
         rng.shuffle(fit)
         for at in range(0, len(fit), BATCH):
             i = fit[at : at + BATCH]
-            h = np.maximum(z[i] @ p[0] + p[1], 0)
-            g = (1 / (1 + np.exp(-np.clip(h @ p[2] + p[3], -30, 30))) - t[i]) / len(i)
-            back = np.outer(g, p[2]) * (h > 0)
-            grads = [z[i].T @ back + DECAY * p[0], back.sum(axis=0), h.T @ g + DECAY * p[2], g.sum(keepdims=True)]
+            grads = gradients(p, z[i], t[i])
             step += 1
             rate = RATE * (1 - epoch / EPOCHS) + 1e-5
             for k, d in enumerate(grads):
@@ -160,7 +165,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label_col: st
     known = labelled(labels, id_col, label_col).where(train)
     sample = drawn(known, "id", sample_rows, "quality")
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    rows, _ = materialise(texts.join(F.broadcast(sample), "id").select("body", "label").repartition(TASKS), "quality-sample")  # sample_rows bounds the broadcast
+    rows, path = materialise(texts.join(F.broadcast(sample), "id").select("body", "label").repartition(TASKS), "quality-sample")  # sample_rows bounds the broadcast
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = context_sums(t for batch in text_slices(batches) for t in batch.column(0).to_pylist()).astype(np.float32)
@@ -187,6 +192,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label_col: st
 
     got = rows.select("body", "label").mapInArrow(pool, "x binary, label int").toArrow()
     sent.destroy()
+    discard(docs.sparkSession, path)
     y = got.column("label").to_numpy()
     if len(set(y.tolist())) < 2:
         return None

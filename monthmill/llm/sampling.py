@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Steps of a hash by which rows are drawn.
-GRAIN = 1 << 20
-
-
 def fold(id_col: Column, of: int) -> Column:
     """crc32 of the id as text, modulo ``of``; a null id counts as ''."""
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(of))
@@ -19,7 +15,8 @@ def drawn(df: DataFrame, id_col: str, rows: int, salt: str, total: int | None =
     n = df.count() if total is None else total
     if n <= rows:
         return df
-    return df.where(F.pmod(F.xxhash64(F.lit(salt), F.col(id_col)), F.lit(GRAIN)) < int(GRAIN * rows / n))
+    # all 64 bits of the hash count, so that the share may be as small as it gets
+    return df.where(F.xxhash64(F.lit(salt), F.col(id_col)) < F.lit(-(2**63) + 2**64 * rows // n))
 
 
 def labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:

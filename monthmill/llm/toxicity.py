@@ -65,6 +65,16 @@ def _texts_with(rows: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def nn_gradient(v: np.ndarray, p: np.ndarray, prior: float, n_p: int, n_u: int) -> np.ndarray:
+    """The step's gradient by the logits v, of which p are positives': that of the whole risk, or where the estimate of the
+    negatives' risk is below zero, that of its opposite alone."""
+    s = 1 / (1 + np.exp(-np.clip(v, -30, 30)))
+    loss_minus = np.logaddexp(0, v)
+    negative = loss_minus[~p].sum() / n_u - prior * loss_minus[p].sum() / n_p
+    minus = np.where(p, -prior * s / n_p, s / n_u)
+    return np.where(p, prior * (s - 1) / n_p, 0) + minus if negative >= 0 else -minus
+
+
 def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> ToxicityModel:
     """Full-batch Adam on the non-negative risk with the log loss."""
     n_p, n_u = max(1, len(positive)), max(1, len(unlabelled))
@@ -82,12 +92,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
         v = np.bincount(row, weights=w[flat], minlength=len(rows)) + w[-1]
-        s = 1 / (1 + np.exp(-np.clip(v, -30, 30)))
-        loss_minus = np.logaddexp(0, v)
-        negative = loss_minus[~p].sum() / n_u - prior * loss_minus[p].sum() / n_p
-        g_plus = np.where(p, prior * (s - 1) / n_p, 0)
-        g_minus = np.where(p, -prior * s / n_p, s / n_u)
-        g = g_plus + g_minus if negative >= 0 else -g_minus
+        g = nn_gradient(v, p, prior, n_p, n_u)
         grad = np.append(np.bincount(flat, weights=g[row], minlength=len(used)), g.sum())
         grad[:-1] += DECAY * w[:-1]
         first += 0.1 * (grad - first)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from monthmill.llm import quality as Q
 from monthmill.llm import toxicity as X
+from monthmill.llm.queries import op4_toxicity, op9_quality
 from monthmill.llm.sampling import drawn, fold, labelled
 
 
@@ -75,6 +76,8 @@ def test_samples(spark):
     df = spark.range(10_000).withColumnRenamed("id", "doc_id")
     assert 800 < drawn(df, "doc_id", 1000, "x").count() < 1200
     assert drawn(df, "doc_id", 20_000, "x").count() == 10_000
+    # 16,000 of 2e12 rows: about one of these would be drawn at 1e8 times the share, none is an error of the grain
+    assert drawn(df, "doc_id", 16_000, "x", 2 * 10**12).count() <= 1 and 300 < drawn(df, "doc_id", 10**17, "x", 2 * 10**18).count() < 700
     odd = spark.createDataFrame([(1, 0), (1, 1), (2, None), (None, 1), (3, 0)], "doc_id bigint, quality int")
     assert sorted(tuple(r) for r in labelled(odd, "doc_id", "quality").collect()) == [(1, 1), (3, 0)]
 
@@ -96,3 +99,56 @@ def test_edges(spark, odd_docs, no_docs, module):
     assert kept.count() == odd_docs.count() and kept.schema == odd_docs.schema
     with pytest.raises(ValueError):
         score(odd_docs, None, keep=["score"])
+
+
+def test_step_of_the_non_negative_risk():
+    """Against differences of the risk, and of its correction where the negatives' part is below zero."""
+    rng = np.random.default_rng(2)
+    p = np.arange(60) < 20
+
+    def parts(v):
+        plus = 0.3 * np.mean(np.logaddexp(0, -v[p]))
+        return plus, np.mean(np.logaddexp(0, v[~p])) - 0.3 * np.mean(np.logaddexp(0, v[p]))
+
+    for shift, low in ((0.0, False), (-6.0, True)):
+        v = rng.normal(size=60) + np.where(p, 6.0 if low else 0.0, shift)
+        assert (parts(v)[1] < 0) == low
+        risk = (lambda x: -parts(x)[1]) if low else (lambda x: sum(parts(x)))
+        wanted = [(risk(v + e) - risk(v - e)) / 2e-5 for e in np.eye(60) * 1e-5]
+        assert np.allclose(X.nn_gradient(v, p, 0.3, 20, 40), wanted, atol=1e-8)
+
+
+def test_gradients_of_the_network():
+    rng = np.random.default_rng(4)
+    z, t = rng.normal(size=(30, 5)), (rng.random(30) < 0.5).astype(float)
+    p = [rng.normal(size=s) for s in ((5, 7), (7,), (7,), (1,))]
+
+    def loss(q):
+        logit = np.maximum(z @ q[0] + q[1], 0) @ q[2] + q[3]
+        return np.mean(np.logaddexp(0, logit) - t * logit) + Q.DECAY / 2 * ((q[0] ** 2).sum() + (q[2] ** 2).sum())
+
+    for k, g in enumerate(Q.gradients(p, z, t)):
+        for at in np.ndindex(g.shape):
+            up, down = [a.copy() for a in p], [a.copy() for a in p]
+            up[k][at] += 1e-6
+            down[k][at] -= 1e-6
+            assert g[at] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-7)
+
+
+def auc(scores, truth):
+    order = np.argsort(scores, kind="stable")
+    ranks = np.empty(len(scores))
+    ranks[order] = np.arange(1, len(scores) + 1)
+    yes = truth.astype(bool)
+    return (ranks[yes].sum() - yes.sum() * (yes.sum() + 1) / 2) / (yes.sum() * (~yes).sum())
+
+
+@pytest.mark.parametrize(("query", "column", "least_auc", "least_hit", "most_false"), [(op4_toxicity, "toxic", 0.93, 0.85, 0.05), (op9_quality, "quality", 0.98, 0.97, 0.08)])
+def test_query_on_held_out_rows(spark, query, column, least_auc, least_hit, most_false):
+    sf = "/root/testdata/sf0.1"
+    out = query(spark, sf)
+    assert out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    rows = out.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").where(f"{column} is not null"), "doc_id").collect()
+    truth, scores, said = np.array([r[column] for r in rows]), np.array([r.score for r in rows]), np.array([r.predicted for r in rows])
+    assert len(rows) > 300 and auc(scores, truth) > least_auc
+    assert said[truth == 1].mean() > least_hit and said[truth == 0].mean() < most_false

@@ -44,6 +44,14 @@ def test_stages(spark, sf, stages):
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def test_quality_stage_keeps_good_documents(spark):
+    """On a table with labelled rows enough to learn from."""
+    sf = "/root/testdata/sf0.1"
+    kept = P.STAGES[0][1](spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).select("doc_id")
+    good = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id")
+    assert good.join(kept, "doc_id").count() >= 0.97 * good.count()
+
+
 def test_run_equals_its_stages(spark, sf, stages):
     got = {r.doc_id: r.n_tokens for r in P.run(spark, sf).collect()}
     assert got == {r.doc_id: r.n_tokens for r in stages[-1].collect()}
