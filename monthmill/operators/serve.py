@@ -131,10 +131,11 @@ def top_openings(openings: DataFrame, from_month: str, to_month: str, speed: str
     return with_total.orderBy(F.desc("games"), F.asc_nulls_last("eco"), F.asc_nulls_last("opening")).limit(check_limit(limit))
 
 
-def capped(rows: DataFrame, most: int) -> tuple[DataFrame, bool]:
-    """At most ``most`` rows, and whether there were more."""
-    more = rows.limit(most + 1).count() > most
-    return rows.limit(most), more
+def capped(rows: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` rows, and in ``truncated`` whether there were more: one row more is asked for, in one run."""
+    asked = rows.limit(most + 1)
+    counted = asked.withColumn("truncated", F.count(F.lit(1)).over(Window.partitionBy()) > most)  # over most + 1 rows at most
+    return counted.limit(most)
 
 
 def opening_highlights(totals: DataFrame) -> DataFrame:
@@ -228,13 +229,10 @@ def cost_months(costs: DataFrame) -> DataFrame:
     return costs.groupBy("month").agg(F.round(F.sum(F.col("cost").cast("decimal(18,4)")), 2).alias("cost"), one_currency().alias("currency"))
 
 
-def month_bounds(month: str) -> tuple[str, str]:
+def month_bounds(month: Column) -> tuple[Column, Column]:
     """First and last day of a month."""
-    import calendar
-
-    check_month(month)
-    year, number = map(int, month.split("-"))
-    return f"{month}-01", f"{month}-{calendar.monthrange(year, number)[1]:02d}"
+    first = F.to_date(F.concat(month, F.lit("-01")))
+    return first, F.last_day(first)
 
 
 def recent_months(day: Column) -> Column:
@@ -283,7 +281,7 @@ def get_game(games: DataFrame, game_id: str) -> DataFrame:
 
 
 def approx_players(players: DataFrame) -> DataFrame:
-    """About how many players a month has, and its heaviest one: what skew to expect."""
+    """About how many players a month has, and its player-games: what skew to expect."""
     return players.groupBy("month").agg(F.approx_count_distinct("player_id").alias("players"), F.count("*").alias("player_games"))
 
 

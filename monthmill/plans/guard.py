@@ -6,12 +6,20 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.serve import capped
+
 # Logical operators that a reader's query may have.
 READ_NODES = set(
     "Project Filter Aggregate Sort GlobalLimit LocalLimit Limit Offset Distinct Join LateralJoin SubqueryAlias UnresolvedRelation UnresolvedSubqueryColumnAliases UnresolvedWith UnresolvedHaving Union Intersect Except With WithWindowDefinition OneRowRelation UnresolvedInlineTable Generate Pivot UnresolvedPivot Unpivot Tail Sample LocalRelation Window CTERelationDef CTERelationRef WithCTE GroupingSets UnresolvedOrdinal".split()
 )
 
 
+# Functions that a reader's query may call; none reaches beyond the rows it is given.
+FUNCTIONS = set(
+    "abs acos add_months any any_value approx_count_distinct approx_percentile array array_agg array_contains array_distinct array_join array_max array_min array_position array_size array_sort ascii asin atan atan2 avg between bigint bool_and bool_or boolean cardinality cast ceil ceiling char_length character_length coalesce collect_list collect_set concat concat_ws contains corr cos count count_if covar_pop covar_samp cume_dist current_date current_timestamp date date_add date_diff date_format date_part date_sub date_trunc datediff day dayofmonth dayofweek dayofyear decimal dense_rank double element_at endswith every exists exp explode extract filter first first_value flatten float floor format_number from_unixtime get greatest grouping grouping_id hour if ifnull in initcap instr int isnotnull isnull kurtosis lag last last_day last_value lcase lead least left length like ln locate log log10 log2 lower lpad ltrim make_date map map_contains_key map_keys map_values max max_by mean median min min_by minute mod mode month months_between named_struct not now nth_value ntile nullif nvl nvl2 percent_rank percentile percentile_approx pmod posexplode position pow power quarter rank regexp_count regexp_extract regexp_like regexp_replace repeat replace reverse right rint rlike round row_number rpad rtrim second sequence sign sin size skewness slice some sort_array split split_part sqrt startswith std stddev stddev_pop stddev_samp string struct substr substring substring_index sum tan timestamp to_char to_date to_timestamp transform translate trim trunc try_add try_cast try_divide try_subtract try_to_timestamp ucase unix_timestamp upper var_pop var_samp variance weekofyear when year zip_with".split()
+)
+
+
 class SqlRejected(ValueError):
     """Not one read-only query over allowed tables."""
 
@@ -30,6 +38,22 @@ def _walk(plan):
                 yield from _walk(child)
 
 
+def _called(node):
+    """Names of the functions that a node's expressions call."""
+    held = [node.expressions()]
+    while held:
+        found = held.pop()
+        for i in range(found.size()):
+            e = found.apply(i)
+            kind = e.getClass().getSimpleName()
+            if kind == "UnresolvedFunction":
+                parts = e.nameParts()
+                yield ".".join(parts.apply(k).lower() for k in range(parts.size()))
+            elif kind == "UnresolvedGenerator":
+                yield e.name().unquotedString().lower()
+            held.append(e.children())
+
+
 def check_sql(spark: SparkSession, sql: str, schemas: set[str]) -> list[str]:
     """The schema.table names that a query reads; raises SqlRejected."""
     if not sql or not sql.strip():
@@ -45,6 +69,9 @@ def check_sql(spark: SparkSession, sql: str, schemas: set[str]) -> list[str]:
         kind = node.nodeName()
         if kind not in READ_NODES:
             raise SqlRejected(f"only queries are allowed ({kind} found)")
+        for name in _called(node):
+            if name not in FUNCTIONS:
+                raise SqlRejected(f"function {name!r} is not allowed")
         if kind == "UnresolvedWith":
             rel = node.cteRelations()
             for i in range(rel.size()):
@@ -63,11 +90,10 @@ def check_sql(spark: SparkSession, sql: str, schemas: set[str]) -> list[str]:
     return sorted(names)
 
 
-def guarded_sql(spark: SparkSession, sql: str, schemas: set[str], max_rows: int = 1000) -> tuple[DataFrame, bool]:
-    """At most ``max_rows`` rows of a checked query, and whether there were more."""
+def guarded_sql(spark: SparkSession, sql: str, schemas: set[str], max_rows: int = 1000) -> DataFrame:
+    """At most ``max_rows`` rows of a checked query, and in ``truncated`` whether there were more."""
     check_sql(spark, sql, schemas)
-    rows = spark.sql(sql).limit(max_rows + 1)
-    return rows.limit(max_rows), rows.count() > max_rows
+    return capped(spark.sql(sql), max_rows)
 
 
 def list_tables(spark: SparkSession, schema: str) -> list[tuple[str, str | None]]:

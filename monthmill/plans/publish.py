@@ -2,8 +2,9 @@
 
 Data lie in ``root/table/month=YYYY-MM/run=ID/``. A month is written under a new run, audited there, and published by
 appending one row to the pointer table ``root/_refs``; readers resolve the newest pointer of a month once and then read that
-run's files, which only compaction replaces, row for row. A rejected run appends nothing and is deleted. An empty month can be published. One writer
-a month at a time is assumed; publishing is as atomic as one file append.
+folder's files, which nothing changes: compaction writes another folder of the same run and moves the pointer. A rejected run
+appends nothing and is deleted. An empty month can be published. One writer a month at a time is assumed; publishing is as
+atomic as one file append.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .checks import Check, audit, gate
 
-REF = "table_name string, month string, run_id string, source_run_id string, published_at timestamp"
+REF = "table_name string, month string, run_id string, source_run_id string, published_at timestamp, folder string"
 HISTORY = "run_id string, checked_at timestamp, table_name string, partition string, check_name string, passed boolean, observed bigint, expected bigint, detail string, blocking boolean"
 
 
@@ -50,12 +51,18 @@ class Store:
         return self._log("_checks", HISTORY).withColumn("blocking", F.coalesce("blocking", F.lit(True)))
 
     def versions(self, table: str) -> DataFrame:
-        """The published run of each month: month, run_id, source_run_id."""
-        newest = F.max(F.struct("published_at", "run_id", "source_run_id")).alias("r")
-        return self.refs().where(F.col("table_name") == table).groupBy("month").agg(newest).select("month", "r.run_id", "r.source_run_id")
+        """The published run of each month and its folder: month, run_id, source_run_id, folder."""
+        return latest_runs(self.refs().where(F.col("table_name") == table)).select("month", "run_id", "source_run_id", "folder")
 
-    def run_path(self, table: str, month: str, run_id: str) -> str:
-        return f"{self.root}/{table}/month={month}/run={run_id}"
+    def run_path(self, table: str, month: str, run_id: str, folder: str | None = None) -> str:
+        return f"{self.root}/{table}/month={month}/{folder or f'run={run_id}'}"
+
+    def point(self, table: str, month: str, run_id: str, source_run_id: str | None, folder: str | None = None) -> None:
+        """Make a run, and the folder that holds it, the month's published one."""
+        one = self.spark.range(1).select(
+            F.lit(table).alias("table_name"), F.lit(month).alias("month"), F.lit(run_id).alias("run_id"), F.lit(source_run_id).cast("string").alias("source_run_id"), F.current_timestamp().alias("published_at"), F.lit(folder or f"run={run_id}").alias("folder")
+        )
+        one.coalesce(1).write.mode("append").parquet(f"{self.root}/_refs")
 
     def pin(self, table: str, month: str) -> str | None:
         row = self.versions(table).where(F.col("month") == month).first()
@@ -63,10 +70,11 @@ class Store:
 
     def read_month(self, table: str, month: str, run_id: str | None = None) -> tuple[DataFrame, str]:
         """Rows of one published month as of one moment, and their run."""
-        run_id = run_id or self.pin(table, month)
-        if run_id is None:
+        refs = self.refs().where((F.col("table_name") == table) & (F.col("month") == month))
+        row = latest_runs(refs.where(F.col("run_id") == run_id) if run_id else refs).first()
+        if row is None:
             raise LookupError(f"{table} has no month {month}")
-        return self.spark.read.parquet(self.run_path(table, month, run_id)), run_id
+        return self.spark.read.parquet(self.run_path(table, month, row.run_id, row.folder)), row.run_id
 
     def read(self, table: str, from_month: str | None = None, to_month: str | None = None) -> DataFrame:
         """Published rows of a range of months; only those months' files are listed and read."""
@@ -75,7 +83,7 @@ class Store:
             v = v.where(F.col("month") >= from_month)
         if to_month:
             v = v.where(F.col("month") <= to_month)
-        paths = [self.run_path(table, r.month, r.run_id) for r in v.orderBy("month").collect()]  # a row a month
+        paths = [self.run_path(table, r.month, r.run_id, r.folder) for r in v.orderBy("month").collect()]  # a row a month
         if not paths:
             raise LookupError(f"{table} has no months in that range")
         return self.spark.read.option("mergeSchema", "true").parquet(*paths)
@@ -97,8 +105,7 @@ class Store:
         found = self.spark.createDataFrame(audit(written, measures, checks).collect(), "check_name string, passed boolean, observed bigint, expected bigint, detail string, blocking boolean")  # a row a check
         ok = gate(found)
         if ok:
-            one = self.spark.range(1).select(F.lit(table).alias("table_name"), F.lit(month).alias("month"), F.lit(run_id).alias("run_id"), F.lit(source_run_id).cast("string").alias("source_run_id"), F.current_timestamp().alias("published_at"))
-            one.coalesce(1).write.mode("append").parquet(f"{self.root}/_refs")
+            self.point(table, month, run_id, source_run_id)
         else:
             self._delete(path)
         self.record(table, month, run_id, found)
@@ -112,6 +119,12 @@ class Store:
         return sorted(out)
 
 
+def latest_runs(refs: DataFrame) -> DataFrame:
+    """The newest pointer of each table and month: of equal times the larger run id."""
+    newest = F.max(F.struct("published_at", "run_id", *[c for c in refs.columns if c not in ("table_name", "month", "published_at", "run_id")])).alias("r")
+    return refs.groupBy("table_name", "month").agg(newest).select("table_name", "month", "r.*")
+
+
 def pending_months(source: DataFrame, target: DataFrame) -> DataFrame:
     """Months of source (month, run_id) that target (month, source_run_id) lacks or has from another run."""
     built = target.select("month", F.col("source_run_id").alias("built_from"))

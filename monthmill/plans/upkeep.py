@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.landing import files_under, write_text
-from .publish import Store
+from .publish import Store, latest_runs
+
+
+#: Size that compacted files have, about.
+FILE_BYTES = 256 << 20
 
 
 @dataclass(frozen=True)
@@ -42,29 +47,34 @@ def file_stats(files: DataFrame) -> DataFrame:
     return files.groupBy(month.alias("month")).agg(F.count("*").alias("files"), F.round(F.avg("length") / 1e6, 2).alias("mean_mb"), F.round(F.sum("length") / 1e9, 3).alias("total_gb"))
 
 
-def compact_month(store: Store, table: str, month: str, options: Settings = Settings(), files: int = 1, sort: list[str] | None = None) -> bool:
-    """Rewrite a published month into few files when it has many; rows, and the run ids in them, stay as they are, so no
-    layer below becomes stale. Whether it was rewritten."""
-    run = store.pin(table, month)
-    path = store.run_path(table, month, run)
-    if files_under(store.spark, path).count() < options.min_files:
-        return False
+def compact_month(store: Store, table: str, month: str, options: Settings = Settings(), sort: list[str] | None = None) -> bool:
+    """Rewrite a published month into few files when it has many; whether it was rewritten.
+
+    Rows, and the run ids in them, stay as they are, so no layer below becomes stale; a bucketed month stays bucketed, its
+    buckets written side by side. The new files are another folder of the same run, to which the pointer is moved: whoever
+    reads the old one goes on reading it until it expires.
+    """
+    ref = store.versions(table).where(F.col("month") == month).first()
+    if ref is None:
+        raise LookupError(f"{table} has no month {month}")
+    path = store.run_path(table, month, ref.run_id, ref.folder)
+    held = files_under(store.spark, path).agg(F.count("*").alias("files"), F.sum("length").alias("bytes")).first()
     rows = store.spark.read.parquet(path)
-    before = rows.count()
-    packed = rows.repartition(files)
+    bucketed = "bucket" in rows.columns
+    least = rows.select("bucket").distinct().count() if bucketed else 1
+    if held.files < max(options.min_files, least + 1):
+        return False
+    packed = rows.repartition("bucket") if bucketed else rows.repartition(max(1, held.bytes // FILE_BYTES))
     if options.strategy == "sort" and sort:
-        packed = packed.sortWithinPartitions(*sort)
-    new_path = f"{path}.compact"
-    packed.write.option("compression", "zstd").parquet(new_path)
-    if store.spark.read.parquet(new_path).count() != before:
+        packed = packed.sortWithinPartitions(*(["bucket"] if bucketed else []), *sort)
+    folder = f"run={ref.run_id}.{uuid.uuid4().hex[:8]}"
+    new_path = store.run_path(table, month, ref.run_id, folder)
+    writer = packed.write.option("compression", "zstd")
+    (writer.partitionBy("bucket") if bucketed else writer).parquet(new_path)
+    if store.spark.read.parquet(new_path).count() != rows.count():
         store._delete(new_path)
         raise RuntimeError(f"{table} {month}: compaction changed the number of rows")
-    fs = store.spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(store.spark._jsc.hadoopConfiguration())
-    p = lambda x: store.spark._jvm.org.apache.hadoop.fs.Path(x)
-    fs.rename(p(path), p(f"{path}.old"))
-    fs.rename(p(new_path), p(path))
-    fs.delete(p(f"{path}.old"), True)
-    store.spark.catalog.refreshByPath(path)
+    store.point(table, month, ref.run_id, ref.source_run_id, folder)
     return True
 
 
@@ -77,16 +87,17 @@ def expired(refs: DataFrame, now: dt.datetime, keep_days: int, keep_last: int) -
 def expire_runs(store: Store, now: dt.datetime, options: Settings = Settings()) -> int:
     gone = expired(store.refs(), now, options.keep_days, options.keep_last).collect()  # a row a superseded run
     for r in gone:
-        store._delete(store.run_path(r.table_name, r.month, r.run_id))
+        store._delete(store.run_path(r.table_name, r.month, r.run_id, r.folder))
     return len(gone)
 
 
 def orphan_files(files: DataFrame, refs: DataFrame, now: dt.datetime, days: int) -> DataFrame:
     """Files (path, modified) under a table that belong to no published run and are older than ``days``."""
-    at = r"/([^/]+)/month=(\d{4}-\d{2})/run=([^/.]+)/"
-    keyed = files.withColumns({"table_name": F.regexp_extract("path", at, 1), "month": F.regexp_extract("path", at, 2), "run_id": F.regexp_extract("path", at, 3)})
+    at = r"/([^/]+)/month=(\d{4}-\d{2})/(run=[^/]+)/"
+    keyed = files.withColumns({"table_name": F.regexp_extract("path", at, 1), "month": F.regexp_extract("path", at, 2), "folder": F.regexp_extract("path", at, 3)})
     old = keyed.where(F.col("modified") < F.lit(cutoff(now, days)))
-    return old.join(refs.select("table_name", "month", "run_id").distinct(), ["table_name", "month", "run_id"], "left_anti").select("path", "length", "modified")
+    held = refs.select("table_name", "month", F.coalesce("folder", F.concat(F.lit("run="), "run_id")).alias("folder")).distinct()
+    return old.join(held, ["table_name", "month", "folder"], "left_anti").select("path", "length", "modified")
 
 
 def remove_orphans(store: Store, table: str, now: dt.datetime, options: Settings = Settings(), dry_run: bool = True) -> list[str]:
@@ -128,9 +139,9 @@ def newest_version(names: DataFrame) -> DataFrame:
 
 def inventory(store: Store) -> DataFrame:
     """Where each table's published months lie: table_name, month, run_id, location."""
-    newest = F.max(F.struct("published_at", "run_id")).alias("r")
-    refs = store.refs().groupBy("table_name", "month").agg(newest).select("table_name", "month", "r.run_id")
-    return refs.withColumn("location", F.concat_ws("/", F.lit(store.root), "table_name", F.concat(F.lit("month="), "month"), F.concat(F.lit("run="), "run_id")))
+    refs = latest_runs(store.refs())
+    folder = F.coalesce("folder", F.concat(F.lit("run="), "run_id"))
+    return refs.select("table_name", "month", "run_id", F.concat_ws("/", F.lit(store.root), "table_name", F.concat(F.lit("month="), "month"), folder).alias("location"))
 
 
 def write_inventory(store: Store, path: str) -> None:

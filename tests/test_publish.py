@@ -70,7 +70,10 @@ def test_upkeep(store):
     run = publish.new_run_id()
     df = spark.range(100).select("id", F.lit("2013-01").alias("month"), F.lit(run).alias("_run_id")).repartition(8)
     assert store.publish("t", "2013-01", df, {"rows": F.count("*")}, [checks.not_empty()], run)
+    old = store.read_month("t", "2013-01")[0]
     assert upkeep.compact_month(store, "t", "2013-01", upkeep.Settings(min_files=5))
+    assert old.count() == 100  # whoever reads the old folder goes on
+    assert store.pin("t", "2013-01") == run
     assert not upkeep.compact_month(store, "t", "2013-01", upkeep.Settings(min_files=5))
     assert store.read("t").count() == 100 and {r._run_id for r in store.read("t").select("_run_id").distinct().collect()} == {run}
     stray = f"{store.root}/t/month=2013-01/run=nobody"
@@ -81,7 +84,7 @@ def test_upkeep(store):
     for _ in range(4):
         new = publish.new_run_id()
         assert store.publish("t", "2013-01", df.limit(10), {"rows": F.count("*")}, [checks.not_empty()], new)
-    assert upkeep.expire_runs(store, later, upkeep.Settings(keep_days=1, keep_last=3)) == 2
+    assert upkeep.expire_runs(store, later, upkeep.Settings(keep_days=1, keep_last=3)) == 3
     assert store.read("t").count() == 10
     path = f"{store.root}/inventory.json"
     upkeep.write_inventory(store, path)
@@ -92,6 +95,23 @@ def test_upkeep(store):
     assert upkeep.file_stats(upkeep.files_under(spark, f"{store.root}/t")).first().month == "2013-01"
 
 
+def test_compaction_keeps_buckets(store):
+    run = publish.new_run_id()
+    df = store.spark.range(200).select("id", F.lit("2013-01").alias("month"))
+    assert store.publish("b", "2013-01", df, {"rows": F.count("*")}, [checks.not_empty()], run, bucket="id", buckets=4)
+    assert not upkeep.compact_month(store, "b", "2013-01", upkeep.Settings(min_files=2))  # a file a bucket already
+    ref = store.versions("b").first()
+    folder = f"{ref.folder}.many"
+    store.read_month("b", "2013-01")[0].repartition(5).write.partitionBy("bucket").parquet(store.run_path("b", "2013-01", run, folder))
+    store.point("b", "2013-01", run, None, folder)
+    assert upkeep.compact_month(store, "b", "2013-01", upkeep.Settings(min_files=2, strategy="sort"), ["id"])
+    path = store.run_path("b", "2013-01", run, store.versions("b").first().folder)
+    files = [r.path for r in upkeep.files_under(store.spark, path).collect()]
+    assert len(files) == 4 and all("/bucket=" in f for f in files)
+    rows = store.read("b")
+    assert rows.count() == 200 and rows.where(F.col("bucket") != F.pmod(F.xxhash64("id"), F.lit(4))).isEmpty()
+
+
 def test_settings_and_versions(spark):
     assert upkeep.settings({"upkeep.min_files": "9"}).min_files == 9
     with pytest.raises(ValueError):
@@ -115,6 +135,7 @@ def schemas(spark):
 ACCEPTED = ["SELECT * FROM gold.numbers", "WITH x AS (SELECT id FROM gold.numbers) SELECT a.id FROM x a JOIN gold.numbers b USING (id)", "SELECT id, count(*) FROM gold.numbers GROUP BY id HAVING count(*) > 0 ORDER BY 1 LIMIT 2", "SELECT (SELECT max(id) FROM gold.numbers) m", "SELECT id FROM gold.numbers UNION SELECT id FROM gold.numbers"]
 REJECTED = [
     "", "INSERT INTO gold.numbers VALUES (1)", "DROP TABLE gold.numbers", "CREATE TABLE gold.x AS SELECT 1", "DELETE FROM gold.numbers", "UPDATE gold.numbers SET id = 1", "TRUNCATE TABLE gold.numbers", "ALTER TABLE gold.numbers RENAME TO gold.y", "USE gold", "SET x = 1", "SHOW TABLES", "SELECT 1; SELECT 2",
+    "SELECT reflect('java.lang.System', 'getProperty', 'user.name') FROM gold.numbers", "SELECT java_method('java.lang.System', 'lineSeparator') FROM gold.numbers", "SELECT id FROM gold.numbers WHERE upper(try_reflect('java.lang.System', 'lineSeparator')) = ''", "SELECT max(input_file_name()) FROM gold.numbers GROUP BY id HAVING count(*) > 0 ORDER BY reflect('a', 'b')", "SELECT transform(array(id), x -> reflect('a', x)) FROM gold.numbers", "SELECT (SELECT reflect('a', 'b') FROM gold.numbers) m", "WITH x AS (SELECT reflect('a', 'b') FROM gold.numbers) SELECT * FROM x", "SELECT * FROM gold.numbers LATERAL VIEW stack(2, 1, 2) t AS c",
     "SELECT * FROM loose", "SELECT * FROM raw.games", "SELECT * FROM parquet.`/etc`", "SELECT * FROM gold.numbers WHERE id IN (SELECT id FROM other.t)", "WITH x AS (SELECT * FROM other.t) SELECT * FROM x", "SELECT * FROM range(5)",
 ]
 
@@ -122,8 +143,8 @@ REJECTED = [
 @pytest.mark.parametrize("sql", ACCEPTED)
 def test_guard_accepts(spark, schemas, sql):
     assert guard.check_sql(spark, sql, schemas) == ["gold.numbers"]
-    rows, more = guard.guarded_sql(spark, sql, schemas, 2)
-    assert rows.count() <= 2 and isinstance(more, bool)
+    rows = guard.guarded_sql(spark, sql, schemas, 2).collect()
+    assert len(rows) <= 2 and all(isinstance(r.truncated, bool) for r in rows)
 
 
 @pytest.mark.parametrize("sql", REJECTED)
@@ -149,7 +170,6 @@ def test_arguments():
     with pytest.raises(ValueError):
         serve.check_fen("nonsense")
     assert serve.check_fen("rnbqkbnr/pppppppp/8/8/8/8/PPPPPPPP/RNBQKBNR w KQkq - 0 1")
-    assert serve.month_bounds("2024-02") == ("2024-02-01", "2024-02-29")
 
 
 def test_selectors(spark):
@@ -159,5 +179,5 @@ def test_selectors(spark):
         serve.select_months(m, "1999")
     assert [tuple(r) for r in serve.month_gaps(m).collect()] == [("2016-01", "2026-08")]
     assert tuple(serve.resolve_range(m, "2026-08", "2015-12").first()) == ("2015-12", "2026-08")
-    rows, more = serve.capped(m, 2)
-    assert rows.count() == 2 and more
+    assert [r.truncated for r in serve.capped(m, 2).collect()] == [True, True] and [r.truncated for r in serve.capped(m, 3).collect()] == [False] * 3
+    assert [tuple(map(str, r)) for r in m.select(*serve.month_bounds(F.lit("2024-02"))).limit(1).collect()] == [("2024-02-01", "2024-02-29")]
