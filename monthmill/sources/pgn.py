@@ -1,11 +1,15 @@
 """Game dumps in PGN text to one row a game, with Spark's own text reader doing the splitting.
 
 A record ends at a blank line followed by a tag line; that separator is the reader's ``lineSep``, so a file of any size is
-split between tasks, never inside a game, and a record but the first comes without its leading bracket.
+split between tasks, never inside a game, and a record but the first comes without its leading bracket. A file's first lines
+tell how its lines end. The reader may miss a separator among further blank lines at the edge of its buffer, so a record that
+still holds one is cut again.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,21 +32,32 @@ def tag_map(keys: Column, values: Column) -> Column:
 
 
 def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
-    """One row for each record: a column for each known tag, ``movetext`` (its lines joined by a space, '' where there is
-    none) and ``extra_tags`` (a map, null where empty). Bytes that are no UTF-8 become U+FFFD. Blank records are skipped."""
-    lines = F.filter(F.transform(F.split(F.make_valid_utf8(F.col(value)), r"\r?\n"), lambda x: F.trim(x)), lambda x: x != "")
-    parsed = records.withColumn("mm_lines", lines).where(F.size("mm_lines") > 0)
-    # the first line lost its bracket to the separator, unless it opens the file
+    """One row for each game: a column for each known tag, ``movetext`` (its lines joined by a space, '' where there is
+    none) and ``extra_tags`` (a map, null where empty). Bytes that are no UTF-8 become U+FFFD. Blank records are skipped, and
+    a record that holds several games, as a separator may be missed or lines may end otherwise, is cut into them."""
+    text = F.btrim(F.make_valid_utf8(F.col(value)), F.lit(" \t\r\n"))
+    text = F.when(text.contains("\r"), F.replace(text, F.lit("\r\n"), F.lit("\n"))).otherwise(text)
+    rest = [c for c in records.columns if c != value]
+    whole = records.select(*rest, text.alias("mm_text")).where("mm_text != ''")
+    several = F.col("mm_text").rlike(r"\n[ \t]*\n\[")
+    one = whole.select(*rest, F.explode(F.when(several, F.split("mm_text", r"\n[ \t]*\n\[")).otherwise(F.array("mm_text"))).alias("mm_text")).where("mm_text != ''")
+    # a game is tag lines, the first perhaps without the bracket that its separator took, then a blank line and moves
+    head = F.substring_index("mm_text", "\n\n", 1)
+    moves = F.substring("mm_text", F.length("mm_head") + 1, F.lit(2147483647))
+    plain = one.withColumn("mm_head", head).withColumn("mm_moves", F.btrim(moves, F.lit(" \t\r\n")))
+    usual = F.col("mm_head").rlike(r"\A\[?\w+[^\n]*\](\n\[[^\n]*\])*\z") & ~F.col("mm_moves").rlike(r"(?m)^[ \t]*\[")
+    # otherwise every line is looked at
+    lines = F.filter(F.transform(F.split("mm_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r"))), lambda x: x != "")
     is_tag = lambda x, i: F.when(i == 0, x.startswith("[") | x.rlike(r"^\w+(\s.*)?\]$")).otherwise(x.startswith("["))
-    parsed = parsed.withColumn("mm_kind", F.transform("mm_lines", lambda x, i: F.struct(x.alias("x"), is_tag(x, i).alias("t"))))
-    of = lambda tag: F.transform(F.filter("mm_kind", lambda s: s["t"] == tag), lambda s: s["x"])
-    parsed = parsed.withColumns({"mm_header": F.array_join(of(F.lit(True)), "\n"), "movetext": F.array_join(of(F.lit(False)), " ")})
+    of = lambda tag: F.transform(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), is_tag(x, i).alias("t"))), lambda s: s["t"] == tag), lambda s: s["x"])
+    told = F.when(F.col("mm_moves").contains("\n"), F.regexp_replace("mm_moves", r"\s*\n\s*", " ")).otherwise(F.col("mm_moves"))
+    cut = plain.withColumn("mm_usual", usual)
+    cut = cut.select(*rest, F.when(F.col("mm_usual"), F.col("mm_head")).otherwise(F.array_join(of(F.lit(True)), "\n")).alias("mm_header"), F.when(F.col("mm_usual"), told).otherwise(F.array_join(of(F.lit(False)), " ")).alias("movetext"))
     # two scans of the header, whatever its number of tags
     found = lambda pattern: F.regexp_extract_all("mm_header", F.lit(pattern), F.lit(1))
-    parsed = parsed.withColumns({"mm_keys": found(r"(?m)^\[?(\w+)"), "mm_values": F.transform(found(r"(?m)^\[?\w+[ \t]*([^\n]*?)[ \t]*\]?$"), unquoted)})
-    parsed = parsed.withColumn("mm_tags", tag_map(F.col("mm_keys"), F.col("mm_values")))
+    parsed = cut.select(*rest, "movetext", found(r"(?m)^\[?(\w+)").alias("mm_keys"), F.transform(found(r"(?m)^\[?\w+[ \t]*([^\n]*?)[ \t]*\]?$"), unquoted).alias("mm_values"))
+    parsed = parsed.select(*rest, "movetext", tag_map(F.col("mm_keys"), F.col("mm_values")).alias("mm_tags"))
     extra = F.map_filter("mm_tags", lambda k, v: ~k.isin(*TAGS))
-    rest = [c for c in records.columns if c != value]
     return parsed.select(*rest, *[F.element_at("mm_tags", F.lit(t)).alias(t) for t in TAGS], "movetext", F.when(F.size(extra) > 0, extra).alias("extra_tags"))
 
 
@@ -51,46 +66,72 @@ def with_lineage(rows: DataFrame, month: str, source_file: str | Column, run_id:
     return rows.withColumns({"month": F.lit(month), "_source_file": source, "_run_id": F.lit(run_id), "_ingested_at": F.current_timestamp()})
 
 
+def line_ends(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The files under path by how their lines end, told by the first 64 KB of each, unpacked where Hadoop has the codec."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    out: dict[str, list[str]] = {}
+    for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").collect():  # a row a file
+        p = jvm.org.apache.hadoop.fs.Path(r.path)
+        stream = p.getFileSystem(conf).open(p)
+        codec = codecs.getCodec(p)
+        stream = codec.createInputStream(stream) if codec is not None else stream
+        try:
+            head = bytes(stream.readNBytes(1 << 16))
+        finally:
+            stream.close()
+        out.setdefault("\r\n" if head.partition(b"\n")[0].endswith(b"\r") else "\n", []).append(r.path)
+    return out
+
+
 def read_pgn(spark: SparkSession, path: str, month: str, run_id: str, source_file: str | None = None) -> DataFrame:
-    """Games of the PGN text under path; plain, .gz and .bz2 files (and .zst where Hadoop has the codec)."""
-    text = spark.read.option("lineSep", "\n\n[").text(path).select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("mm_file"))
-    rows = parse_games(text)
-    return with_lineage(rows, month, source_file or F.col("mm_file"), run_id).drop("mm_file")
+    """Games of the PGN text under path; plain, .gz and .bz2 files (and .zst where Hadoop has the codec). Lines of a file end
+    in LF or in CR LF."""
+    texts = [spark.read.option("lineSep", f"{end}{end}[").text(files) for end, files in sorted(line_ends(spark, path).items())]
+    text = reduce(DataFrame.unionByName, [t.select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("mm_file")) for t in texts])
+    return with_lineage(parse_games(text), month, source_file or F.col("mm_file"), run_id).drop("mm_file")
 
 
 def read_pgn_zst(spark: SparkSession, path: str, month: str, run_id: str) -> DataFrame:
-    """The same for zstd files: one task a file, as zstd frames cannot be split; a file is unpacked as a stream."""
-    import io
-
+    """The same for zstd files of any size: a file is opened where its task runs, by any file system that Arrow knows, and
+    unpacked as a stream, one task a file, as zstd cannot be split; its games are dealt to all tasks before they are parsed."""
     import pyarrow as pa
-    import zstandard
 
     def unpack(batches):
+        import io
+
+        import zstandard
+        from pyarrow import fs
+
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for uri, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 held: list[str] = []
 
-                def flush(name=name):
+                def flush(name=name, held=held):
                     return pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array([name] * len(held), pa.string())], names=["value", "mm_file"])
 
-                lines = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw), read_across_frames=True), encoding="utf-8", errors="replace", newline="\n")
-                record: list[str] = []
-                blank = False
-                for line in lines:
-                    if blank and line.startswith("[") and record:
+                system, at = fs.FileSystem.from_uri(uri)
+                with system.open_input_stream(at, compression=None) as raw:
+                    lines = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True), encoding="utf-8", errors="replace", newline="\n")
+                    record: list[str] = []
+                    blank = False
+                    for line in lines:
+                        if blank and line.startswith("[") and record:
+                            held.append("".join(record))
+                            record = []
+                            if len(held) >= 5000:
+                                yield flush()
+                                held.clear()
+                        record.append(line)
+                        blank = not line.strip()
+                    if record:
                         held.append("".join(record))
-                        record = []
-                        if len(held) >= 5000:
-                            yield flush()
-                            held.clear()
-                    record.append(line)
-                    blank = not line.strip()
-                if record:
-                    held.append("".join(record))
-                yield flush()
-
-    files = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("mm_file"), "content")
-    rows = parse_games(files.mapInArrow(unpack, "value string, mm_file string"))
+                    yield flush()
+
+    named = F.element_at(F.split("path", "/"), -1).alias("mm_file")
+    files = spark.read.format("binaryFile").load(path).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), named)  # the listing alone: contents are not read
+    texts = files.repartition(max(1, files.count()), "path").mapInArrow(unpack, "value string, mm_file string")
+    rows = parse_games(texts.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return with_lineage(rows, month, F.col("mm_file"), run_id).drop("mm_file")
 
 

@@ -12,7 +12,8 @@ from ..sources.pgn import parse_games
 
 
 def stream_games(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
-    """Games of PGN files as they are put under path; the month is that of a game's UTC date."""
+    """Games of PGN files as they are put under path; the month is that of a game's UTC date. Lines end in LF; of a file with
+    CR LF, which a separator cannot cut, all games are still found, but by one task."""
     text = spark.readStream.format("text").option("lineSep", "\n\n[").option("maxFilesPerTrigger", files_per_batch).load(path)
     games = parse_games(text.select("value", F.col("_metadata.file_name").alias("_source_file")))
     return games.withColumn("month", F.replace(F.substring("UTCDate", 1, 7), F.lit("."), F.lit("-")))

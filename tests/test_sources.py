@@ -34,9 +34,10 @@ def test_read_pgn(spark, tmp_path):
     assert first._source_file == "a.pgn" and first.month == "2013-01"
 
 
-def test_splits_never_cut_a_game(spark, tmp_path):
-    games = "\n".join(f'[Event "E{i}"]\n[Site "s{i}"]\n\n1. e4 e5 {i}\n' for i in range(400))
-    (tmp_path / "b.pgn").write_text(games)
+@pytest.mark.parametrize(("end", "blanks"), [("\n", 1), ("\r\n", 1), ("\n", 3), ("\r\n", 2)])
+def test_splits_never_cut_a_game(spark, tmp_path, end, blanks):
+    games = ("\n" * blanks).join(f'[Event "E{i}"]\n[Site "s{i}"]\n\n1. e4 e5 {i}\n' for i in range(400))
+    (tmp_path / "b.pgn").write_bytes(games.replace("\n", end).encode())
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "777b")
     try:
@@ -46,6 +47,22 @@ def test_splits_never_cut_a_game(spark, tmp_path):
     assert got == {f"E{i}": f"1. e4 e5 {i}" for i in range(400)}
 
 
+def test_large_dumps_with_either_line_end(spark, tmp_path):
+    """Separators across the edges of read buffers, with further blank lines before them."""
+    for name, end, blanks in (("a", "\n", 2), ("b", "\r\n", 2), ("c", "\r\n", 1)):
+        games = ("\n" * blanks).join(f'[Event "{name}{i}"]\n[Site "s{"x" * (i % 61)}"]\n\n1. e4 e5 {i}\n' for i in range(20_000))
+        (tmp_path / f"{name}.pgn").write_bytes(games.replace("\n", end).encode())
+    rows = pgn.read_pgn(spark, str(tmp_path), "2013-01", "run")
+    assert rows.groupBy("_source_file").count().where("count = 20000").count() == 3
+    assert rows.where(F.col("movetext") != F.concat(F.lit("1. e4 e5 "), F.substring("Event", 2, 9))).isEmpty()
+
+
+def test_games_that_are_no_tag_block_and_moves(spark):
+    texts = ['[Event "A"]\n1. e4 *\n[Site "s"]', 'Event "B"]\n\n1. e4 {[%clk 1]}\n\ne5\n', "1. d4 *", '[Event "C"]\n\n[Site "t"]\n\n*', "\r\n \r\n", '[Event "D"]\r\n\r\n1. c4\r\n\r\n\r\n[Event "E"]\r\n\r\n*']
+    rows = pgn.parse_games(spark.createDataFrame([(t,) for t in texts], "value string")).collect()
+    assert sorted((r.Event or "", r.Site or "", r.movetext) for r in rows) == [("", "", "1. d4 *"), ("", "t", "*"), ("A", "s", "1. e4 *"), ("B", "", "1. e4 {[%clk 1]} e5"), ("C", "", ""), ("D", "", "1. c4"), ("E", "", "*")]
+
+
 def test_zst_and_write(spark, tmp_path):
     import zstandard
 
