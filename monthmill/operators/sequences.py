@@ -90,6 +90,15 @@ def next_steps(rows: DataFrame, state_fn: Callable | None = None, min_support: i
     return merged.select("*", F.col("best.game_id").alias("example_game_id"), F.col("best.rating").alias("example_rating")).drop("best")
 
 
+def pair_counts(rows: DataFrame, state_fn: Callable | None = None, min_support: int = MIN_SUPPORT) -> DataFrame:
+    """By month, how many distinct pairs of a prefix and a move have support, and of how many the prefix has no state."""
+    pairs = steps(rows)
+    kept = pairs.join(support(pairs, min_support), ["month", "prefix_hash", "move"], "left_semi").select("month", "prefix", "move").distinct()
+    state = built_in_state(F.col("prefix")) if state_fn is None else F.pandas_udf(state_fn, "string")("prefix")
+    states = kept.select("prefix").distinct().withColumn("position", state)
+    return kept.join(states, "prefix").groupBy("month").agg(F.count("*").alias("pairs"), F.count_if(F.col("position").isNull()).alias("unplaced"))
+
+
 def explore(position_moves: DataFrame, position: str, from_month: str | None = None, to_month: str | None = None, speeds: list[str] | None = None, bands: list[int] | None = None) -> DataFrame:
     """Moves from a position over a selection: counts, mean rating, share of the games, best example; most played first."""
     rows = position_moves.where(F.col("position") == position)

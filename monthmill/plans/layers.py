@@ -56,12 +56,7 @@ def build_explorer(store: Store, month: str, state_fn=None, min_support: int = s
     rows = sequences.game_rows(raw, games).persist()
     try:
         unique, joined = aggregates.once(games).count(), rows.count()
-        pairs = sequences.steps(rows)
-        kept = sequences.support(pairs, min_support)
-        state = sequences.built_in_state(F.col("prefix")) if state_fn is None else F.pandas_udf(state_fn, "string")("prefix")
-        prefixes = pairs.join(kept, ["month", "prefix_hash", "move"], "left_semi").select("prefix", "move").distinct()
-        placed = prefixes.join(prefixes.select("prefix").distinct().withColumn("position", state), "prefix")
-        n, bad = placed.agg(F.count("*"), F.count_if(F.col("position").isNull())).first()
+        n, bad = sequences.pair_counts(rows, state_fn, min_support).agg(F.coalesce(F.sum("pairs"), F.lit(0)), F.coalesce(F.sum("unplaced"), F.lit(0))).first()
         run = new_run_id()
         measures, rules = checks.explorer_audit(F.lit(unique), F.lit(joined), F.lit(n), F.lit(bad), start)
         moves = sequences.next_steps(rows, state_fn, min_support).withColumns({"_source_run_id": F.lit(source), "_run_id": F.lit(run), "_built_at": F.current_timestamp()})

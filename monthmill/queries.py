@@ -121,20 +121,17 @@ def _pending(spark, sf_dir):
 
 
 def _dq(kind: str, spark, sf_dir):
-    month = F.col("month")
+    """Checks of a layer by month, against what the layer below it, or the manifest, tells of each month."""
+    month, told = F.col("month"), F.col("told")
+    raw = raw_games(spark, sf_dir)
     if kind == "raw":
-        rows = raw_games(spark, sf_dir)
-        told = landing.rows_by_month(rows).select(month, F.col("rows").alias("told"))
-        joined = rows.join(F.broadcast(told), "month")  # a row a month
-        m, c = checks.raw_audit(month, F.col("told"))
-        return checks.audit(joined, m | {"told": F.max("told")}, c, ["month"]).drop("detail")
-    if kind == "curated":
-        rows = games(spark, sf_dir)
-        m, c = checks.curated_audit(month, F.col("rows"))
-        return checks.audit(rows, m, c, ["month"]).drop("detail")
-    rows = players(spark, sf_dir)
-    m, c = checks.player_games_audit(month, F.col("told"))
-    return checks.audit(rows, m | {"told": F.count_if(F.col("color") == "white")}, c, ["month"]).drop("detail")
+        rows, below, rule = raw, _told(spark, sf_dir).select(month, F.col("games").alias("told")), checks.raw_audit
+    elif kind == "curated":
+        rows, below, rule = games(spark, sf_dir), landing.rows_by_month(raw).select(month, F.col("rows").alias("told")), checks.curated_audit
+    else:
+        rows, below, rule = players(spark, sf_dir), landing.rows_by_month(games(spark, sf_dir)).select(month, F.col("rows").alias("told")), checks.player_games_audit
+    m, c = rule(month, told)
+    return checks.audit(rows.join(F.broadcast(below), "month", "left"), m | {"told": F.max("told")}, c, ["month"]).drop("detail")  # a row a month
 
 
 def _dq_gold(spark, sf_dir):
@@ -223,10 +220,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bot_leaderboard": lambda s, d: serve.bot_leaderboard(players(s, d), 20),
         "white_score_by_rating": lambda s, d: serve.score_by_rating(games(s, d), 100),
         "point_lookup": lambda s, d: _moment(serve.get_game(games(s, d), "00000097")).drop("_run_id", "_source_run_id"),
-        "approx_players": lambda s, d: serve.approx_players(players(s, d)),
-        "heaviest_players": lambda s, d: serve.heaviest_players(players(s, d)),
     }
-    return q
+    from . import queries_store
+
+    return q | queries_store.queries()
 
 
 def serve_explorer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,6 +320,10 @@ def _zero(name: str, condition: str, blocking: bool = True) -> tuple[str, str, s
     return name, n, "0", f"{n} = 0", blocking
 
 
+def _expected(name: str, observed: str, expected: str) -> tuple[str, str, str, str, bool]:
+    return name, observed, f"coalesce({expected}, 0)", f"{observed} = coalesce({expected}, 0)", True
+
+
 _NOT_EMPTY = ("not_empty", "count(*)", "NULL", "count(*) > 0", True)
 _OUT = lambda c: f"({c} IS NOT NULL AND {c} NOT BETWEEN 400 AND 4000)"
 _TERMS = "('" + "', '".join(C.TERMINATIONS) + "')"
@@ -349,8 +350,9 @@ def _dq_gold_sql() -> str:
 def oracle_sql() -> dict[str, str]:
     share = lambda c: f"{c} * 1.0 / games"
     best = lambda name, v: f"(SELECT '{name}' AS highlight, eco, opening FROM totals ORDER BY {v} DESC, games DESC, eco, opening LIMIT 1)"
-    white = "count(*) FILTER (color = 'white')"
-    return {
+    from . import queries_store
+
+    return queries_store.oracle_sql() | {
         "curated_games": f"WITH {_GAMES} SELECT * EXCLUDE (movetext) FROM games",
         "duplicate_flags": f"WITH {_GAMES} SELECT game_id, _source_file FROM games WHERE is_duplicate",
         "player_games": f"WITH {_PLAYERS} SELECT * FROM players",
@@ -382,12 +384,12 @@ def oracle_sql() -> dict[str, str]:
         "landed_vs_manifest": f"WITH {_LANDED} SELECT month, told.games AS expected, landed.rows AS landed, told.games IS NOT DISTINCT FROM landed.rows AS matches FROM told FULL JOIN landed USING (month)",
         "ingest_plan": f"WITH {_LANDED} SELECT c.month, CASE WHEN t.month IS NULL THEN 'pending' WHEN substr(c.month, 6, 2) = '05' THEN 'changed' ELSE 'done' END AS status FROM counts c LEFT JOIN told t USING (month)",
         "pending_months": f"WITH {_LANDED} SELECT month FROM counts WHERE substr(month, 6, 2) IN ('07', '08')",
-        "dq_raw": _checks(_GAMES, "raw", [("row_count_matches_manifest", "count(*)", "count(*)", "true", True), _zero("site_present", "Site IS NULL OR Site = ''"), _zero("result_valid", "Result IS NULL OR Result NOT IN ('1-0', '0-1', '1/2-1/2', '*')"), ("month_column_consistent", "0", "0", "true", True), _NOT_EMPTY]),
+        "dq_raw": _checks(f"{_LANDED}, src AS (SELECT raw.*, games AS told FROM raw LEFT JOIN told USING (month))", "src", [_expected("row_count_matches_manifest", "count(*)", "max(told)"), _zero("site_present", "Site IS NULL OR Site = ''"), _zero("result_valid", "Result IS NULL OR Result NOT IN ('1-0', '0-1', '1/2-1/2', '*')"), ("month_column_consistent", "0", "0", "true", True), _NOT_EMPTY]),
         "dq_curated": _checks(
-            _GAMES,
-            "games",
+            f"{_GAMES}, below AS (SELECT month, count(*) AS told FROM raw GROUP BY month), src AS (SELECT games.*, told FROM games JOIN below USING (month))",
+            "src",
             [
-                ("row_count_matches_raw", "count(*)", "count(*)", "true", True),
+                _expected("row_count_matches_raw", "count(*)", "max(told)"),
                 _zero("game_id_present", "game_id IS NULL"),
                 _zero("time_control_parseable", "speed IS NULL"),
                 _zero("played_at_present", "played_at IS NULL"),
@@ -401,12 +403,12 @@ def oracle_sql() -> dict[str, str]:
             ],
         ),
         "dq_player_games": _checks(
-            _PLAYERS,
-            "players",
+            f"{_PLAYERS}, below AS (SELECT month, count(*) AS told FROM games GROUP BY month), src AS (SELECT players.*, told FROM players JOIN below USING (month))",
+            "src",
             [
-                ("two_rows_per_game", "count(*)", f"2 * {white}", f"count(*) = 2 * {white}", True),
-                ("one_white_row_per_game", white, white, "true", True),
-                ("one_black_row_per_game", "count(*) FILTER (color = 'black')", white, f"count(*) FILTER (color = 'black') = {white}", True),
+                _expected("two_rows_per_game", "count(*)", "2 * max(told)"),
+                _expected("one_white_row_per_game", "count(*) FILTER (color = 'white')", "max(told)"),
+                _expected("one_black_row_per_game", "count(*) FILTER (color = 'black')", "max(told)"),
                 _zero("player_present", "player_id IS NULL OR player_id = ''"),
                 ("month_column_consistent", "0", "0", "true", True),
                 _NOT_EMPTY,
