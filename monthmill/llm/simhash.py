@@ -14,7 +14,8 @@ cells: homes by one hash, replicas by another, each pair of them compared in one
 
 Where near copies are to be similar in their shingles (:func:`one_of_each`), the fingerprint is a 128-bit sketch of the
 shingles' least hashes, covered in six parts of 21 bits and compared whole at the anchor: sketches within 11 bits have a part in
-which at most one bit differs, wherever in the text the edits are; of those at 12 and 13 bits, 0.3 % and 1.5 % have none.
+which at most one bit differs, wherever in the text the edits are. There the forest takes the closest pairs first, and every
+pair of it is decided by the shingles themselves.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ SKETCH = ["sketch_a", "sketch_b"]
 SKETCH_BITS = 128
 #: Parts of each of a sketch's two words.
 SKETCH_PARTS = 3
+#: Standard errors of a sketch's similarity by which a pair may fall short and still be looked at.
+SPREAD = 2.7
+#: Sketches, of 16 bytes each, up to which they are broadcast.
+BROADCAST_NODES = 200_000
 
 
 def shingle_hashes(words: list[bytes], shingle: int, seed: int) -> np.ndarray:
@@ -183,17 +188,18 @@ def replicas(nodes: DataFrame, max_bits: int, key: Sequence[str]) -> DataFrame:
     return nodes.select(*key).mapInArrow(run, "anchor bigint, role int, " + ", ".join(f"{k} bigint" for k in key))
 
 
-def forest(groups: np.ndarray, roles: np.ndarray, words: Sequence[np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (row, row) of a spanning forest of the links within each group; groups are numbers in ascending order. Rows are
-    linked where their words (a fingerprint, or the two of a sketch) differ in at most so many bits in all."""
+def forest(groups: np.ndarray, roles: np.ndarray, words: Sequence[np.ndarray], limits: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs (row, row) that span the links within each group; groups are numbers in ascending order. Rows are linked
+    where their words (a fingerprint, or the two of a sketch) differ in at most the last limit's bits in all; pairs within a
+    smaller limit are taken first."""
     n = len(groups)
-    first = words[0]
-
-    def near(i, j):
-        return sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in words) <= limit
-
-    label = np.arange(n)
+    place = label = np.arange(n)
+    label = label.copy()
     home = (roles & HOME) > 0
+    made: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def bits(i, j):
+        return sum(np.bitwise_count(w[i] ^ w[j]).astype(np.int64) for w in words)
 
     def join(i: np.ndarray, j: np.ndarray) -> None:
         while len(i):
@@ -202,7 +208,11 @@ def forest(groups: np.ndarray, roles: np.ndarray, words: Sequence[np.ndarray], l
             if not apart.any():
                 return
             i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+            high, low = np.maximum(a, b), np.minimum(a, b)
+            order = np.lexsort((low, high))
+            first = order[np.r_[True, high[order][1:] != high[order][:-1]]]
+            label[high[first]] = low[first]
+            made.append((i[first], j[first]))
             while True:
                 up = label[label]
                 if (up == label).all():
@@ -213,23 +223,27 @@ def forest(groups: np.ndarray, roles: np.ndarray, words: Sequence[np.ndarray], l
     sizes = np.diff(np.r_[starts, n])
     size_of = np.repeat(sizes, sizes)
     small = size_of <= 64
-    place = np.arange(n)
+    near: list[tuple[np.ndarray, np.ndarray]] = []
     for lag in range(1, min(64, int(size_of[small].max(initial=1)))):
         i = place[:-lag][small[:-lag] & (groups[:-lag] == groups[lag:]) & (home[:-lag] | home[lag:])]
-        i = i[near(i, i + lag)]
-        join(i, i + lag)
-    for start, size in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True):
-        inside = np.arange(start, start + size)
-        for at in range(0, size, 256):
-            mine = inside[at : at + 256]
-            mine = mine[home[mine]]
-            x, y = np.nonzero(np.bitwise_count(first[mine][:, None] ^ first[inside][None, :]) <= limit)
-            if len(words) > 1:
-                whole = near(mine[x], inside[y])
-                x, y = x[whole], y[whole]
-            join(mine[x], inside[y])
-    moved = np.flatnonzero(label != place)
-    return moved, label[moved]
+        d = bits(i, i + lag)
+        i, d = i[d <= limits[-1]], d[d <= limits[-1]]
+        for turn, limit in enumerate(limits):
+            mine = i[(d <= limit) & (d > (limits[turn - 1] if turn else -1))]
+            near.append((mine, mine + lag)) if turn else join(mine, mine + lag)
+    large = [(a, a + n) for a, n in zip(starts[sizes > 64].tolist(), sizes[sizes > 64].tolist(), strict=True)]
+    for turn, limit in enumerate(limits):
+        for i, j in near[turn - 1 :: len(limits) - 1] if turn else []:
+            join(i, j)
+        for start, stop in large:
+            inside = place[start:stop]
+            for at in range(start, stop, 256):
+                mine = place[at : min(at + 256, stop)]
+                mine = mine[home[mine]]
+                d = sum(np.bitwise_count(w[mine][:, None] ^ w[inside][None, :]).astype(np.int16) for w in words)
+                x, y = np.nonzero((d <= limit) & (label[mine][:, None] != label[inside][None, :]))
+                join(mine[x], inside[y])
+    return (np.concatenate([i for i, _ in made]), np.concatenate([j for _, j in made])) if made else (place[:0], place[:0])
 
 
 def node(key: Sequence[str], prefix: str = "") -> Column:
@@ -237,14 +251,10 @@ def node(key: Sequence[str], prefix: str = "") -> Column:
     return F.col(prefix + key[0]).alias("node") if len(key) == 1 else F.struct(*[F.col(prefix + k).alias(k) for k in key]).alias("node")
 
 
-def key_of(df: DataFrame) -> list[str]:
-    return SKETCH if "fingerprint" not in df.columns else ["fingerprint"]
-
-
 def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Edges (a, b) between nodes that connect all that are linked at an anchor (nodes: distinct fingerprints, or distinct
     sketches)."""
-    key = key_of(nodes)
+    key = ["fingerprint"] if "fingerprint" in nodes.columns else SKETCH
     rows = replicas(nodes, max_bits, key)
     probe = replicas(nodes.where(F.pmod(F.xxhash64(*key), F.lit(PROBE)) == 0), max_bits, key)
     hot, hot_path = materialise(probe.groupBy("anchor").agg((F.count("*") * PROBE).alias("n")).where(F.col("n") > cell_rows).select("anchor", F.ceil(F.col("n") / cell_rows).cast("int").alias("cells")), "hot-anchors")
@@ -264,6 +274,7 @@ def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFr
         cells = dealt.select("anchor", *key, placed).select("anchor", *key, "p.role", "p.cell")
 
     made = [f"{side}_{k}" for side in "ab" for k in key]
+    limits = [max_bits] if len(key) == 1 else sorted({max_bits // 4, max_bits // 2, max_bits * 3 // 4, max_bits})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -279,7 +290,13 @@ def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFr
             group = np.cumsum(group)
             held, rows_held = [(anchor[cut:], cell[cut:], role[cut:], *(w[cut:] for w in words))], len(anchor) - cut
             if cut:
-                a, b = forest(group[:cut], role[:cut], [w[:cut].view(np.uint64) for w in words], max_bits)
+                a, b = forest(group[:cut], role[:cut], [w[:cut].view(np.uint64) for w in words], limits)
+                # each pair one way round, so that anchors that find the same one agree
+                turned = np.lexsort(np.stack([np.r_[w[a], w[b]] for w in reversed(words)]))
+                place = np.empty(len(turned), np.int64)
+                place[turned] = np.arange(len(turned))
+                swap = place[: len(a)] > place[len(a) :]
+                a, b = np.where(swap, b, a), np.where(swap, a, b)
                 yield pa.RecordBatch.from_arrays([pa.array(w[side]) for side in (a, b) for w in words], names=made)
 
         limit = 200_000
@@ -298,45 +315,94 @@ def links(nodes: DataFrame, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFr
     return edges.select(node(key, "a_").alias("a"), node(key, "b_").alias("b"))
 
 
-def near_components(fps: DataFrame, id_col: str = "doc_id", max_bits: int = 3, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Rows of fps (any columns, among them id_col and ``fingerprint``, or without it the words of a sketch) with ``component_id``: the least id reachable over
-    links of at most max_bits differing bits, the row's own included; null ids count only where a component has no other;
-    and ``component_root``, its least fingerprint or sketch, which tells components apart also where ids repeat. fps is read twice, so give it as a
-    written table."""
-    key = key_of(fps)
+def near_components(fps: DataFrame, id_col: str = "doc_id", max_bits: int = 3, cell_rows: int = CELL_ROWS) -> tuple[DataFrame, list[str]]:
+    """Rows of fps (any columns, among them id_col and ``fingerprint``) with ``component_id``: the least id reachable over
+    links of at most max_bits differing bits, the row's own included; null ids count only where a component has no other.
+    fps is read twice, so give it as a written table. Also the scratch tables that the rows are still read from."""
+    key = ["fingerprint"]
     require(fps, id_col, *key)
-    spark = fps.sparkSession
-    nodes, _ = materialise(fps.groupBy(*key).agg(F.min(id_col).alias("least")), "nodes")
-    roots, _ = materialise(components(links(nodes, max_bits, cell_rows)), "roots")
+    nodes, nodes_path = materialise(fps.groupBy(*key).agg(F.min(id_col).alias("least")), "nodes")
+    roots, roots_path = materialise(components(links(nodes, max_bits, cell_rows)), "roots")
     named = nodes.select(node(key), *key, "least")
     linked = named.join(roots, "node").select(*key, "root", "least")
     least = linked.groupBy("root").agg(F.min("least").alias("least"))
-    labels = linked.drop("least").join(least, "root").select(*key, F.col("least").alias("component_id"), F.col("root").alias("component_root"))
-    alone = named.join(roots, "node", "left_anti").select(*key, F.col("least").alias("component_id"), F.col("node").alias("component_root"))
-    return fps.join(labels.unionByName(alone), key)
+    labels = linked.drop("least").join(least, "root").select(*key, F.col("least").alias("component_id"))
+    alone = named.join(roots, "node", "left_anti").select(*key, F.col("least").alias("component_id"))
+    return fps.join(labels.unionByName(alone), key), [nodes_path, roots_path]
 
 
 def simhash_components(df: DataFrame, shingle: int = 3, max_bits: int = 3, text_col: str = "text", id_col: str = "doc_id", cell_rows: int = CELL_ROWS) -> DataFrame:
-    """id_col, ``fingerprint`` (16 hexadecimal digits) and ``component_id`` of every row.
+    """id_col, ``fingerprint`` (16 hexadecimal digits) and ``component_id`` of every row, as a written table.
 
     Null and empty texts have fingerprint 0 and link like any other; repeated rows come back each; rows with a null id get
     their component's least id, null if it has none; an empty table gives no rows; other columns are ignored.
     """
-    fps, _ = materialise(simhash(df, shingle, text_col, [id_col]), "fingerprints")
-    out = near_components(fps, id_col, max_bits, cell_rows)
-    return out.select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    fps, path = materialise(simhash(df, shingle, text_col, [id_col]), "fingerprints")
+    rows, paths = near_components(fps, id_col, max_bits, cell_rows)
+    out, _ = materialise(rows.select(id_col, F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"), "simhash")
+    discard(df.sparkSession, path, *paths)
+    return out
+
+
+def shingle_sets(texts: DataFrame, shingle: int, seed: int = 42) -> DataFrame:
+    """The sketch's words and ``shingles``: the distinct 32-bit hashes, ascending, of the runs of words of ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            cut = [(t or "").encode().lower().split() for t in batch.column(2).to_pylist()]
+            made = [np.unique(shingle_hashes(w, shingle, seed)[:, :4].copy().view(np.uint32)).tobytes() if w else b"" for w in cut]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(made, pa.binary())], names=[*SKETCH, "shingles"])
+
+    return texts.select(*SKETCH, "text").mapInArrow(run, "sketch_a bigint, sketch_b bigint, shingles binary")
+
+
+def alike(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, list[str]]:
+    """Of pairs (a, b: sketches) those whose texts (sketch_a, sketch_b, text: one a sketch) have a Jaccard similarity of runs of
+    words of at least ``similarity``, and the scratch tables that they are read from."""
+    ends, ends_path = materialise(pairs.select("a.*").unionByName(pairs.select("b.*")).distinct(), "near-ends")
+    few = ends.count() <= BROADCAST_NODES  # then texts stay where they are; else both sides are dealt by sketch
+    sets, sets_path = materialise(shingle_sets(texts.join(F.broadcast(ends) if few else ends, SKETCH, "left_semi"), shingle), "near-sets")
+    side = lambda s: sets.select(node(SKETCH).alias(s), F.col("shingles").alias(f"{s}_shingles"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a.*", F.col("b.sketch_a").alias("other_a"), F.col("b.sketch_b").alias("other_b"), "a_shingles", "b_shingles")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            yes = []
+            for x, y in zip(batch.column(4), batch.column(5), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                yes.append(both > 0 and both / (len(x) + len(y) - both) >= similarity)
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(yes, pa.bool_()))
+
+    kept = joined.mapInArrow(run, "sketch_a bigint, sketch_b bigint, other_a bigint, other_b bigint")
+    other = F.struct(F.col("other_a").alias("sketch_a"), F.col("other_b").alias("sketch_b"))
+    return kept.select(node(SKETCH).alias("a"), other.alias("b")), [ends_path, sets_path]
 
 
 def one_of_each(df: DataFrame, shingle: int = 5, similarity: float = 0.8, text_col: str = "text", id_col: str = "doc_id", cell_rows: int = CELL_ROWS) -> DataFrame:
     """One row, all its columns, of each group of near copies: that with the least id (null last), ties to the least hash of
-    the text. Texts are near copies where sketches of their runs of ``shingle`` words tell a Jaccard similarity of at least
-    ``similarity``; the sketches alone find them too, so what was edited, and where, makes no difference. The choice is an aggregate, so a group
-    of any size is narrowed down where its rows are read."""
+    the text. Texts are near copies where their runs of ``shingle`` words have a Jaccard similarity of at least
+    ``similarity``, and groups are what such links connect.
+
+    Sketches propose pairs, up to ``SPREAD`` standard errors beyond the similarity, whatever was edited, and where; every
+    pair is then decided by the texts' own runs. Texts of one sketch are one from the start (at a similarity of 0.8 its 128
+    bits agree by chance in one pair of a million); null and empty texts have the same; an empty table gives no rows. Rows
+    travel as structs, so other columns may have any names. The first choice, of each sketch, is an aggregate, so a group of
+    any size is narrowed down where its rows are read.
+    """
     names = df.columns
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(text_col).alias("text"))
-    fps, _ = materialise(sketches(packed, shingle, "text", ["row"]).withColumn("id", F.col(f"row.`{id_col}`")), "fingerprints")
-    most = int(SKETCH_BITS * (1 - similarity) / 2 + 0.5)
-    labelled = near_components(fps.select("id", *SKETCH, "row"), "id", most, cell_rows)
-    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.xxhash64(F.col(f"row.`{text_col}`")).alias("h"))
-    one = labelled.groupBy("component_root").agg(F.min_by("row", order).alias("row"))
-    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in names])
+    row_id = F.col(f"row.`{id_col}`")
+    order = F.struct(row_id.isNull().alias("none"), row_id.alias("id"), F.xxhash64(F.col(f"row.`{text_col}`")).alias("h"))
+    first = sketches(packed, shingle, "text", ["row"]).groupBy(*SKETCH).agg(F.min_by("row", order).alias("row"))
+    firsts, _ = materialise(first, "near-firsts")
+    share = (1 - similarity) / 2  # of bits that differ, at the similarity
+    most = int(SKETCH_BITS * share + SPREAD * (SKETCH_BITS * share * (1 - share)) ** 0.5)
+    pairs, pairs_path = materialise(links(firsts.select(*SKETCH), most, cell_rows), "near-pairs")
+    linked, paths = alike(pairs, firsts.select(*SKETCH, F.col(f"row.`{text_col}`").alias("text")), shingle, similarity)
+    roots, roots_path = materialise(components(linked), "near-roots")
+    placed = firsts.select(node(SKETCH), order.alias("order")).join(roots, "node")
+    best = placed.groupBy("root").agg(F.min(F.struct("order", "node")).alias("best"))
+    gone, _ = materialise(placed.join(best, "root").where(F.col("node") != F.col("best.node")).select("node.*"), "near-gone")
+    discard(df.sparkSession, pairs_path, roots_path, *paths)
+    return firsts.join(gone, SKETCH, "left_anti").select(*[F.col(f"row.`{c}`").alias(c) for c in names])

@@ -71,7 +71,7 @@ def test_components_of_fingerprints(spark, bits, cell_rows):
     ids = rnd.sample(range(10_000), len(fps))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = spark.createDataFrame(list(zip(ids, signed, strict=True)), "doc_id bigint, fingerprint bigint")
-    got = {r.doc_id: r.component_id for r in S.near_components(df, max_bits=bits, cell_rows=cell_rows).collect()}
+    got = {r.doc_id: r.component_id for r in S.near_components(df, max_bits=bits, cell_rows=cell_rows)[0].collect()}
     want = plain_components(fps, ids, bits)
     assert [got[i] for i in ids] == want
 
@@ -151,3 +151,69 @@ def test_sketches_tell_short_texts_apart(words):
     made = [S.sketch(" ".join(w), 5) for w in a]
     bits = [sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(made[i], made[i + 1], strict=True)) for i in range(199)]
     assert min(bits) > 30 and abs(np.mean(bits) - 64) < 4
+
+
+def test_recall_at_the_threshold_and_nothing_below_it(spark):
+    """Pairs of texts at known similarities on both sides of 0.8, edited in every way."""
+    rnd = random.Random(8)
+    rows, above, below = [], [], []
+    for i in range(500):
+        n = rnd.choice([60, 150, 400])
+        words = [f"w{i}x{int(rnd.random() ** 2 * 300)}" for _ in range(n)]
+        kind, share = rnd.choice(["appended", "cut", "scattered"]), rnd.uniform(0.1, 0.4)
+        if kind == "appended":
+            copy = words + [f"new{rnd.randrange(10**6)}" for _ in range(round(share * n))]
+        elif kind == "cut":
+            copy = words[: n - round(share * n * 0.8)]
+        else:
+            copy = list(words)
+            for at in rnd.sample(range(5, n - 5), max(1, round(share * n / 10))):
+                copy[at] = f"new{rnd.randrange(10**6)}"
+        a, b = " ".join(words), " ".join(copy)
+        (above if jaccard(a, b) >= 0.8 else below).append(2 * i + 1)
+        rows += [(2 * i, a), (2 * i + 1, b)]
+    kept = {r.doc_id for r in S.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(above) > 100 and len(below) > 100
+    assert {2 * i for i in range(500)} | set(below) <= kept
+    assert sum(i not in kept for i in above) >= 0.9 * len(above)
+
+
+def test_one_of_each_against_brute_force(spark, sf):
+    """On the given documents: rows left are no near copies of one another, and no row goes without a link at 0.8."""
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    kept = {r.doc_id for r in S.one_of_each(spark.read.parquet(f"{sf}/documents.parquet")).collect()}
+    sets = {i: S.shingle_hashes(t.encode().lower().split(), 5, 42).view(">u8").ravel().tolist() if t.split() else [] for i, t in docs.items()}
+    ids, linked = sorted(docs), set()
+    for x, a in enumerate(ids):
+        for b in ids[:x]:
+            one, two = set(sets[a]), set(sets[b])
+            if one == two or len(one & two) >= 0.8 * len(one | two):
+                linked.add((a, b))
+    near = [p for p in linked if p[0] in kept and p[1] in kept]
+    assert len(near) <= 0.05 * len(linked)
+    assert all(any(i in p for p in linked) for i in ids if i not in kept)
+
+
+@pytest.mark.parametrize("size", [5, 64, 65, 700])
+def test_forest_spans_links_with_linked_pairs(size):
+    rng = np.random.default_rng(size)
+    groups = np.repeat([3, 9], size)
+    words = [rng.integers(0, 1 << 12, 2 * size).astype(np.uint64), rng.integers(0, 1 << 3, 2 * size).astype(np.uint64)]
+    i, j = S.forest(groups, np.full(2 * size, S.HOME | S.REPLICA), words, [1, 2])
+    bits = lambda a, b: sum(int(w[a] ^ w[b]).bit_count() for w in words)
+    assert all(bits(a, b) <= 2 and groups[a] == groups[b] for a, b in zip(i, j, strict=True))
+    parts = [list(range(2 * size)), list(range(2 * size))]
+
+    def find(p, x):
+        while p[x] != x:
+            x = p[x]
+        return x
+
+    for a, b in zip(i.tolist(), j.tolist(), strict=True):
+        assert find(parts[0], a) != find(parts[0], b)
+        parts[0][find(parts[0], a)] = find(parts[0], b)
+    for a in range(2 * size):
+        for b in range(a):
+            if groups[a] == groups[b] and bits(a, b) <= 2:
+                parts[1][find(parts[1], a)] = find(parts[1], b)
+    assert len({find(parts[0], x) for x in range(2 * size)}) == len({find(parts[1], x) for x in range(2 * size)})
