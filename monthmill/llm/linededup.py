@@ -23,8 +23,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 #: A key in at least so many documents is boilerplate.
 MIN_DOCS = 10
 #: Runs of a level that are merged into one of the next.
-FANOUT = 4
-#: Batches into which one table is dealt.
+FANOUT = 3
+#: Batches into which one table is dealt: the last one meets a merged run.
 BATCHES = 4
 #: Tasks to which the rows of one key, or of one text, are dealt.
 SALTS = 8

@@ -6,7 +6,7 @@ the first coordinates carry most of the length: for a chunk of a slab, the parti
 the product of the residual lengths bounds the inner product (Cauchy-Schwarz), and the product of the lengths bounds it
 before that. What cannot reach a query's k-th score so far is pruned; the rest is computed in full. The slab of the longest
 vectors runs first, and its k-th scores are the other slabs' start; a query is not even sent to a slab whose longest vector
-cannot reach its score. The rotation prunes; results never depend on it.
+cannot reach its score, nor a slab to a block of which no query asks for it. The rotation prunes; results never depend on it.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, require
+from .common import discard, materialise, require
+from .sampling import drawn
 
 #: Vectors in a slab and queries in a block: a group holds both, about 25 MB at 64 dimensions.
 SLAB_ROWS, BLOCK_ROWS = 20_000, 2_000
@@ -96,8 +97,8 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
 
     Queries are the rows where ``is_query`` holds, one for each id (of several, the least vector); candidates are all rows
     whose id is not the query's, repeated rows each. Rows with a null id, or a vector that is null, empty or not finite,
-    take no part. Where lengths of vectors differ, missing components count as 0. Ties go to smaller ids. Scores must fit
-    in a long.
+    take no part. Where lengths of vectors differ, missing components count as 0. Ties go to smaller ids. Components times
+    256, and scores, must fit in a long: larger finite ones are taken as the largest long. The result is a written table.
     """
     require(vectors, id_col, vector_col)
     spark = vectors.sparkSession
@@ -110,15 +111,17 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
         return spark.createDataFrame([], f"query_id bigint, rank int, {id_col} bigint, score bigint")
     slabs = max(1, -(-total // slab_rows))
     dealt = valid.repartitionByRange(slabs, F.desc("length"), F.xxhash64("id")).withColumn("slab", F.spark_partition_id()) if slabs > 1 else valid.withColumn("slab", F.lit(0))
-    rows, _ = materialise(dealt, "vectors")
-    sample = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < max(1, int((1 << 20) * min(1.0, SAMPLE_ROWS / total)))).select("v").toArrow().column("v").to_pylist()
+    rows, rows_path = materialise(dealt, "vectors")
+    sample = drawn(rows, "id", SAMPLE_ROWS, "rotation", total).select("v").toArrow().column("v").to_pylist()
     basis = rotation(_stack(sample, dim)) if sample else np.eye(dim)
     sent = spark.sparkContext.broadcast(basis)
-    longest = {r.slab: r.most for r in rows.groupBy("slab").agg(F.max("length").alias("most")).collect()}  # one row a slab
-    first = max(longest, key=lambda s: longest[s])
+    # one row a slab, and one of all of them
+    bounds = rows.groupBy("slab").agg(F.max("length").alias("most"))
+    first = bounds.orderBy(F.desc("most"), "slab").first().slab
+    reach = F.broadcast(bounds.where(F.col("slab") != first).agg(F.collect_list(F.struct("slab", "most")).alias("reach")))
     queries = rows.where("q").groupBy("id").agg(F.min("v").alias("v")).withColumn("length", length)
     blocks = max(1, -(-queries.count() // block_rows))
-    queries, _ = materialise(queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")), "queries")
+    queries, queries_path = materialise(queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")), "queries")
 
     def compare(slab: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         if not len(slab) or not len(block):
@@ -129,21 +132,21 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
         row, ids, score = match(slab["id"].to_numpy(), _stack(slab["v"], dim), q_ids, _stack(block["v"], dim), block["floor"].to_numpy(), k, sent.value)
         return pd.DataFrame({"query_id": q_ids[row], "id": ids, "score": score.astype(np.int64)})
 
-    def grid(candidates: DataFrame, asked: DataFrame) -> DataFrame:
-        left = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("slab", "block", "id", "v", "length")
+    def grid(asked: DataFrame) -> DataFrame:
+        """The best candidates of (slab, query) rows; a slab goes to the blocks that ask for it, and to no other."""
+        asking = asked.groupBy("slab").agg(F.collect_set("block").alias("blocks"))
+        left = rows.join(asking, "slab").withColumn("block", F.explode("blocks")).select("slab", "block", "id", "v", "length")
         return left.groupBy("slab", "block").cogroup(asked.select("slab", "block", "id", "v", "floor").groupBy("slab", "block")).applyInPandas(compare, out)
 
     none = F.lit(float("-inf"))
-    start, _ = materialise(grid(rows.where(F.col("slab") == first), queries.withColumns({"slab": F.lit(first), "floor": none})), "top-first")
-    found = start
-    others = sorted(s for s in longest if s != first)
-    if others:
-        floors = start.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score").cast("double")).otherwise(none).alias("floor"))
-        asked = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", none))
-        most = F.array(*[F.struct(F.lit(s).alias("slab"), F.lit(longest[s]).alias("most")) for s in others])
-        reach = F.filter(most, lambda s: F.col("length") * s["most"] * (1 + 1e-9) + 1e-6 >= F.col("floor"))
-        asked = asked.withColumn("slab", F.explode(F.transform(reach, lambda s: s["slab"])))
-        found = start.unionByName(grid(rows.where(F.col("slab") != first), asked))
+    start, start_path = materialise(grid(queries.withColumns({"slab": F.lit(first), "floor": none})), "top-first")
+    floors = start.groupBy(F.col("query_id").alias("id")).agg(F.when(F.count("*") >= k, F.min("score").cast("double")).otherwise(none).alias("floor"))
+    asked = queries.join(floors, "id", "left").withColumn("floor", F.coalesce("floor", none)).crossJoin(reach)
+    within = F.filter("reach", lambda s: F.col("length") * s["most"] * (1 + 1e-9) + 1e-6 >= F.col("floor"))
+    asked = asked.withColumn("slab", F.explode(F.transform(within, lambda s: s["slab"]))).drop("reach")
+    found = start.unionByName(grid(asked)) if slabs > 1 else start
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
+    result, _ = materialise(ranked.select("query_id", "rank", F.col("id").alias(id_col), "score"), "top")
+    discard(spark, rows_path, queries_path, start_path)
+    return result
