@@ -47,7 +47,7 @@ TASK_BYTES = 32_000_000
 #: Bytes of a text beyond which it goes on in a further piece, from the next space on.
 PIECE_BYTES = 4_000_000
 #: Bytes that are turned into grams at once.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 #: Bytes of text for each dealing of keys, and the most dealings.
 BUCKET_BYTES, MOST_BUCKETS = 4_000_000, 8192
 #: Blocks whose counts are added up in one task.
