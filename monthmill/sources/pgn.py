@@ -35,12 +35,11 @@ def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
     """One row for each game: a column for each known tag, ``movetext`` (its lines joined by a space, '' where there is
     none) and ``extra_tags`` (a map, null where empty). Bytes that are no UTF-8 become U+FFFD. Blank records are skipped, and
     a record that holds several games, as a separator may be missed or lines may end otherwise, is cut into them."""
-    text = F.btrim(F.make_valid_utf8(F.col(value)), F.lit(" \t\r\n"))
-    text = F.when(text.contains("\r"), F.replace(text, F.lit("\r\n"), F.lit("\n"))).otherwise(text)
+    # the text is told once: a filter below the cut, or one that Spark infers for an inner explode, would tell it again
+    text = F.replace(F.btrim(F.make_valid_utf8(F.col(value)), F.lit(" \t\r\n")), F.lit("\r\n"), F.lit("\n"))
     rest = [c for c in records.columns if c != value]
-    whole = records.select(*rest, text.alias("mm_text")).where("mm_text != ''")
-    several = F.col("mm_text").rlike(r"\n[ \t]*\n\[")
-    one = whole.select(*rest, F.explode(F.when(several, F.split("mm_text", r"\n[ \t]*\n\[")).otherwise(F.array("mm_text"))).alias("mm_text")).where("mm_text != ''")
+    whole = records.select(*rest, text.alias("mm_text"))
+    one = whole.select(*rest, F.explode_outer(F.split("mm_text", r"\n[ \t]*\n\[")).alias("mm_text")).where("mm_text != ''")
     # a game is tag lines, the first perhaps without the bracket that its separator took, then a blank line and moves
     head = F.substring_index("mm_text", "\n\n", 1)
     moves = F.substring("mm_text", F.length("mm_head") + 1, F.lit(2147483647))
