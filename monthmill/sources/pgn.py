@@ -44,17 +44,21 @@ def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
     head = F.substring_index("mm_text", "\n\n", 1)
     moves = F.substring("mm_text", F.length("mm_head") + 1, F.lit(2147483647))
     plain = one.withColumn("mm_head", head).withColumn("mm_moves", F.btrim(moves, F.lit(" \t\r\n")))
-    usual = F.col("mm_head").rlike(r"\A\[?\w++[^\n]*+(?<=\])(?:\n\[[^\n]*+(?<=\]))*+\z") & ~F.col("mm_moves").rlike(r"(?m)^[ \t]*\[")
+    usual = F.col("mm_head").rlike(r"\A\[?\w++ \"[^\"\\\n]*+\"\](?:\n\[\w++ \"[^\"\\\n]*+\"\])*+\z") & ~F.col("mm_moves").rlike(r"(?m)^[ \t]*\[")
     # otherwise every line is looked at
     lines = F.filter(F.transform(F.split("mm_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r"))), lambda x: x != "")
     is_tag = lambda x, i: F.when(i == 0, x.startswith("[") | x.rlike(r"^\w+(\s.*)?\]$")).otherwise(x.startswith("["))
     of = lambda tag: F.transform(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), is_tag(x, i).alias("t"))), lambda s: s["t"] == tag), lambda s: s["x"])
     told = F.when(F.col("mm_moves").contains("\n"), F.regexp_replace("mm_moves", r"\s*\n\s*", " ")).otherwise(F.col("mm_moves"))
     cut = plain.withColumn("mm_usual", usual)
-    cut = cut.select(*rest, F.when(F.col("mm_usual"), F.col("mm_head")).otherwise(F.array_join(of(F.lit(True)), "\n")).alias("mm_header"), F.when(F.col("mm_usual"), told).otherwise(F.array_join(of(F.lit(False)), " ")).alias("movetext"))
-    # two scans of the header, whatever its number of tags
+    cut = cut.select(*rest, "mm_usual", F.when(F.col("mm_usual"), F.col("mm_head")).otherwise(F.array_join(of(F.lit(True)), "\n")).alias("mm_header"), F.when(F.col("mm_usual"), told).otherwise(F.array_join(of(F.lit(False)), " ")).alias("movetext"))
+    # a usual header is cut between its lines, as no value holds a quote; another is scanned twice, whatever its number of tags
+    bare = F.ltrim(F.substring("mm_header", F.lit(1), F.length("mm_header") - 2), F.lit("["))
+    tags = cut.withColumn("mm_tags", F.when(F.col("mm_usual"), F.split(bare, r'"\]\n\[')))
     found = lambda pattern: F.regexp_extract_all("mm_header", F.lit(pattern), F.lit(1))
-    parsed = cut.select(*rest, "movetext", found(r"(?m)^\[?(\w+)").alias("mm_keys"), F.transform(found(r"(?m)^\[?\w++[ \t]*+(\"(?:[^\"\\\n]++|\\.)*+\"(?=[ \t]*\]?$)|[^\n]*?)[ \t]*\]?$"), unquoted).alias("mm_values"))
+    keys = F.when(F.col("mm_usual"), F.transform("mm_tags", lambda x: F.substring_index(x, ' "', 1))).otherwise(found(r"(?m)^\[?(\w+)"))
+    values = F.when(F.col("mm_usual"), F.transform("mm_tags", lambda x: F.substring_index(x, '"', -1))).otherwise(F.transform(found(r"(?m)^\[?\w++[ \t]*+(\"(?:[^\"\\\n]++|\\.)*+\"(?=[ \t]*\]?$)|[^\n]*?)[ \t]*\]?$"), unquoted))
+    parsed = tags.select(*rest, "movetext", keys.alias("mm_keys"), values.alias("mm_values"))
     parsed = parsed.select(*rest, "movetext", tag_map(F.col("mm_keys"), F.col("mm_values")).alias("mm_tags"))
     extra = F.map_filter("mm_tags", lambda k, v: ~k.isin(*TAGS))
     return parsed.select(*rest, *[F.element_at("mm_tags", F.lit(t)).alias(t) for t in TAGS], "movetext", F.when(F.size(extra) > 0, extra).alias("extra_tags"))
