@@ -53,8 +53,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A table that is read in fewer splits than there are cores, such as one small file, dealt to all; others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RAW_SQL, orders=_table(spark, sf_dir, "orders"))
+    return spark.sql(RAW_SQL, orders=_spread(_table(spark, sf_dir, "orders")))
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
