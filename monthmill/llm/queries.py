@@ -15,6 +15,7 @@ from .linededup import drop_common_lines
 from .lm import score_texts
 from .quality import fit_quality, score_quality
 from .sampling import fold
+from .secretscan import fit_secrets, rule_findings, scan_secrets
 from .simhash import simhash_components
 from .topk import top_inner_products
 from .toxicity import fit_toxicity, score_toxicity
@@ -93,8 +94,15 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) != 2)
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules find in every document, with what a network trained on their findings adds."""
+    docs = table(spark, sf_dir, "documents")
+    found = scan_secrets(docs, fit_secrets(rule_findings(docs)))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_main_text, op2_decontamination, op3_warc, op4_toxicity, op5_simhash, op6_topk, op7_line_dedup, op8_bpe, op9_quality, op10_lm)}
+    return {f.__name__: f for f in (op1_main_text, op2_decontamination, op3_warc, op4_toxicity, op5_simhash, op6_topk, op7_line_dedup, op8_bpe, op9_quality, op10_lm, op11_secrets)}
 
 
 #: DuckDB's form of the blanks that a line key loses at both ends.
