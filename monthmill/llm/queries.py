@@ -13,6 +13,7 @@ from .decontam import decontaminate
 from .htmltext import extract_main_text
 from .linededup import drop_common_lines
 from .lm import score_texts
+from .phrases import collocations
 from .quality import fit_quality, score_quality
 from .sampling import fold
 from .secretscan import fit_secrets, rule_findings, scan_secrets
@@ -101,8 +102,13 @@ def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's phrases that stick together most, of those that occur 100 times or more."""
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"), min_count=100, top=2000)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_main_text, op2_decontamination, op3_warc, op4_toxicity, op5_simhash, op6_topk, op7_line_dedup, op8_bpe, op9_quality, op10_lm, op11_secrets)}
+    return {f.__name__: f for f in (op1_main_text, op2_decontamination, op3_warc, op4_toxicity, op5_simhash, op6_topk, op7_line_dedup, op8_bpe, op9_quality, op10_lm, op11_secrets, op12_phrases)}
 
 
 #: DuckDB's form of the blanks that a line key loses at both ends.
@@ -162,5 +168,30 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+OP12_SQL = f"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_FOLD.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM pieces, generate_series(1, 5) AS s(k) WHERE len(w) >= k)
+  GROUP BY ALL HAVING count(*) >= 100),
+cut AS (
+  SELECT g.lang, g.phrase, g.f AS a, k, unnest(generate_series(1, k - 1)) AS c, string_split(g.phrase, ' ') AS w FROM grams g WHERE k > 1),
+scored AS (
+  SELECT cut.lang, cut.phrase, a, c, x.f AS l, y.f AS r, n, CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM cut JOIN n USING (lang)
+  JOIN grams x ON x.lang = cut.lang AND x.phrase = array_to_string(list_slice(w, 1, c), ' ')
+  JOIN grams y ON y.lang = cut.lang AND y.phrase = array_to_string(list_slice(w, c + 1, len(w)), ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inside AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, max(f) AS longer
+  FROM (SELECT *, unnest(generate_series(1, k - m + 1)) AS i FROM (SELECT lang, k, f, string_split(phrase, ' ') AS w, unnest(generate_series(2, k - 1)) AS m FROM grams WHERE k > 2)) GROUP BY ALL),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score FROM kept QUALIFY rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op6_topk": OP6_SQL, "op7_line_dedup": OP7_SQL}
+    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op6_topk": OP6_SQL, "op7_line_dedup": OP7_SQL, "op12_phrases": OP12_SQL}
