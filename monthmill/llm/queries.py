@@ -20,6 +20,7 @@ from .secretscan import fit_secrets, rule_findings, scan_secrets
 from .simhash import simhash_components
 from .topk import top_inner_products
 from .toxicity import fit_toxicity, score_toxicity
+from .trie import prefix_trie
 from .warc import read_warc, with_record_types, write_warc
 
 
@@ -107,8 +108,13 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents").select("text", "lang"), min_count=100, top=2000)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_main_text, op2_decontamination, op3_warc, op4_toxicity, op5_simhash, op6_topk, op7_line_dedup, op8_bpe, op9_quality, op10_lm, op11_secrets, op12_phrases)}
+    return {f.__name__: f for f in (op1_main_text, op2_decontamination, op3_warc, op4_toxicity, op5_simhash, op6_topk, op7_line_dedup, op8_bpe, op9_quality, op10_lm, op11_secrets, op12_phrases, op13_prefix_trie)}
 
 
 #: DuckDB's form of the blanks that a line key loses at both ends.
@@ -193,5 +199,26 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, e
 """
 
 
+#: crc32 of a decimal number, byte by byte and bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+    lambda v, b: list_reduce(list_prepend(xor(v, b), [CAST(0 AS BIGINT) FOR i IN range(8)]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+OP13_SQL = f"""
+WITH stored AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+cut AS (SELECT c, t, CAST({_CRC} % 6 AS BIGINT) AS h FROM stored),
+rebuilt AS (SELECT cut.c, list_concat(coalesce(list_slice(b.t, 1, h), []), coalesce(list_slice(cut.t, h + 1, len(cut.t)), [])) AS s FROM cut LEFT JOIN stored b ON b.c = cut.c - cut.c % 100),
+member AS (SELECT c, d, list_slice(s, 1, d) AS p, d = len(s) AS ends FROM (SELECT c, s, unnest(generate_series(0, len(s))) AS d FROM rebuilt)),
+node AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256,
+    CASE WHEN d > 0 THEN list_slice(p, 1, d - 1) END AS above FROM member GROUP BY p, d),
+child AS (SELECT above AS p, count(*) AS n FROM node WHERE above IS NOT NULL GROUP BY above),
+told AS (SELECT node.*, coalesce(child.n, 0) AS n_children, CASE WHEN node.d > 0 THEN (n_convs - 1) * length(node.p[node.d].text) ELSE 0 END AS saved FROM node LEFT JOIN child USING (p)),
+sums AS (SELECT list_slice(p, 1, j) AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM (SELECT *, unnest(generate_series(0, d)) AS j FROM told) GROUP BY 1)
+SELECT t.conv_id, t.d AS depth, a.conv_id AS parent_conv_id, t.n_convs, t.n_children, n_leaves, saved_tokens, t.ends_sha256
+FROM told t JOIN sums USING (p) LEFT JOIN node a ON a.p = t.above
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op6_topk": OP6_SQL, "op7_line_dedup": OP7_SQL, "op12_phrases": OP12_SQL}
+    return {"op2_decontamination": OP2_SQL, "op3_warc": OP3_SQL, "op6_topk": OP6_SQL, "op7_line_dedup": OP7_SQL, "op12_phrases": OP12_SQL, "op13_prefix_trie": OP13_SQL}
