@@ -8,15 +8,15 @@ from then on nothing reads a text again. A phrase of up to ``OVERLAP`` + 1 words
 whole and is counted there, once for each time that the chunk was parsed; one that ends within the overlap belongs to the chunk
 before. What stretches beyond ``MOST_TOKENS`` without a trigger is cut all the same, which costs nothing but repetition.
 
-Phrases are counted by length: first words, then pairs of words that are frequent themselves, then longer phrases all of whose
-pairs are frequent, as no phrase is more frequent than one within it. Which shorter ones are frequent is told to the tasks by
-a bitmap of ``FILTER_BITS`` bits at most, whatever the corpus: a bit too many lets a phrase be counted that is rare, and no
-frequent one is ever left out. Counts are of whole strings, added up by Spark.
+The chunks are gone through three times: for words; for hashes of pairs of frequent words; and for phrases all of whose pairs are
+frequent, as no phrase is more frequent than one within it. Which words and pairs are frequent is told to the tasks by a bitmap
+of ``FILTER_BITS`` bits, whatever the corpus: a bit too many, or two pairs of one hash, let a phrase be counted that is rare,
+and no frequent one is ever left out. What is returned was counted by whole strings, added up by Spark.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,33 +40,39 @@ NO_LANG = "und"
 FILTER_BITS = 1 << 25
 #: Bytes of chunks whose phrases are counted at once in a task.
 SLICE_BYTES = 8_000_000
-#: The mark between two pieces; no word holds one.
-MARK = 10
-_BLANK, _END = 1, 2
+#: Bytes of texts that are parsed at once.
+TEXT_BYTES = 2_000_000
+#: The mark between two pieces, which no word holds, and that between two texts, which no UTF-8 has.
+MARK, NEXT = 10, 0xFF
+_BLANK, _END, _TEXT = 1, 2, 3
 _KIND = np.zeros(256, np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
 _KIND[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = _END
+_KIND[NEXT] = _TEXT
+_AS_BYTE = np.array([0, 0x20, MARK, NEXT], np.uint8)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def normalised(text: bytes) -> bytes:
-    """Words with one blank between two of a piece, and a mark between two pieces with words."""
-    raw = np.frombuffer(text.lower(), np.uint8)
-    kind = _KIND[raw]
+def normalised(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts with one blank between two of a piece, a mark between two pieces, and another between two texts
+    that have words; and the numbers of these texts."""
+    joined = np.frombuffer(b"\xff" + b"\xff".join(t.encode().lower() for t in texts) + b"\xff", np.uint8)  # A-Z alone are lowered
+    kind = _KIND[joined]
     gap = kind > 0
     first = gap & np.r_[True, ~gap[:-1]]
     at = np.flatnonzero(first)
-    if not len(at):
-        return raw.tobytes()
-    out = raw.copy()
-    # a gap is one mark where any of its characters ends a piece
-    out[at] = np.where(np.maximum.reduceat(np.where(gap, kind, 0), at) == _END, MARK, 0x20)
-    return out[~gap | first].tobytes().strip(b" \n")
+    # a gap is what its strongest character makes it; one may hold the marks of several texts, of which the last one goes on
+    widest = np.maximum.reduceat(kind, at)
+    out = joined.copy()
+    out[at] = _AS_BYTE[widest]
+    texts_so_far = np.cumsum(np.add.reduceat((kind == _TEXT).astype(np.int64), at))
+    # the outermost gaps part no words
+    return out[~gap | first][1:-1], texts_so_far[widest == _TEXT][:-1] - 1
 
 
 def words_of(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where words begin and end in a normalised text, and where each one's token stands."""
-    gap = np.flatnonzero((body == 0x20) | (body == MARK))
+    """Where words begin and end in a normalised text, and the number of each one's token, of which marks are some."""
+    gap = np.flatnonzero((body == 0x20) | (body == MARK) | (body == NEXT))
     begin, end = np.r_[0, gap + 1], np.r_[gap, len(body)]
     token = np.r_[0, np.cumsum(1 + (body[gap] == MARK))]
     return begin, end, token
@@ -75,15 +81,22 @@ def words_of(body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def encoded(body: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Numbers of the words among the distinct ones, and these."""
     offsets = np.r_[0, np.cumsum(end - begin)].astype(np.int64)
-    held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(body[(body != 0x20) & (body != MARK)])])
+    held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(body[(body != 0x20) & (body != MARK) & (body != NEXT)])])
     coded = held.dictionary_encode()
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
 def word_hashes(words: pa.Array, seed: int = 0) -> np.ndarray:
-    from xxhash import xxh3_64_intdigest
-
-    return np.array([xxh3_64_intdigest(w, seed) for w in words.to_pylist()], np.uint64)
+    """A hash of each word: the sum of hashes of its bytes with their places."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, ends, body = words.buffers()
+    offsets = np.frombuffer(ends, np.int64)[words.offset : words.offset + len(words) + 1]
+    raw = np.frombuffer(body, np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
+    begin = offsets[:-1] - offsets[0]
+    place = np.arange(len(raw), dtype=np.int64) - np.repeat(begin, np.diff(offsets))
+    with np.errstate(over="ignore"):
+        return mixed(np.add.reduceat(mixed(raw | place.astype(np.uint64) << np.uint64(8)), begin) ^ np.uint64(seed))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -93,59 +106,69 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(32)
 
 
-def cuts(hashes: np.ndarray, period: int = PERIOD, most: int = MOST_TOKENS) -> np.ndarray:
-    """Tokens before which chunks begin their own part: 0, triggers, and what keeps a part from growing over ``most``."""
+def cuts(hashes: np.ndarray, text: np.ndarray, period: int = PERIOD, most: int = MOST_TOKENS) -> np.ndarray:
+    """Tokens with which chunks begin their own part: a text's first, those at triggers, and what keeps a part from growing over
+    ``most``. text: the text that each token is of."""
     n = len(hashes)
-    if n <= OVERLAP:
-        return np.zeros(1, np.int64)
-    m = n - OVERLAP
+    m = max(0, n - OVERLAP)
     with np.errstate(over="ignore"):
         rolled = sum((hashes[k : k + m] * _ODD[k % 4] ^ hashes[k : k + m] >> np.uint64(7 + k) for k in range(OVERLAP)), np.zeros(m, np.uint64))
-    at = np.r_[0, np.flatnonzero(mixed(rolled) % np.uint64(period) == 0) + OVERLAP]
+    hit = (mixed(rolled) % np.uint64(period) == 0) & (text[:m] == text[OVERLAP:])
+    start = np.r_[True, text[1:] != text[:-1]]
+    start[OVERLAP:] |= hit
+    at = np.flatnonzero(start)
     wide = np.flatnonzero(np.diff(np.r_[at, n]) > most)
     more = [np.arange(at[i] + most, n if i + 1 == len(at) else at[i + 1], most) for i in wide]
     return np.unique(np.concatenate([at, *more])) if more else at
 
 
-def parse(text: str, period: int = PERIOD, most: int = MOST_TOKENS, hashed: dict | None = None) -> list[tuple[bool, bytes]]:
-    """A text's chunks: does it begin the text, and its tokens, of which the first OVERLAP belong to the chunk before if not."""
-    body = normalised(text.encode())
-    if not body:
-        return []
-    raw = np.frombuffer(body, np.uint8)
-    begin, end, token = words_of(raw)
-    numbers, distinct = encoded(raw, begin, end)
+def parse(texts: Sequence[str], period: int = PERIOD, most: int = MOST_TOKENS) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The chunks of texts: the text that each is of, whether it begins the text, and its tokens, of which the first OVERLAP
+    belong to the chunk before if not."""
+    body, numbers = normalised(texts)
+    if not len(body):
+        return np.zeros(0, np.int64), np.zeros(0, bool), []
+    begin, end, token = words_of(body)
+    coded, distinct = encoded(body, begin, end)
     n = int(token[-1]) + 1
     hashes = np.full(n, _ODD[3], np.uint64)  # a mark's, where no word stands
-    hashes[token] = word_hashes(distinct)[numbers]
-    starts = np.full(n, -1, np.int64)
-    starts[token] = begin
-    at = cuts(hashes, period, most)
-    if len(at) == 1:
-        return [(True, body)]
-    # a mark stands where the word before it ends
-    marks = np.flatnonzero(starts < 0)
-    starts[marks] = starts[marks + 1] - 1
-    first = starts[np.maximum(at - OVERLAP, 0)]
-    last = np.r_[starts[at[1:]], len(body)]
-    return [(i == 0, body[a:b].rstrip(b" ")) for i, (a, b) in enumerate(zip(first.tolist(), last.tolist(), strict=True))]
+    hashes[token] = word_hashes(distinct)[coded]
+    of_word = np.r_[0, np.cumsum(body[end[:-1]] == NEXT)]
+    starts, text = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    starts[token], text[token] = begin, of_word
+    marks = np.flatnonzero(starts < 0)  # a mark stands right before a word of its text
+    starts[marks], text[marks] = starts[marks + 1] - 1, text[marks + 1]
+    at = cuts(hashes, text, period, most)
+    own = text[at]
+    leads = np.r_[True, own[1:] != own[:-1]]
+    first = starts[np.where(leads, at, at - OVERLAP)]
+    last = np.r_[starts[at[1:]] - leads[1:], len(body)]
+    raw = body.tobytes()
+    return numbers[own], leads, [raw[a:b].rstrip(b" ") for a, b in zip(first.tolist(), last.tolist(), strict=True)]
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", period: int = PERIOD, most: int = MOST_TOKENS) -> DataFrame:
     """Chunks of all texts with how often each is parsed: lang, first (it begins a text), chunk, n."""
 
+    def parsed(texts: list[str], langs: list[str]) -> pa.RecordBatch:
+        of, first, chunks = parse(texts, period, most)
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(of)), pa.array(first), pa.array(chunks, pa.binary())], names=["lang", "first", "chunk"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            held: dict[tuple, int] = {}
+            texts, langs, size = [], [], 0
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for first, chunk in parse(text, period, most):
-                    key = (lang, first, chunk)
-                    held[key] = held.get(key, 0) + 1
-            langs, firsts, chunks = ([k[i] for k in held] for i in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(firsts, pa.bool_()), pa.array(chunks, pa.binary()), pa.array(list(held.values()), pa.int64())], names=["lang", "first", "chunk", "n"])
+                texts.append(text)
+                langs.append(lang)
+                size += len(text)
+                if size >= TEXT_BYTES:
+                    yield parsed(texts, langs)
+                    texts, langs, size = [], [], 0
+            if texts:
+                yield parsed(texts, langs)
 
     rows = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang_col}`"), F.lit(NO_LANG)).alias("lang"))
-    return rows.mapInArrow(run, "lang string, first boolean, chunk binary, n bigint").groupBy("lang", "first", "chunk").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "lang string, first boolean, chunk binary").groupBy("lang", "first", "chunk").agg(F.count("*").alias("n"))
 
 
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
@@ -187,8 +210,8 @@ def places(chunks: list[bytes], first: np.ndarray, n: np.ndarray) -> tuple[np.nd
     return numbers, distinct, piece, own, n[chunk]
 
 
-def bit_of(hashes: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
-    return (mixed(hashes) % np.uint64(bits)).astype(np.int64)
+def bit_of(hashes: np.ndarray, bits: int | None = None) -> np.ndarray:
+    return (mixed(hashes) % np.uint64(bits or FILTER_BITS)).astype(np.int64)
 
 
 def has_bit(packed: np.ndarray, bit: np.ndarray) -> np.ndarray:
@@ -206,26 +229,39 @@ def lang_seed(lang: str) -> int:
     return xxh3_64_intdigest(lang.encode())
 
 
-def gram_counts(chunks: DataFrame, lengths: range, frequent: np.ndarray | None) -> DataFrame:
-    """Phrases of these lengths with their counts: lang, phrase, words, f. ``frequent``: bits of frequent words where pairs are
-    counted, of frequent pairs where longer ones are; only phrases all of whose parts of that length have theirs are looked at."""
-    sent = chunks.sparkSession.sparkContext.broadcast(frequent) if frequent is not None else None
+def frequent_pairs(chunks: DataFrame, words: np.ndarray, min_count: int) -> DataFrame:
+    """Hashes of the pairs of frequent words that occur ``min_count`` times or more, one column h; equal hashes count as one."""
+    sent = chunks.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, bodies, first, parses in slices(batches):
+            numbers, distinct, piece, own, weight = places(bodies, first, parses)
+            h = word_hashes(distinct, lang_seed(lang))
+            good = has_bit(sent.value, bit_of(h))[numbers]
+            at = np.flatnonzero(good[:-1] & good[1:] & (piece[:-1] == piece[1:]) & own[1:])
+            code, inverse = np.unique(numbers[at] * len(h) + numbers[at + 1], return_inverse=True)
+            f = np.bincount(inverse, weights=weight[at + 1], minlength=len(code)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(pair_hash(h[code // len(h)], h[code % len(h)]).view(np.int64)), pa.array(f)], names=["h", "f"])
+
+    return chunks.mapInArrow(run, "h bigint, f bigint").groupBy("h").agg(F.sum("f").alias("f")).where(F.col("f") >= min_count).select("h")
+
+
+def gram_counts(chunks: DataFrame, lengths: range, pairs: np.ndarray | None = None) -> DataFrame:
+    """Phrases of these lengths with their counts: lang, phrase, words, f. ``pairs``: bits of the pairs that are frequent; a
+    longer phrase is only looked at where all its pairs have theirs."""
+    sent = chunks.sparkSession.sparkContext.broadcast(pairs) if pairs is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, bodies, first, parses in slices(batches):
             numbers, distinct, piece, own, weight = places(bodies, first, parses)
             words = distinct.cast(pa.large_string())
-            if sent is not None:
-                h = word_hashes(distinct, lang_seed(lang))
-            if lengths.start == 1:
+            if 1 in lengths:
                 yield emitted(lang, 1, words, np.arange(len(words))[:, None], np.bincount(numbers[own], weights=weight[own], minlength=len(words)))
+            if lengths.stop <= 2:
                 continue
-            if lengths.start == 2:
-                good = has_bit(sent.value, bit_of(h))[numbers]
-                live = good[:-1] & good[1:] & (piece[:-1] == piece[1:])
-            else:
-                hashes = h[numbers]
-                live = piece[:-1] == piece[1:]
+            live = piece[:-1] == piece[1:]
+            if sent is not None:
+                hashes = word_hashes(distinct, lang_seed(lang))[numbers]
                 at = np.flatnonzero(live)
                 live[at] = has_bit(sent.value, bit_of(pair_hash(hashes[at], hashes[at + 1])))
             # phrases as (number of the one a word shorter, last word), numbered anew at each length
@@ -233,9 +269,7 @@ def gram_counts(chunks: DataFrame, lengths: range, frequent: np.ndarray | None)
             code = numbers[parts] * len(words) + numbers[parts + 1]
             for k in range(2, lengths.stop):
                 if k > 2:
-                    longer = np.zeros(len(numbers), bool)
-                    longer[parts] = True
-                    kept = (parts + k - 1 < len(numbers)) & live[np.minimum(parts + k - 2, len(live) - 1)] & longer[np.minimum(parts + 1, len(numbers) - 1)]
+                    kept = (parts + k - 1 < len(numbers)) & live[np.minimum(parts + k - 2, len(live) - 1)]
                     parts, code = parts[kept], inverse[kept] * len(words) + numbers[parts[kept] + k - 1]
                 if not len(parts):
                     break
@@ -258,26 +292,33 @@ def emitted(lang: str, k: int, words: pa.Array, numbers: np.ndarray, f: np.ndarr
     return pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), phrase.cast(pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(f)], names=["lang", "phrase", "words", "f"])
 
 
-def frequent_bits(grams: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap of the phrases of one or two words, packed; made of the distinct bits, ``bits`` at most."""
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bits of a column of hashes, packed; made of the distinct bits, which are FILTER_BITS at most."""
+    bits = FILTER_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.zeros(0, np.int64)]
-            langs = batch.column(0).dictionary_encode()
-            for number, lang in enumerate(langs.dictionary.to_pylist()):
-                own = pa.array(np.flatnonzero(langs.indices.to_numpy(zero_copy_only=False) == number))
-                split = [p.encode().split(b" ") for p in batch.column(1).take(own).to_pylist()]
-                h = [word_hashes(pa.array([s[i] for s in split], pa.binary()), lang_seed(lang)) for i in range(len(split[0]))]
-                found.append(bit_of(h[0] if len(h) == 1 else pair_hash(*h), bits))
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).astype(np.int32))], names=["bit"])
-
-    out = np.zeros(bits // 8, np.uint8)
-    told = grams.select("lang", "phrase").mapInArrow(run, "bit int").distinct().toArrow().column("bit").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(bit_of(batch.column(0).to_numpy().view(np.uint64), bits)).astype(np.int32))], names=["bit"])
+
+    out = np.zeros(-(-bits // 8), np.uint8)
+    told = hashes.mapInArrow(run, "bit int").distinct().toArrow().column("bit").to_numpy()
     np.bitwise_or.at(out, told >> 3, (128 >> (told & 7)).astype(np.uint8))
     return out
 
 
+def hashed_words(words: DataFrame) -> DataFrame:
+    """The hash of each word of its language, as :func:`frequent_pairs` has them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds = {lang: lang_seed(lang) for lang in batch.column(0).unique().to_pylist()}
+            for lang, seed in seeds.items():
+                own = batch.column(1).filter(pc.equal(batch.column(0), lang))
+                yield pa.RecordBatch.from_arrays([pa.array(word_hashes(own.cast(pa.large_binary()), seed).view(np.int64))], names=["h"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "h bigint")
+
+
 def exact_score(a: Column, n: Column, left: Column, right: Column) -> Column:
     """floor(1000 a n / (l r)) in decimals of 38 digits."""
     wide = lambda c: c.cast("decimal(19,0)")
@@ -299,12 +340,11 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
         raise ValueError(f"min_count and period must be at least 1, most {OVERLAP}")
     chunks, chunks_path = materialise(dictionary(docs, text_col, lang_col, period, most), "phrase-chunks")
     enough = F.col("f") >= min_count
-    words, _ = materialise(gram_counts(chunks, range(1, 2), None), "phrase-words")
+    words, _ = materialise(gram_counts(chunks, range(1, 2)), "phrase-words")
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs, _ = materialise(gram_counts(chunks, range(2, 3), frequent_bits(words.where(enough))).where(enough), "phrase-pairs")
-    longer, _ = materialise(gram_counts(chunks, range(3, MOST_WORDS + 1), frequent_bits(pairs)).where(enough), "phrase-longer")
+    pairs = bitmap(frequent_pairs(chunks, bitmap(hashed_words(words.where(enough))), min_count))
+    found, _ = materialise(gram_counts(chunks, range(2, MOST_WORDS + 1), pairs).where(enough), "phrase-counts")
     discard(chunks.sparkSession, chunks_path)
-    found = pairs.unionByName(longer)
     known = words.where(enough).unionByName(found).select("lang", "phrase", "f")
 
     tokens = F.split("phrase", " ")

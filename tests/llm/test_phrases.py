@@ -63,14 +63,18 @@ def test_parse_is_whole_and_cut_by_content():
     rng = random.Random(5)
     passage = " ".join(f"w{rng.randrange(500)}" for _ in range(2000))
     for text in (passage, "x. y " + passage, "w1, " * 3000):
-        chunks = P.parse(text)
-        assert chunks[0][0] and not any(first for first, _ in chunks[1:])
+        of, leads, parts = P.parse([text])
+        chunks = list(zip(leads.tolist(), parts, strict=True))
+        assert chunks[0][0] and not any(first for first, _ in chunks[1:]) and not of.any()
         tokens = lambda b: re.findall(rb"\n|[^ \n]+", b)
         joined = [t for i, (_, c) in enumerate(chunks) for t in tokens(c)[0 if i == 0 else P.OVERLAP :]]
-        assert joined == tokens(P.normalised(text.encode()))
+        assert joined == tokens(P.normalised([text])[0].tobytes())
         assert max(len(tokens(c)) for _, c in chunks) <= P.MOST_TOKENS + P.OVERLAP
-    shared = {c for _, c in P.parse(passage)} & {c for _, c in P.parse("Something else, before it " + passage + " and after")}
-    assert len(shared) >= len(P.parse(passage)) - 2  # all but the ends
+    of, leads, parts = P.parse(["", passage, " .", "Something else, before it " + passage + " and after", "\n"])
+    assert set(of.tolist()) == {1, 3} and leads.sum() == 2
+    one, other = ({c for c, o in zip(parts, of.tolist(), strict=True) if o == k} for k in (1, 3))
+    assert len(one & other) >= len(one) - 2  # all but the ends
+    assert P.parse(["", " "])[2] == P.parse([])[2] == []
 
 
 def test_copies_are_counted_once_in_the_dictionary(spark):
@@ -93,12 +97,15 @@ def test_scores_are_exact(spark):
 
 
 def test_a_full_filter_only_lets_more_be_counted(spark, monkeypatch):
-    rows = texts(9)
     monkeypatch.setattr(P, "FILTER_BITS", 8)
-    monkeypatch.setattr(P.frequent_bits, "__defaults__", (8,))
-    assert P.frequent_bits(spark.createDataFrame([("en", f"w{i}") for i in range(99)], "lang string, phrase string")).tolist() == [255]
-    bits = P.bit_of(np.arange(5, dtype=np.uint64), 8)
-    assert P.has_bit(np.array([255], np.uint8), bits).all()
+    full = P.bitmap(P.hashed_words(spark.createDataFrame([("en", f"w{i}") for i in range(99)], "lang string, phrase string")))
+    assert full.tolist() == [255] and P.has_bit(full, P.bit_of(np.arange(5, dtype=np.uint64))).all()
+    monkeypatch.undo()
+    chunks = P.dictionary(spark.createDataFrame(texts(9), "text string, lang string"))
+    everything = np.full(P.FILTER_BITS // 8, 255, np.uint8)
+    rows = lambda df: sorted(map(tuple, df.where("f >= 4").collect()))
+    pairs = P.bitmap(P.frequent_pairs(chunks, everything, 4))
+    assert rows(P.gram_counts(chunks, range(2, 6), pairs)) == rows(P.gram_counts(chunks, range(2, 6), everything)) == rows(P.gram_counts(chunks, range(2, 6)))
 
 
 def test_edges(spark, odd_docs, no_docs):
