@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from test_typing import RAW, raw_row
 
 from monthmill.operators import serve
-from monthmill.plans import checks, guard, layers, publish, upkeep
+from monthmill.plans import checks, layers, publish, upkeep
 
 
 def put_raw(store, month, rows):
@@ -121,44 +121,6 @@ def test_settings_and_versions(spark):
     assert upkeep.newest_version(names).first().name == "00010-b.json"
 
 
-@pytest.fixture(scope="module")
-def schemas(spark):
-    spark.sql("CREATE DATABASE IF NOT EXISTS gold")
-    spark.range(5).createOrReplaceTempView("loose")
-    spark.sql("DROP TABLE IF EXISTS gold.numbers")
-    spark.range(5).write.mode("overwrite").saveAsTable("gold.numbers")
-    yield {"gold"}
-    spark.sql("DROP TABLE IF EXISTS gold.numbers")
-    spark.sql("DROP DATABASE gold")
-
-
-ACCEPTED = ["SELECT * FROM gold.numbers", "WITH x AS (SELECT id FROM gold.numbers) SELECT a.id FROM x a JOIN gold.numbers b USING (id)", "SELECT id, count(*) FROM gold.numbers GROUP BY id HAVING count(*) > 0 ORDER BY 1 LIMIT 2", "SELECT (SELECT max(id) FROM gold.numbers) m", "SELECT id FROM gold.numbers UNION SELECT id FROM gold.numbers"]
-REJECTED = [
-    "", "INSERT INTO gold.numbers VALUES (1)", "DROP TABLE gold.numbers", "CREATE TABLE gold.x AS SELECT 1", "DELETE FROM gold.numbers", "UPDATE gold.numbers SET id = 1", "TRUNCATE TABLE gold.numbers", "ALTER TABLE gold.numbers RENAME TO gold.y", "USE gold", "SET x = 1", "SHOW TABLES", "SELECT 1; SELECT 2",
-    "SELECT reflect('java.lang.System', 'getProperty', 'user.name') FROM gold.numbers", "SELECT java_method('java.lang.System', 'lineSeparator') FROM gold.numbers", "SELECT id FROM gold.numbers WHERE upper(try_reflect('java.lang.System', 'lineSeparator')) = ''", "SELECT max(input_file_name()) FROM gold.numbers GROUP BY id HAVING count(*) > 0 ORDER BY reflect('a', 'b')", "SELECT transform(array(id), x -> reflect('a', x)) FROM gold.numbers", "SELECT (SELECT reflect('a', 'b') FROM gold.numbers) m", "WITH x AS (SELECT reflect('a', 'b') FROM gold.numbers) SELECT * FROM x", "SELECT * FROM gold.numbers LATERAL VIEW stack(2, 1, 2) t AS c",
-    "SELECT * FROM loose", "SELECT * FROM raw.games", "SELECT * FROM parquet.`/etc`", "SELECT * FROM gold.numbers WHERE id IN (SELECT id FROM other.t)", "WITH x AS (SELECT * FROM other.t) SELECT * FROM x", "SELECT * FROM range(5)",
-]
-
-
-@pytest.mark.parametrize("sql", ACCEPTED)
-def test_guard_accepts(spark, schemas, sql):
-    assert guard.check_sql(spark, sql, schemas) == ["gold.numbers"]
-    rows = guard.guarded_sql(spark, sql, schemas, 2).collect()
-    assert len(rows) <= 2 and all(isinstance(r.truncated, bool) for r in rows)
-
-
-@pytest.mark.parametrize("sql", REJECTED)
-def test_guard_rejects(spark, schemas, sql):
-    with pytest.raises(guard.SqlRejected):
-        guard.check_sql(spark, sql, schemas)
-
-
-def test_catalog(spark, schemas):
-    assert [t[0] for t in guard.list_tables(spark, "gold")] == ["numbers"]
-    types, sample = guard.describe(spark.table("gold.numbers"), 3)
-    assert types == [("id", "bigint")] and sample.count() == 3
-
-
 def test_arguments():
     for bad in ("2013", "2013-13", None, "x"):
         with pytest.raises(ValueError):
