@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 
@@ -20,3 +20,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         root = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="spark-scratch-")
         _own[spark.sparkContext.applicationId] = root
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df written once as Parquet to a scratch path and read back, so that what reads it twice does not compute it twice."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import columns as C
 from .operators import aggregates, curate, sequences, serve
 from .plans import checks, publish
+from .plans.scratch import written
 from .sources import landing, pgn
 
 RUN = "run-2"
@@ -72,7 +73,7 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = games(spark, sf_dir)
+    g = written(games(spark, sf_dir), "curated")  # both inputs of the summary are read from it
     return aggregates.monthly_summary(g, curate.player_sides(g, RUN, "run-3"))
 
 
@@ -84,8 +85,13 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.rating_distribution(players(spark, sf_dir))
 
 
+def explorer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games with their first steps, written once, as several passes read them."""
+    return written(sequences.game_rows(raw_games(spark, sf_dir), games(spark, sf_dir)), "explorer-rows")
+
+
 def position_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sequences.next_steps(sequences.game_rows(raw_games(spark, sf_dir), games(spark, sf_dir)))
+    return sequences.next_steps(explorer_rows(spark, sf_dir))
 
 
 def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,7 +147,7 @@ def _dq(kind: str, spark, sf_dir):
 
 
 def _dq_gold(spark, sf_dir):
-    g = games(spark, sf_dir)
+    g = written(games(spark, sf_dir), "curated")
     p = curate.player_sides(g, RUN, "run-3")
     unique = aggregates.once(g).groupBy("month").agg(F.count("*").alias("told"))
     parts = []

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import queries as Q
 from .operators import aggregates, sequences, serve
 from .plans import checks, guard, publish, upkeep
-from .plans.scratch import scratch_path
+from .plans.scratch import scratch_path, written
 from .sources import cost, landing, pgn
 from .streaming import landing as streaming
 
@@ -119,26 +119,38 @@ def _without_queen(prefixes):
     return prefixes.map(state)
 
 
-def _explorer_rows(spark, sf_dir):
-    return sequences.game_rows(Q.raw_games(spark, sf_dir), Q.games(spark, sf_dir))
+def position_moves_by_function(spark, sf_dir):
+    return sequences.next_steps(Q.explorer_rows(spark, sf_dir), _without_queen)
 
 
-def position_moves_by_function(spark, sf_dir):
-    return sequences.next_steps(_explorer_rows(spark, sf_dir), _without_queen)
+#: Lines of play with captures, two of which reach one position by different orders; games follow one as far as their key says.
+LINES = ["e4 d5 exd5 Qxd5 Nc3 Qa5 d4 Nf6", "e4 c5 Nf3 d6 d4 cxd4 Nxd4 Nf6", "Nf3 d6 e4 c5 d4 cxd4 Nxd4 Nf6", "d4 d5 c4 dxc4 e3 b5 a4 c6", "d4 d5 c4 e6 cxd5 exd5 Nc3 Nf6"]
+
+
+def position_moves_by_replay(spark, sf_dir):
+    """The explorer with states that know captures, each derived from that of the prefix a step shorter."""
+    k = F.col("o_orderkey")
+    line = F.element_at(F.array(*[F.lit(x) for x in LINES]), (k % len(LINES)).cast("int") + 1)
+    rows = Q._table(spark, sf_dir, "orders").select(
+        F.lpad(k.cast("string"), 8, "0").alias("game_id"), F.date_format("o_orderdate", "yyyy").alias("month"), F.col("o_orderpriority").alias("speed"), F.when(k % 3 == 0, "white").when(k % 3 == 1, "black").alias("result"),
+        (k % 1000).cast("double").alias("rating"), F.lit(0).alias("rating_band"), F.slice(F.split(line, " "), F.lit(1), (k % 9).cast("int")).alias("steps"),
+    )
+    return sequences.next_steps(written(rows, "lines"), sequences.captures_state())
 
 
 def unplaced_pairs(spark, sf_dir):
-    return sequences.pair_counts(_explorer_rows(spark, sf_dir), _without_queen)
+    return sequences.pair_counts(Q.explorer_rows(spark, sf_dir), _without_queen)
 
 
 def dq_explorer(spark, sf_dir):
-    rows = _explorer_rows(spark, sf_dir)
+    rows = Q.explorer_rows(spark, sf_dir)
+    kept = written(sequences.kept_steps(rows), "kept")
     unique = aggregates.once(Q.games(spark, sf_dir)).groupBy("month").agg(F.count("*").alias("unique_games"))
     joined = rows.groupBy("month").agg(F.count("*").alias("joined_games"))
-    told = unique.join(joined, "month").join(sequences.pair_counts(rows, _without_queen), "month")  # a row a month
+    told = unique.join(joined, "month").join(sequences.pair_counts(rows, _without_queen, kept=kept), "month")  # a row a month
     facts = {c: F.max(c) for c in ("unique_games", "joined_games", "pairs", "unplaced")}
     measures, rules = checks.explorer_audit(*[F.col(c) for c in facts], "w  ")
-    moves = sequences.next_steps(rows, _without_queen).join(F.broadcast(told), "month")
+    moves = sequences.next_steps(rows, _without_queen, kept=kept).join(F.broadcast(told), "month")
     return checks.audit(moves, measures | facts, rules, ["month"]).drop("detail")
 
 
@@ -264,7 +276,7 @@ def heaviest_players(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
-        pgn_files, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
+        pgn_files, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, position_moves_by_replay, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
         published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
     )
     return {f.__name__: f for f in made}
@@ -276,6 +288,29 @@ _REFS = """refs AS (SELECT 't' || CAST(o_orderkey % 3 AS VARCHAR) AS table_name,
   CASE WHEN o_orderkey % 2 = 0 THEN 'run=r' || CAST(o_orderkey AS VARCHAR) END AS folder FROM orders)"""
 
 
+def _replay_sql() -> str:
+    """Prefixes with support, their states by a recursive join of each to the one a step shorter, and what they are merged into."""
+    lines = "[" + ", ".join(f"'{x}'" for x in LINES) + "]"
+    square, piece = r"regexp_extract(p.step, '([a-h][1-8])(?:=[QRBN])?[+#]?$', 1)", "coalesce(nullif(regexp_extract(p.step, '^([KQRBN])', 1), ''), 'P')"
+    without = lambda side: f"list_filter({side}, lambda x: right(x, 2) <> {square})"
+    mine = lambda side: f"CASE WHEN {square} = '' THEN {side} ELSE list_sort(list_append({without(side)}, {piece} || {square})) END"
+    theirs = lambda side: f"CASE WHEN contains(p.step, 'x') THEN {without(side)} ELSE {side} END"
+    return f"""WITH RECURSIVE games AS (
+  SELECT lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS game_id, strftime(o_orderdate, '%Y') AS month, o_orderpriority AS speed, CASE o_orderkey % 3 WHEN 0 THEN 'white' WHEN 1 THEN 'black' END AS result,
+    CAST(o_orderkey % 1000 AS DOUBLE) AS rating, 0 AS rating_band, list_slice(string_split({lines}[o_orderkey % {len(LINES)} + 1], ' '), 1, o_orderkey % 9) AS made FROM orders),
+steps AS (SELECT *, coalesce(array_to_string(list_slice(made, 1, n - 1), ' '), '') AS prefix, made[n] AS move FROM (SELECT *, unnest(generate_series(1, len(made))) AS n FROM games)),
+kept AS (SELECT month, prefix, move FROM steps GROUP BY ALL HAVING count(*) >= 5),
+prefixes AS (SELECT DISTINCT prefix, string_split(prefix, ' ')[-1] AS step, coalesce(array_to_string(string_split(prefix, ' ')[:-2], ' '), '') AS up FROM kept WHERE prefix <> ''),
+states(prefix, white, whites, blacks) AS (
+  SELECT '', true, CAST([] AS VARCHAR[]), CAST([] AS VARCHAR[])
+  UNION ALL
+  SELECT p.prefix, NOT white, CASE WHEN white THEN {mine("whites")} ELSE {theirs("whites")} END, CASE WHEN white THEN {theirs("blacks")} ELSE {mine("blacks")} END FROM states s JOIN prefixes p ON p.up = s.prefix),
+placed AS (SELECT prefix, CASE WHEN white THEN 'w' ELSE 'b' END || ' ' || coalesce(array_to_string(whites, ','), '') || ' ' || coalesce(array_to_string(blacks, ','), '') AS position FROM states)
+SELECT month, position, move, speed, rating_band, count(*) AS games, count(*) FILTER (result = 'white') AS white_wins, count(*) FILTER (result = 'draw') AS draws, count(*) FILTER (result = 'black') AS black_wins,
+  count(rating) AS rated_games, coalesce(sum(rating), 0.0) AS rating_sum, arg_max(game_id, {{'r': rating, 'g': game_id}}) AS example_game_id, max(rating) AS example_rating
+FROM steps SEMI JOIN kept USING (month, prefix, move) JOIN placed USING (prefix) GROUP BY month, position, move, speed, rating_band"""
+
+
 def _dq_explorer_sql() -> str:
     start = "coalesce(sum(games) FILTER (position = 'w  '), 0)"
     u, j, k, b = ("max(unique_games)", "max(joined_games)", "max(pairs)", "max(unplaced)")
@@ -308,6 +343,7 @@ def oracle_sql() -> dict[str, str]:
         "cost_pages": "SELECT strftime(l_shipdate, '%Y-%m-%d') AS usage_date, l_returnflag AS service_name, 'group' AS resource_group, CAST(NULL AS VARCHAR) AS resource_type, l_extendedprice AS cost, 'USD' AS currency FROM lineitem",
         "cost_months": f"WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem), m AS (SELECT day, unnest([strftime(date_trunc('month', day) - INTERVAL 1 MONTH, '%Y-%m'), strftime(day, '%Y-%m')]) AS month FROM d) SELECT strftime(day, '%Y-%m-%d') AS usage_date, month, month || '-01' AS first, strftime(last_day({first}), '%Y-%m-%d') AS last FROM m",
         "position_moves_by_function": f"WITH {_PLACED} SELECT * FROM position_moves",
+        "position_moves_by_replay": _replay_sql(),
         "unplaced_pairs": f"WITH {Q._POSITIONS}, {_PAIRS} SELECT * FROM pairs",
         "dq_explorer": _dq_explorer_sql(),
         "numbered_lines": f"WITH {g}, m AS (SELECT list_slice(list_filter(string_split_regex(trim(regexp_replace(regexp_replace(movetext, '\\{{[^}}]*\\}}', ' ', 'g'), '\\d+\\.+|\\$\\d+|[?!]+', ' ', 'g')), '\\s+'), lambda x: x NOT IN ('', '1-0', '0-1', '1/2-1/2', '*')), 1, 16) AS made FROM raw) SELECT coalesce(array_to_string(list_transform(made, lambda x, i: CASE WHEN i % 2 = 1 THEN CAST((i + 1) // 2 AS VARCHAR) || '. ' || x ELSE x END), ' '), '') AS line, count(*) AS games FROM m GROUP BY 1",

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,3 +86,42 @@ def test_transpositions_merge(spark):
 def test_steps_count(spark, plies):
     df = spark.createDataFrame([("g", ["m"] * plies), ("e", []), ("n", None)], "game_id string, steps array<string>")
     assert sequences.steps(df).count() == plies
+
+
+def random_rows(spark, games=400):
+    rng = random.Random(2)
+    rows = []
+    for i in range(games):
+        n = rng.randrange(0, 17)
+        made = [rng.choice(["e4", "d4"]) if k < 3 else rng.choice("abcdefgh") + str(k) for k in range(n)]
+        rows.append((f"g{i}", rng.choice(["2020-01", "2020-02"]), "blitz", rng.choice(["white", "draw", None]), float(i) if i % 5 else None, 0, made))
+    return spark.createDataFrame(rows, "game_id string, month string, speed string, result string, rating double, rating_band int, steps array<string>")
+
+
+@pytest.mark.parametrize("stride", [1, 3, 4, 16])
+def test_level_wise_support_keeps_what_one_pass_does(spark, stride):
+    rows = random_rows(spark)
+    pairs = sequences.steps(rows)
+    plain = pairs.join(sequences.support(pairs, 5), ["month", "prefix_hash", "move"], "left_semi")
+    kept = sequences.kept_steps(rows, 5, stride)
+    order = ["month", "game_id", "prefix", "move"]
+    assert sorted(map(tuple, kept.select(order).collect())) == sorted(map(tuple, plain.select(order).collect()))
+
+
+def test_steps_without_support_are_never_made(spark, monkeypatch):
+    """The support passes make at most a third of all steps."""
+    rows, made = random_rows(spark, 1000).where("size(steps) > 12"), []
+    plain = sequences.support
+    monkeypatch.setattr(sequences, "support", lambda pairs, least: made.append(pairs.count()) or plain(pairs, least))
+    sequences.kept_steps(rows, 5, 2)
+    assert sum(made) * 3 <= sequences.steps(rows).count()
+
+
+def test_replay_derives_states_from_parents(spark):
+    replay = sequences.captures_state()
+    lines = ["", "e4", "e4 d5", "e4 d5 exd5", "e4 d5 exd5 Qxd5", "e4 d5 exd5 Qxd5 O-O", "d4 d5 e8=Q+"]
+    got = {r.prefix: r.position for r in sequences.prefix_states(spark.createDataFrame([(x,) for x in lines], "prefix string"), replay).collect()}
+    assert got == {"": "w  ", "e4": "b Pe4 ", "e4 d5": "w Pe4 Pd5", "e4 d5 exd5": "b Pd5,Pe4 ", "e4 d5 exd5 Qxd5": "w Pe4 Qd5", "e4 d5 exd5 Qxd5 O-O": "b Pe4 Qd5", "d4 d5 e8=Q+": None}
+    calls = F.pandas_udf(lambda state, step: (state + step).where(step != "bad", None), "string")
+    got = {r.prefix: r.position for r in sequences.prefix_states(spark.createDataFrame([("",), ("a",), ("a bad",), ("a bad c",), ("a b",)], "prefix string"), sequences.Replay(F.lit(">"), calls)).collect()}
+    assert got == {"": ">", "a": ">a", "a b": ">ab", "a bad": None, "a bad c": None}
