@@ -13,7 +13,7 @@ from . import queries as Q
 from .operators import aggregates, sequences, serve
 from .plans import checks, guard, publish, upkeep
 from .plans.scratch import scratch_path, written
-from .sources import cost, landing, pgn
+from .sources import cost, landing, pgn, pgnsource
 from .streaming import landing as streaming
 
 READERS = "mm_readers"
@@ -34,6 +34,39 @@ def pgn_files(spark, sf_dir):
     return pgn.read_pgn(spark, path, "all", "run-1", "dump").select("Site", "Event", "White", "Black", "Result", "UTCDate", "ECO", "movetext", "_source_file", F.col("extra_tags").isNull().alias("no_extra"))
 
 
+def _written_pgn(spark, sf_dir, **options) -> str:
+    path, raw = scratch_path(spark, "pgn-source"), Q.raw_games(spark, sf_dir)
+    pgnsource.register(spark)
+    raw.select(pgn.as_pgn(raw).alias("value"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("start")).write.format("pgn").mode("append").options(**options).save(path)
+    return path
+
+
+def pgn_source(spark, sf_dir):
+    """All games written by the source "pgn" and read back in ranges that cut games."""
+    games = pgn.read_pgn(spark, _written_pgn(spark, sf_dir), "all", "run-1", "dump", split_bytes=100_000)
+    return games.select("Site", "Event", "White", "Black", "Result", "UTCDate", "ECO", "movetext", "_source_file", F.col("extra_tags").isNull().alias("no_extra"))
+
+
+def pgn_zst_frames(spark, sf_dir):
+    """All games as zstd files of many frames, each frame unpacked by a task of its own."""
+    path = _written_pgn(spark, sf_dir, compression="zstd", frameGames=300)
+    return pgn.read_pgn_zst(spark, path, "all", "run-1").select("Site", "Event", "White", "Black", "Result", "UTCDate", "ECO", "movetext", F.col("_source_file").endswith(".pgn.zst").alias("packed"))
+
+
+def pgn_manifest(spark, sf_dir):
+    """What the commit of a write tells of its files."""
+    told = pgnsource.read_manifest(spark, _written_pgn(spark, sf_dir, compression="zstd"))
+    return told.agg(F.sum("games").alias("games"), (F.count_distinct("sha256") == F.count("*")).alias("told_apart"), (F.min("bytes") > 0).alias("sized"))
+
+
+def pgn_stream(spark, sf_dir):
+    """Files of the source "pgn" read as a stream and landed by month."""
+    out = scratch_path(spark, "ranges-out")
+    query = streaming.land_stream(streaming.stream_ranges(spark, _written_pgn(spark, sf_dir)), scratch_path(spark, "ranges-checkpoint"), streaming.append_landing(out))
+    query.awaitTermination()
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").groupBy(F.col("month").cast("string").alias("month")).agg(F.count("*").alias("rows"))
+
+
 def pgn_odd_tags(spark, sf_dir):
     """Escapes, a tag given twice, a missing value, wrapped moves and a byte that is no UTF-8."""
     raw = Q.raw_games(spark, sf_dir)
@@ -276,7 +309,7 @@ def heaviest_players(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
-        pgn_files, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, position_moves_by_replay, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
+        pgn_files, pgn_source, pgn_zst_frames, pgn_manifest, pgn_stream, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, position_moves_by_replay, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
         published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
     )
     return {f.__name__: f for f in made}
@@ -333,6 +366,10 @@ def oracle_sql() -> dict[str, str]:
     first = "CAST(strptime(month || '-01', '%Y-%m-%d') AS DATE)"
     return {
         "pgn_files": f"WITH {g} SELECT Site, Event, White, Black, Result, UTCDate, ECO, movetext, 'dump' AS _source_file, true AS no_extra FROM raw",
+        "pgn_source": f"WITH {g} SELECT Site, Event, White, Black, Result, UTCDate, ECO, movetext, 'dump' AS _source_file, true AS no_extra FROM raw",
+        "pgn_zst_frames": f"WITH {g} SELECT Site, Event, White, Black, Result, UTCDate, ECO, movetext, true AS packed FROM raw",
+        "pgn_manifest": f"WITH {g} SELECT count(*) AS games, true AS told_apart, true AS sized FROM raw",
+        "pgn_stream": f"WITH {g} SELECT replace(substr(UTCDate, 1, 7), '.', '-') AS month, count(*) AS rows FROM raw GROUP BY 1",
         "pgn_odd_tags": f"WITH {g} SELECT month, 'say \"' || ECO || '\" \\ ' AS Event, Site, '' AS Black, CAST(NULL AS VARCHAR) AS White, '1. e4 e5 ' || chr(65533) || ' *' AS movetext FROM raw",
         "lineage": f"WITH {g} SELECT Site, '2020-01' AS month, _source_file, 'run-9' AS _run_id, true AS stamped FROM raw",
         "streamed_landing": f"WITH {g} SELECT replace(substr(UTCDate, 1, 7), '.', '-') AS month, count(*) AS rows FROM raw GROUP BY 1",

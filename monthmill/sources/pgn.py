@@ -1,8 +1,8 @@
-"""Game dumps in PGN text to one row a game, with Spark's own text reader doing the splitting.
+"""Game dumps in PGN text to one row a game.
 
-A record ends at a blank line followed by a tag line; that separator is the reader's ``lineSep``, so a file of any size is
-split between tasks, never inside a game, and a record but the first comes without its leading bracket. A file's first lines
-tell how its lines end. The reader may miss a separator among further blank lines at the edge of its buffer, so a record that
+A record ends at a blank line followed by a tag line. The source "pgn" reads plain files in ranges; for packed ones that
+separator is the ``lineSep`` of Spark's text reader, a record but the first comes without its leading bracket, and a file's first
+lines tell how its lines end. The text reader may miss a separator among further blank lines at the edge of its buffer, so a record that
 still holds one is cut again.
 """
 
@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import pgnsource
+
 # The tags that get a column.
 TAGS = "Event Site Date Round White Black Result UTCDate UTCTime WhiteElo BlackElo WhiteRatingDiff BlackRatingDiff WhiteTitle BlackTitle ECO Opening TimeControl Termination Variant FEN SetUp".split()
 
@@ -87,55 +89,28 @@ def line_ends(spark: SparkSession, path: str) -> dict[str, list[str]]:
     return out
 
 
-def read_pgn(spark: SparkSession, path: str, month: str, run_id: str, source_file: str | None = None) -> DataFrame:
-    """Games of the PGN text under path; plain, .gz and .bz2 files (and .zst where Hadoop has the codec). Lines of a file end
-    in LF or in CR LF."""
-    texts = [spark.read.option("lineSep", f"{end}{end}[").text(files) for end, files in sorted(line_ends(spark, path).items())]
-    text = reduce(DataFrame.unionByName, [t.select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("mm_file")) for t in texts])
+def read_pgn(spark: SparkSession, path: str, month: str, run_id: str, source_file: str | None = None, split_bytes: int = pgnsource.SPLIT_BYTES) -> DataFrame:
+    """Games of the PGN text under path, whose lines end in LF or in CR LF. Plain files are read in byte ranges by the source
+    "pgn"; where some are packed (.gz, .bz2), or lie where only Spark reads, Spark's text reader reads them."""
+    files = [r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").collect()]  # a row a file
+    try:
+        pgnsource.file_system(path)
+        ranged = not any(f.endswith((".gz", ".bz2", ".zst")) for f in files)
+    except (ValueError, OSError):
+        ranged = False
+    if ranged:
+        pgnsource.register(spark)
+        text = spark.read.format("pgn").option("splitBytes", split_bytes).load(path).select("value", F.col("file").alias("mm_file"))
+    else:
+        texts = [spark.read.option("lineSep", f"{end}{end}[").text(held) for end, held in sorted(line_ends(spark, path).items())]
+        text = reduce(DataFrame.unionByName, [t.select("value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("mm_file")) for t in texts])
     return with_lineage(parse_games(text), month, source_file or F.col("mm_file"), run_id).drop("mm_file")
 
 
 def read_pgn_zst(spark: SparkSession, path: str, month: str, run_id: str) -> DataFrame:
-    """The same for zstd files of any size: a file is opened where its task runs, by any file system that Arrow knows, and
-    unpacked as a stream, one task a file, as zstd cannot be split; its games are dealt to all tasks before they are parsed."""
-    import pyarrow as pa
-
-    def unpack(batches):
-        import io
-
-        import zstandard
-        from pyarrow import fs
-
-        for batch in batches:
-            for uri, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held: list[str] = []
-
-                def flush(name=name, held=held):
-                    return pa.RecordBatch.from_arrays([pa.array(held, pa.string()), pa.array([name] * len(held), pa.string())], names=["value", "mm_file"])
-
-                system, at = fs.FileSystem.from_uri(uri)
-                with system.open_input_stream(at, compression=None) as raw:
-                    lines = io.TextIOWrapper(zstandard.ZstdDecompressor().stream_reader(raw, read_across_frames=True), encoding="utf-8", errors="replace", newline="\n")
-                    record: list[str] = []
-                    blank = False
-                    for line in lines:
-                        if blank and line.startswith("[") and record:
-                            held.append("".join(record))
-                            record = []
-                            if len(held) >= 5000:
-                                yield flush()
-                                held.clear()
-                        record.append(line)
-                        blank = not line.strip()
-                    if record:
-                        held.append("".join(record))
-                    yield flush()
-
-    named = F.element_at(F.split("path", "/"), -1).alias("mm_file")
-    files = spark.read.format("binaryFile").load(path).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), named)  # the listing alone: contents are not read
-    texts = files.repartition(max(1, files.count()), "path").mapInArrow(unpack, "value string, mm_file string")
-    rows = parse_games(texts.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    return with_lineage(rows, month, F.col("mm_file"), run_id).drop("mm_file")
+    """The same for zstd files of any size, a task a frame: see :mod:`monthmill.sources.pgnsource`."""
+    texts = pgnsource.read_frames(spark, path).select("value", F.element_at(F.split("path", "/"), -1).alias("mm_file"))
+    return with_lineage(parse_games(texts), month, F.col("mm_file"), run_id).drop("mm_file")
 
 
 def as_pgn(games: DataFrame) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources import pgnsource
 from ..sources.pgn import parse_games
 
 
@@ -19,6 +20,13 @@ def stream_games(spark: SparkSession, path: str, files_per_batch: int = 100) ->
     return games.withColumn("month", F.replace(F.substring("UTCDate", 1, 7), F.lit("."), F.lit("-")))
 
 
+def stream_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """The same by the source "pgn": files come whole into a batch, but in byte ranges, with either line end."""
+    pgnsource.register(spark)
+    games = parse_games(spark.readStream.format("pgn").load(path).select("value", F.col("file").alias("_source_file")))
+    return games.withColumn("month", F.replace(F.substring("UTCDate", 1, 7), F.lit("."), F.lit("-")))
+
+
 def land_stream(games: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Give each batch to ``sink`` (which may publish months), until what is there has been read."""
     return games.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
