@@ -37,9 +37,17 @@ def not_empty(blocking: bool = True) -> Check:
     return Check("not_empty", F.col("rows"), F.lit(None), F.col("rows") > 0, "", blocking)
 
 
+def filled(measures: dict[str, Column]) -> list[Column]:
+    return [F.coalesce(m, F.lit(0)).alias(k) for k, m in measures.items()]
+
+
 def audit(rows: DataFrame, measures: dict[str, Column], checks: list[Check], by: list[str] | None = None) -> DataFrame:
     """Check rows (of each group, with ``by``) from one pass over rows."""
-    stats = rows.groupBy(*(by or [])).agg(*[F.coalesce(m, F.lit(0)).alias(k) for k, m in measures.items()])
+    return judged(rows.groupBy(*(by or [])).agg(*filled(measures)), checks, by)
+
+
+def judged(stats: DataFrame, checks: list[Check], by: list[str] | None = None) -> DataFrame:
+    """Check rows from the measures' values, a row of them (for each group)."""
     made = [F.struct(F.lit(c.name).alias("check_name"), c.passed.alias("passed"), c.observed.cast("bigint").alias("observed"), c.expected.cast("bigint").alias("expected"), F.lit(c.detail).alias("detail"), F.lit(c.blocking).alias("blocking")) for c in checks]
     return stats.select(*(by or []), F.explode(F.array(*made)).alias("c")).select(*(by or []), *[f"c.{f}" for f in CHECK_FIELDS])
 

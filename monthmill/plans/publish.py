@@ -13,14 +13,17 @@ import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .checks import Check, audit, gate
+from .checks import Check, audit, filled, gate, judged
 
 REF = "table_name string, month string, run_id string, source_run_id string, published_at timestamp, folder string"
 HISTORY = "run_id string, checked_at timestamp, table_name string, partition string, check_name string, passed boolean, observed bigint, expected bigint, detail string, blocking boolean"
 
+CHECK_ROW = "check_name string, passed boolean, observed bigint, expected bigint, detail string, blocking boolean"
+
 
 def new_run_id() -> str:
     return uuid.uuid4().hex
@@ -31,13 +34,17 @@ class Store:
     spark: SparkSession
     root: str
 
-    def _exists(self, path: str) -> bool:
+    def _path(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, path: str) -> bool:
+        p, fs = self._path(path)
+        return fs.exists(p)
 
     def _delete(self, path: str) -> None:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        p, fs = self._path(path)
+        fs.delete(p, True)
 
     def _log(self, name: str, schema: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -89,20 +96,37 @@ class Store:
         return self.spark.read.option("mergeSchema", "true").parquet(*paths)
 
     def record(self, table: str, month: str, run_id: str, checks: DataFrame) -> None:
-        stamped = checks.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("checked_at"), F.lit(table).alias("table_name"), F.lit(month).alias("partition"), "check_name", "passed", "observed", "expected", "detail", "blocking")
+        self._record(table, run_id, checks.withColumn("partition", F.lit(month)))
+
+    def _record(self, table: str, run_id: str, checks: DataFrame) -> None:
+        stamped = checks.select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("checked_at"), F.lit(table).alias("table_name"), "partition", "check_name", "passed", "observed", "expected", "detail", "blocking")
         stamped.coalesce(1).write.mode("append").parquet(f"{self.root}/_checks")
 
+    def _audited_write(self, rows: DataFrame, path: str, measures: dict, checks: list[Check], bucketed: bool) -> DataFrame:
+        """Write rows, and the check rows of what was written. The measures are observed while the rows are written, in the
+        tasks that write them; measures that cannot be, such as distinct counts, are taken from the written files."""
+        try:
+            seen = Observation()
+            rows = rows.observe(seen, *filled(measures))
+        except AnalysisException:
+            seen = None
+        writer = rows.write.option("compression", "zstd")
+        (writer.partitionBy("bucket") if bucketed else writer).parquet(path)
+        values = seen.get if seen is not None else {}
+        if set(values) == set(measures):
+            return judged(self.spark.range(1).select(*[F.lit(values[k]).alias(k) for k in measures]), checks)
+        return audit(self.spark.read.schema(rows.schema).parquet(path), measures, checks)
+
     def publish(self, table: str, month: str, rows: DataFrame, measures: dict, checks: list[Check], run_id: str, source_run_id: str | None = None, bucket: str | None = None, buckets: int = 16, sort: Iterable[str] = ()) -> bool:
-        """Write, audit, publish or reject one month; whether it was published. Checks are recorded either way."""
+        """Write and audit one month in one job, publish or reject it; whether it was published. Checks are recorded either way."""
         path = self.run_path(table, month, run_id)
         sort = list(sort)
         if bucket:
             rows = rows.withColumn("bucket", F.pmod(F.xxhash64(bucket), F.lit(buckets)).cast("int")).repartition(buckets, "bucket").sortWithinPartitions("bucket", *sort)
-            rows.write.partitionBy("bucket").option("compression", "zstd").parquet(path)
-        else:
-            (rows.sortWithinPartitions(*sort) if sort else rows).write.option("compression", "zstd").parquet(path)
-        written = self.spark.read.schema(rows.schema).parquet(path)
-        found = self.spark.createDataFrame(audit(written, measures, checks).collect(), "check_name string, passed boolean, observed bigint, expected bigint, detail string, blocking boolean")  # a row a check
+        elif sort:
+            rows = rows.sortWithinPartitions(*sort)
+        judged_rows = self._audited_write(rows, path, measures, checks, bool(bucket))
+        found = self.spark.createDataFrame(judged_rows.collect(), CHECK_ROW)  # a row a check
         ok = gate(found)
         if ok:
             self.point(table, month, run_id, source_run_id)
@@ -111,6 +135,32 @@ class Store:
         self.record(table, month, run_id, found)
         return ok
 
+    def publish_months(self, table: str, rows: DataFrame, measures: dict, checks: list[Check], run_id: str, source_run_id: str | None = None, told: DataFrame | None = None, sort: Iterable[str] = ()) -> dict[str, bool]:
+        """Write all months of rows (by their column ``month``) in one job, audit them in one pass by month, and publish those
+        that pass; whether each was. ``told``: a row a month, joined to rows for the audit. Months are moved into place, one
+        folder each, and their pointers appended together."""
+        staging = f"{self.root}/{table}/_staging-{run_id}"
+        laid = rows.withColumn("mm_month", F.col("month")).repartition("mm_month").sortWithinPartitions("mm_month", *sort)
+        laid.write.option("compression", "zstd").partitionBy("mm_month").parquet(staging)
+        written = self.spark.read.schema(rows.schema).parquet(f"{staging}/*")
+        facts = {c: F.max(c) for c in told.columns if c != "month"} if told is not None else {}
+        seen = written.join(F.broadcast(told), "month", "left") if told is not None else written
+        found = self.spark.createDataFrame(audit(seen, measures | facts, checks, ["month"]).collect(), "month string, " + CHECK_ROW)  # a row a month and check
+        good = found.groupBy("month").agg(F.bool_and(F.coalesce("passed", F.lit(False)) | ~F.coalesce("blocking", F.lit(True))).alias("ok")).collect()
+        fs = self._path(staging)[1]
+        for r in good:
+            if r.ok:
+                target = self._path(self.run_path(table, r.month, run_id))[0]
+                fs.mkdirs(target.getParent())
+                if not fs.rename(self._path(f"{staging}/mm_month={r.month}")[0], target):
+                    raise RuntimeError(f"{table} {r.month}: could not be moved into place")
+        self._delete(staging)
+        published = self.spark.createDataFrame([(r.month,) for r in good if r.ok], "month string")
+        refs = published.select(F.lit(table).alias("table_name"), "month", F.lit(run_id).alias("run_id"), F.lit(source_run_id).cast("string").alias("source_run_id"), F.current_timestamp().alias("published_at"), F.lit(f"run={run_id}").alias("folder"))
+        refs.coalesce(1).write.mode("append").parquet(f"{self.root}/_refs")
+        self._record(table, run_id, found.withColumnRenamed("month", "partition"))
+        return {r.month: r.ok for r in good}
+
     def pending(self, source: str, *targets: str) -> list[str]:
         """Months of source that a target lacks, or built from another run than the one now published."""
         out: set[str] = set()

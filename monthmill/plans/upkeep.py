@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -152,11 +153,48 @@ def read_inventory(spark, path: str) -> DataFrame:
     return spark.read.option("multiLine", "true").schema("table_name string, month string, run_id string, location string").json(path)
 
 
-def restore_drill(store: Store, listed: DataFrame) -> DataFrame:
-    """Rows of each table counted from the listed locations alone, beside those that readers see."""
+def fingerprints(rows: DataFrame, by: str, columns: list[str] | None = None) -> DataFrame:
+    """By group, how many rows there are and two sums of row hashes: equal for equal multisets of rows, whatever their order or
+    files, and else, but for a chance of 2**-64 or so, different."""
+    kinds = dict(rows.dtypes)
+    values = [F.to_json(F.col(f"`{c}`")) if kinds[c].startswith("map") else F.col(f"`{c}`") for c in sorted(columns or rows.columns)]
+    # a hash passes over nulls, so which columns are null is hashed as well
+    nulls = F.concat_ws("", *[F.when(v.isNull(), "0").otherwise("1") for v in values])
+    whole = lambda *more: F.sum(F.xxhash64(*more, nulls, *values).cast("decimal(20,0)"))
+    return rows.groupBy(by).agg(F.count("*").alias("rows"), whole().alias("sum_a"), whole(F.lit("b")).alias("sum_b"))
+
+
+def restore_report(store: Store, listed: DataFrame) -> DataFrame:
+    """Each listed month read from its location alone, against what readers see: table_name, month, from_files, live, verdict.
+
+    Verdicts: same; missing (not listed) and unknown (not published); another month (its rows are those of another published
+    month); rows lost or rows added, by their number; rows changed.
+    """
     spark = store.spark
-    places: dict[str, list[str]] = {}
+    places: dict[str, list] = {}
     for r in listed.collect():  # a row a month
-        places.setdefault(r.table_name, []).append(r.location)
-    rows = [(t, spark.read.parquet(*p).count(), store.read(t).count()) for t, p in sorted(places.items())]
-    return spark.createDataFrame(rows, "table_name string, from_files bigint, live bigint").withColumn("matches", F.col("from_files") == F.col("live"))
+        places.setdefault(r.table_name, []).append(r)
+    folder = lambda c: F.concat_ws("/", F.regexp_extract(c, r"month=([^/]+)/run=", 1), F.regexp_extract(c, r"/(run=[^/]+)", 1))
+    out = []
+    for table, rows in sorted(places.items()):
+        live_rows = store.read(table)
+        columns = [c for c in live_rows.columns if c != "bucket"]
+        told = spark.createDataFrame([(r.month, r.location) for r in rows], "listed string, location string").select("listed", folder(F.col("location")).alias("place"))
+        read = spark.read.schema(live_rows.schema).parquet(*[r.location for r in rows])
+        found = fingerprints(read.withColumn("mm_place", folder(F.col("_metadata.file_path"))), "mm_place", columns).join(F.broadcast(told), F.col("mm_place") == F.col("place"))
+        live = fingerprints(live_rows, "month", columns).withColumnsRenamed({"rows": "live", "sum_a": "live_a", "sum_b": "live_b"})
+        others = live.select(F.col("live_a").alias("sum_a"), F.col("live_b").alias("sum_b"), F.lit(True).alias("known")).distinct()
+        joined = found.join(others, ["sum_a", "sum_b"], "left").join(live, found["listed"] == live["month"], "full_outer")
+        verdict = (
+            F.when(F.col("listed").isNull(), "missing").when(F.col("live").isNull(), "unknown").when((F.col("sum_a") == F.col("live_a")) & (F.col("sum_b") == F.col("live_b")) & (F.col("rows") == F.col("live")), "same")
+            .when(F.col("known"), "another month").when(F.col("rows") < F.col("live"), "rows lost").when(F.col("rows") > F.col("live"), "rows added").otherwise("rows changed")
+        )
+        out.append(joined.select(F.lit(table).alias("table_name"), F.coalesce("listed", "month").alias("month"), F.coalesce("rows", F.lit(0)).alias("from_files"), F.coalesce("live", F.lit(0)).alias("live"), verdict.alias("verdict")))
+    return reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], "table_name string, month string, from_files bigint, live bigint, verdict string")
+
+
+def restore_drill(store: Store, listed: DataFrame) -> DataFrame:
+    """Rows of each table counted from the listed locations alone, beside those that readers see; ``matches``: they are the same
+    rows, month by month."""
+    report = restore_report(store, listed)
+    return report.groupBy("table_name").agg(F.sum("from_files").alias("from_files"), F.sum("live").alias("live"), F.bool_and(F.col("verdict") == "same").alias("matches"))

@@ -359,6 +359,27 @@ def _dq_gold_sql() -> str:
     )
 
 
+def oracle_of_curated() -> str:
+    """The checks of typed games, by month."""
+    return _checks(
+        f"{_GAMES}, below AS (SELECT month, count(*) AS told FROM raw GROUP BY month), src AS (SELECT games.*, told FROM games JOIN below USING (month))",
+        "src",
+        [
+            _expected("row_count_matches_raw", "count(*)", "max(told)"),
+            _zero("game_id_present", "game_id IS NULL"),
+            _zero("time_control_parseable", "speed IS NULL"),
+            _zero("played_at_present", "played_at IS NULL"),
+            ("month_column_consistent", "0", "0", "true", True),
+            _NOT_EMPTY,
+            _zero("game_id_unique", "is_duplicate", False),
+            _zero("rating_in_range", f"{_OUT('white_elo')} OR {_OUT('black_elo')}", False),
+            _zero("result_decided", "result IS NULL", False),
+            _zero("termination_known", f"termination IS NULL OR termination NOT IN {_TERMS}", False),
+            _zero("played_at_in_month", "played_at IS NOT NULL AND substr(played_at, 1, 7) <> month", False),
+        ],
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     share = lambda c: f"{c} * 1.0 / games"
     best = lambda name, v: f"(SELECT '{name}' AS highlight, eco, opening FROM totals ORDER BY {v} DESC, games DESC, eco, opening LIMIT 1)"
@@ -397,23 +418,7 @@ def oracle_sql() -> dict[str, str]:
         "ingest_plan": f"WITH {_LANDED} SELECT c.month, CASE WHEN t.month IS NULL THEN 'pending' WHEN substr(c.month, 6, 2) = '05' THEN 'changed' ELSE 'done' END AS status FROM counts c LEFT JOIN told t USING (month)",
         "pending_months": f"WITH {_LANDED} SELECT month FROM counts WHERE substr(month, 6, 2) IN ('07', '08')",
         "dq_raw": _checks(f"{_LANDED}, src AS (SELECT raw.*, games AS told FROM raw LEFT JOIN told USING (month))", "src", [_expected("row_count_matches_manifest", "count(*)", "max(told)"), _zero("site_present", "Site IS NULL OR Site = ''"), _zero("result_valid", "Result IS NULL OR Result NOT IN ('1-0', '0-1', '1/2-1/2', '*')"), ("month_column_consistent", "0", "0", "true", True), _NOT_EMPTY]),
-        "dq_curated": _checks(
-            f"{_GAMES}, below AS (SELECT month, count(*) AS told FROM raw GROUP BY month), src AS (SELECT games.*, told FROM games JOIN below USING (month))",
-            "src",
-            [
-                _expected("row_count_matches_raw", "count(*)", "max(told)"),
-                _zero("game_id_present", "game_id IS NULL"),
-                _zero("time_control_parseable", "speed IS NULL"),
-                _zero("played_at_present", "played_at IS NULL"),
-                ("month_column_consistent", "0", "0", "true", True),
-                _NOT_EMPTY,
-                _zero("game_id_unique", "is_duplicate", False),
-                _zero("rating_in_range", f"{_OUT('white_elo')} OR {_OUT('black_elo')}", False),
-                _zero("result_decided", "result IS NULL", False),
-                _zero("termination_known", f"termination IS NULL OR termination NOT IN {_TERMS}", False),
-                _zero("played_at_in_month", "played_at IS NOT NULL AND substr(played_at, 1, 7) <> month", False),
-            ],
-        ),
+        "dq_curated": oracle_of_curated(),
         "dq_player_games": _checks(
             f"{_PLAYERS}, below AS (SELECT month, count(*) AS told FROM games GROUP BY month), src AS (SELECT players.*, told FROM players JOIN below USING (month))",
             "src",

@@ -6,11 +6,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import queries as Q
-from .operators import aggregates, sequences, serve
+from .operators import aggregates, sequences, serve, sketches
 from .plans import checks, guard, publish, upkeep
 from .plans.scratch import scratch_path, written
 from .sources import cost, landing, pgn, pgnsource
@@ -216,6 +216,44 @@ def _store(spark, sf_dir):
     return store
 
 
+def _all_months(spark, sf_dir):
+    """A store in which all months of typed games were published together, each against its own count."""
+    store = publish.Store(spark, scratch_path(spark, "months"))
+    rows = written(Q.games(spark, sf_dir).drop("_built_at"), "curated")
+    told = landing.rows_by_month(rows).select("month", F.col("rows").alias("told"))
+    measures, rules = checks.curated_audit(F.col("month"), F.col("told"))
+    # copies, odd ratings and the like do not block; of every month what its rules tell is recorded
+    store.publish_months("games", rows, measures, rules, publish.new_run_id(), "ingest-1", told, ["game_id"])
+    return store
+
+
+def published_months(spark, sf_dir):
+    return _all_months(spark, sf_dir).read("games", Q.FROM, Q.TO).groupBy("month").agg(F.count("*").alias("games"), F.count_if("is_duplicate").alias("copies"))
+
+
+def month_check_rows(spark, sf_dir):
+    """The recorded checks of all months."""
+    return _all_months(spark, sf_dir).history().select(F.col("partition").alias("month"), "check_name", "passed", "observed", "expected", "blocking")
+
+
+def restore_report(spark, sf_dir):
+    """All months read from an inventory of which two are swapped, one has lost a row, one a changed row, and one is not listed."""
+    store = _all_months(spark, sf_dir)
+    rows = store.read("games")
+    spoilt = scratch_path(spark, "spoilt")
+    places = upkeep.inventory(store)
+    at = lambda month: F.col("month") == month
+    first = rows.where(at("1995-03")).agg(F.min("game_id")).first()[0]
+    run = store.pin("games", "1995-03")
+    rows.where(at("1995-03") & (F.col("game_id") != first)).write.parquet(f"{spoilt}/month=1995-03/run={run}")
+    last = rows.where(at("1995-04")).agg(F.max("game_id")).first()[0]
+    rows.where(at("1995-04")).withColumn("result", F.when(F.col("game_id") == last, "odd").otherwise(F.col("result"))).write.parquet(f"{spoilt}/month=1995-04/run={run}")
+    swapped = F.when(at("1995-01"), "1995-02").when(at("1995-02"), "1995-01").otherwise(F.col("month"))
+    moved = F.when(F.col("month").isin("1995-03", "1995-04"), F.concat(F.lit(f"{spoilt}/month="), "month", F.lit(f"/run={run}"))).otherwise(F.col("location"))
+    listed = places.where(~at("1995-05")).select("table_name", swapped.alias("month"), "run_id", moved.alias("location"))
+    return upkeep.restore_report(store, listed)
+
+
 def published_month(spark, sf_dir):
     return _store(spark, sf_dir).read("games", Q.FROM, Q.FROM).select("game_id", "month", "result", "speed", "_source_file")
 
@@ -307,10 +345,34 @@ def heaviest_players(spark, sf_dir):
     return found.agg(F.count("*").alias("items"), F.bool_and(F.col("exact") >= 0.9 * F.col("tenth")).alias("heavy"))
 
 
+def _sketches(spark, sf_dir):
+    return written(sketches.month_sketches(Q.players(spark, sf_dir)), "sketches")
+
+
+def players_over_range(spark, sf_dir):
+    """Distinct players of each speed over a range of months, from the months' sketches."""
+    return sketches.players_over(_sketches(spark, sf_dir), Q.FROM, Q.TO, by=("speed",))
+
+
+def median_over_range(spark, sf_dir):
+    """The median rating of each speed over a range, from sketches, beside the exact one's bucket."""
+    told = sketches.rating_quantile_over(_sketches(spark, sf_dir), Q.FROM, Q.TO, by=("speed",))
+    rated = serve.in_range(aggregates.once(Q.players(spark, sf_dir)), Q.FROM, Q.TO)
+    exact = rated.groupBy("speed").agg(F.floor(F.percentile_approx("rating", 0.5, 1_000_000) / 50).alias("exact"))
+    apart = F.abs(F.floor(F.col("rating") / 50) - F.col("exact"))
+    return told.join(exact, "speed").select("speed", "rated", (F.col("exact") * 50).cast("int").alias("median_bucket"), F.greatest(apart - 1, F.lit(0)).cast("int").alias("buckets_off"))
+
+
+def heaviest_over_range(spark, sf_dir):
+    """Player-games of the heaviest players over a range, most first, from the months' sketches."""
+    top = sketches.heaviest_over(_sketches(spark, sf_dir), Q.FROM, Q.TO, 10)
+    return top.select(F.row_number().over(Window.orderBy(F.desc("player_games"))).alias("place"), "player_games")  # ten rows
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         pgn_files, pgn_source, pgn_zst_frames, pgn_manifest, pgn_stream, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, position_moves_by_replay, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
-        published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
+        published_months, month_check_rows, restore_report, players_over_range, median_over_range, heaviest_over_range, published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
     )
     return {f.__name__: f for f in made}
 
@@ -385,6 +447,14 @@ def oracle_sql() -> dict[str, str]:
         "dq_explorer": _dq_explorer_sql(),
         "numbered_lines": f"WITH {g}, m AS (SELECT list_slice(list_filter(string_split_regex(trim(regexp_replace(regexp_replace(movetext, '\\{{[^}}]*\\}}', ' ', 'g'), '\\d+\\.+|\\$\\d+|[?!]+', ' ', 'g')), '\\s+'), lambda x: x NOT IN ('', '1-0', '0-1', '1/2-1/2', '*')), 1, 16) AS made FROM raw) SELECT coalesce(array_to_string(list_transform(made, lambda x, i: CASE WHEN i % 2 = 1 THEN CAST((i + 1) // 2 AS VARCHAR) || '. ' || x ELSE x END), ' '), '') AS line, count(*) AS games FROM m GROUP BY 1",
         "board_keys": "SELECT 'r' || CAST(o_orderkey % 7 + 1 AS VARCHAR) || '/8 ' || CASE WHEN o_orderkey % 2 = 0 THEN 'w' ELSE 'b' END || ' KQkq' AS position, count(*) AS games FROM orders GROUP BY 1",
+        "published_months": f"WITH {g} SELECT month, count(*) AS games, count(*) FILTER (is_duplicate) AS copies FROM games WHERE month BETWEEN '{Q.FROM}' AND '{Q.TO}' GROUP BY month",
+        "month_check_rows": Q.oracle_of_curated(),
+        "restore_report": f"""WITH {g}, n AS (SELECT month, count(*) AS live, count(*) FILTER (game_id = first) AS lost FROM (SELECT *, min(game_id) OVER (PARTITION BY month) AS first FROM games) GROUP BY month)
+SELECT 'games' AS table_name, month, CASE month WHEN '1995-01' THEN (SELECT live FROM n WHERE month = '1995-02') WHEN '1995-02' THEN (SELECT live FROM n WHERE month = '1995-01') WHEN '1995-03' THEN live - lost WHEN '1995-05' THEN 0 ELSE live END AS from_files, live,
+  CASE WHEN month IN ('1995-01', '1995-02') THEN 'another month' WHEN month = '1995-03' THEN 'rows lost' WHEN month = '1995-04' THEN 'rows changed' WHEN month = '1995-05' THEN 'missing' ELSE 'same' END AS verdict FROM n""",
+        "players_over_range": f"WITH {Q._PLAYERS} SELECT speed, count(*) AS player_games, count(DISTINCT player_id) AS players FROM players WHERE NOT is_duplicate AND month BETWEEN '{Q.FROM}' AND '{Q.TO}' GROUP BY speed",
+        "median_over_range": f"WITH {Q._PLAYERS} SELECT speed, count(rating) AS rated, CAST(floor(quantile_disc(rating, 0.5) / 50) * 50 AS INTEGER) AS median_bucket, 0 AS buckets_off FROM players WHERE NOT is_duplicate AND month BETWEEN '{Q.FROM}' AND '{Q.TO}' GROUP BY speed",
+        "heaviest_over_range": f"WITH {Q._PLAYERS}, n AS (SELECT player_id, count(*) AS player_games FROM players WHERE NOT is_duplicate AND month BETWEEN '{Q.FROM}' AND '{Q.TO}' GROUP BY player_id) SELECT CAST(row_number() OVER (ORDER BY player_games DESC) AS INTEGER) AS place, player_games FROM n ORDER BY player_games DESC LIMIT 10",
         "published_month": f"WITH {g} SELECT game_id, month, result, speed, _source_file FROM games WHERE {of_month}",
         "check_counts": f"WITH {g} " + " UNION ALL ".join(f"SELECT '{n}' AS check_name, {p} AS passed, {f} AS failed, CAST(count(DISTINCT month) AS INTEGER) AS pending FROM games WHERE {of_month}" for n, (p, f) in blocking.items()),
         "restore_drill": f"WITH {g} SELECT 'games' AS table_name, count(*) AS from_files, count(*) AS live, true AS matches FROM games WHERE {of_month}",
