@@ -342,7 +342,10 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     enough = F.col("f") >= min_count
     words, _ = materialise(gram_counts(chunks, range(1, 2)), "phrase-words")
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    pairs = bitmap(frequent_pairs(chunks, bitmap(hashed_words(words.where(enough))), min_count))
+    # written, as the shuffle files of a written table go with it
+    often, often_path = materialise(frequent_pairs(chunks, bitmap(hashed_words(words.where(enough))), min_count), "phrase-pairs")
+    pairs = bitmap(often)
+    discard(chunks.sparkSession, often_path)
     found, _ = materialise(gram_counts(chunks, range(2, MOST_WORDS + 1), pairs).where(enough), "phrase-counts")
     discard(chunks.sparkSession, chunks_path)
     known = words.where(enough).unionByName(found).select("lang", "phrase", "f")
