@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import queries as Q
 from .operators import aggregates, sequences, serve, sketches
-from .plans import checks, guard, publish, upkeep
+from .plans import checks, guard, publish, skipping, upkeep
 from .plans.scratch import scratch_path, written
 from .sources import cost, landing, pgn, pgnsource
 from .streaming import landing as streaming
@@ -236,6 +236,21 @@ def month_check_rows(spark, sf_dir):
     return _all_months(spark, sf_dir).history().select(F.col("partition").alias("month"), "check_name", "passed", "observed", "expected", "blocking")
 
 
+def point_lookup_published(spark, sf_dir):
+    """A game looked up in all published months by the index of their files, with the files opened beyond two."""
+    store = _all_months(spark, sf_dir)
+    skipping.index_months(store, "games", ["game_id", "white"])
+    rows, opened = skipping.lookup(store, "games", "game_id", "00000097")
+    return rows.where(~F.col("is_duplicate")).select("game_id", "month", "white", "result", "_source_file", F.lit(max(0, opened - 2)).alias("files_beyond_two"))
+
+
+def player_lookup_published(spark, sf_dir):
+    """A player's games as White in a range of published months, by the index."""
+    store = _all_months(spark, sf_dir)
+    skipping.index_months(store, "games", ["white"], Q.FROM, Q.TO)
+    return skipping.lookup(store, "games", "white", "Player10", Q.FROM, Q.TO)[0].select("game_id", "month", "black", "result", "_source_file")
+
+
 def restore_report(spark, sf_dir):
     """All months read from an inventory of which two are swapped, one has lost a row, one a changed row, and one is not listed."""
     store = _all_months(spark, sf_dir)
@@ -372,7 +387,7 @@ def heaviest_over_range(spark, sf_dir):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
         pgn_files, pgn_source, pgn_zst_frames, pgn_manifest, pgn_stream, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, position_moves_by_replay, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
-        published_months, month_check_rows, restore_report, players_over_range, median_over_range, heaviest_over_range, published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
+        published_months, month_check_rows, point_lookup_published, player_lookup_published, restore_report, players_over_range, median_over_range, heaviest_over_range, published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
     )
     return {f.__name__: f for f in made}
 
@@ -449,6 +464,8 @@ def oracle_sql() -> dict[str, str]:
         "board_keys": "SELECT 'r' || CAST(o_orderkey % 7 + 1 AS VARCHAR) || '/8 ' || CASE WHEN o_orderkey % 2 = 0 THEN 'w' ELSE 'b' END || ' KQkq' AS position, count(*) AS games FROM orders GROUP BY 1",
         "published_months": f"WITH {g} SELECT month, count(*) AS games, count(*) FILTER (is_duplicate) AS copies FROM games WHERE month BETWEEN '{Q.FROM}' AND '{Q.TO}' GROUP BY month",
         "month_check_rows": Q.oracle_of_curated(),
+        "point_lookup_published": f"WITH {g} SELECT game_id, month, white, result, _source_file, 0 AS files_beyond_two FROM games WHERE game_id = '00000097' AND NOT is_duplicate",
+        "player_lookup_published": f"WITH {g} SELECT game_id, month, black, result, _source_file FROM games WHERE white = 'Player10' AND month BETWEEN '{Q.FROM}' AND '{Q.TO}'",
         "restore_report": f"""WITH {g}, n AS (SELECT month, count(*) AS live, count(*) FILTER (game_id = first) AS lost FROM (SELECT *, min(game_id) OVER (PARTITION BY month) AS first FROM games) GROUP BY month)
 SELECT 'games' AS table_name, month, CASE month WHEN '1995-01' THEN (SELECT live FROM n WHERE month = '1995-02') WHEN '1995-02' THEN (SELECT live FROM n WHERE month = '1995-01') WHEN '1995-03' THEN live - lost WHEN '1995-05' THEN 0 ELSE live END AS from_files, live,
   CASE WHEN month IN ('1995-01', '1995-02') THEN 'another month' WHEN month = '1995-03' THEN 'rows lost' WHEN month = '1995-04' THEN 'rows changed' WHEN month = '1995-05' THEN 'missing' ELSE 'same' END AS verdict FROM n""",

@@ -6,7 +6,7 @@ from test_publish import put_raw
 from test_typing import raw_row
 
 from monthmill.operators import sketches
-from monthmill.plans import build, checks, layers, publish, upkeep
+from monthmill.plans import build, checks, layers, publish, skipping, upkeep
 
 
 @pytest.fixture
@@ -93,3 +93,25 @@ def test_sketches_over_ranges(spark):
     assert top.player_id == "busy" and abs(top.player_games - busy) <= 0.02 * busy
     with pytest.raises(ValueError):
         sketches.players_over(kept, "2013-04", "2013-02")
+
+
+def test_lookups_open_the_files_that_may_have_a_value(store):
+    rows = store.spark.range(3000).select(F.sha1(F.col("id").cast("string")).alias("key"), "id", F.concat(F.lit("2013-0"), (F.col("id") % 3 + 1).cast("string")).alias("month"))
+    measures, rules = {"rows": F.count("*")}, [checks.not_empty()]
+    for month in ("2013-01", "2013-02", "2013-03"):
+        assert store.publish("t", month, rows.where(F.col("month") == month).repartition(8), measures, rules, publish.new_run_id())
+    key = lambda i: rows.where(F.col("id") == i).first().key
+    assert skipping.index_months(store, "t", ["key", "id"], "2013-01", "2013-02") == 16
+    assert skipping.index_months(store, "t", ["key", "id"], "2013-01", "2013-02") == 16  # again: nothing is indexed twice
+    assert store._log("_index", skipping.INDEX).select("path", "column", "bucket").distinct().count() == store._log("_index", skipping.INDEX).count()
+    for i in range(0, 60, 7):
+        found, opened = skipping.lookup(store, "t", "key", key(i))
+        assert [r.id for r in found.collect()] == [i] and opened <= 1
+        found, opened = skipping.lookup(store, "t", "id", i)
+        assert [r.id for r in found.collect()] == [i] and opened <= 1
+    assert skipping.lookup(store, "t", "key", "nowhere", "2013-01", "2013-02")[0].count() == 0
+    assert skipping.files_for(store, "t", "key", key(2))[1]  # the third month has no index, and is read whole
+    upkeep.compact_month(store, "t", "2013-01", upkeep.Settings(min_files=2))
+    assert [r.id for r in skipping.lookup(store, "t", "key", key(0))[0].collect()] == [0]
+    with pytest.raises(LookupError):
+        skipping.lookup(store, "t", "key", "x", "2014-01")
