@@ -4,6 +4,7 @@ the explorer with a state function. Inputs derive from the driver's tables by th
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -326,16 +327,20 @@ def old_columns(spark, sf_dir):
 
 # -- readers ---------------------------------------------------------------------------------------------------------
 
-READER_SQL = f"""WITH g AS (SELECT month, speed, games FROM {READERS}.summary)
+READER_SQL = """WITH g AS (SELECT month, speed, games FROM {schema}.summary)
 SELECT a.month, a.games AS games, coalesce(b.games, 0) AS blitz FROM g a LEFT JOIN g b ON a.month = b.month AND b.speed = 'blitz' WHERE a.speed = 'all'"""
 
 
 def reader_sql(spark, sf_dir):
-    """A reader's query with a common table expression and a join, behind the guard and a row cap."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {READERS} LOCATION '{scratch_path(spark, READERS)}'")
-    Q.summary(spark, sf_dir).write.mode("overwrite").option("path", scratch_path(spark, "readers-summary")).saveAsTable(f"{READERS}.summary")
-    assert "summary" in [n for n, _ in guard.list_tables(spark, READERS)]
-    return guard.guarded_sql(spark, READER_SQL, {READERS}, 1000)
+    """A reader's query with a common table expression and a join, behind the guard and a row cap; its database goes again."""
+    schema = f"{READERS}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, READERS)}'")
+    try:
+        Q.summary(spark, sf_dir).write.option("path", scratch_path(spark, "readers-summary")).saveAsTable(f"{schema}.summary")
+        assert [n for n, _ in guard.list_tables(spark, schema)] == ["summary"]
+        return written(guard.guarded_sql(spark, READER_SQL.format(schema=schema), {schema}, 1000), "reader")
+    finally:
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
 
 
 def capped_openings(spark, sf_dir):
