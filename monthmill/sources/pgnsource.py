@@ -54,6 +54,17 @@ def listed(path: str) -> list[tuple[str, int, int]]:
     return sorted((f.path, f.size, f.mtime_ns) for f in found if f.type == fs.FileType.File and f.base_name[0] not in "_." and f.base_name != MANIFEST)
 
 
+def committed(path: str) -> list[tuple[str, int, int]]:
+    """The same, but where a manifest lies there only the files in it: others are of writes that failed, or still go on."""
+    files = listed(path)
+    system, at = file_system(path)
+    if not system.get_file_info(f"{at}/{MANIFEST}").is_file:
+        return files
+    with system.open_input_stream(f"{at}/{MANIFEST}") as f:
+        names = {x["file"] for x in json.loads(f.read())["files"]}
+    return [x for x in files if x[0].rpartition("/")[2] in names]
+
+
 def cut(chunks: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
     """Records of a stream with the offsets at which they begin; the first begins with the stream, the last ends with it."""
     held, begin, scan = b"", 0, 0
@@ -133,7 +144,7 @@ class PgnReader(DataSourceReader):
         self.path, self.split = options["path"], int(options.get("splitBytes", SPLIT_BYTES))
 
     def partitions(self):
-        return ranges(self.path, listed(self.path), self.split) or [Range(self.path, 0, 0)]
+        return ranges(self.path, committed(self.path), self.split) or [Range(self.path, 0, 0)]
 
     def read(self, partition):
         return read_range(partition) if partition.end else iter(())
@@ -149,12 +160,12 @@ class PgnStreamReader(DataSourceStreamReader):
         return {"changed": 0, "path": ""}
 
     def latestOffset(self):
-        last = max(((changed, path) for path, _, changed in listed(self.path)), default=(0, ""))
+        last = max(((changed, path) for path, _, changed in committed(self.path)), default=(0, ""))
         return {"changed": last[0], "path": last[1]}
 
     def partitions(self, start, end):
         low, high = ((o["changed"], o["path"]) for o in (start, end))
-        return ranges(self.path, [f for f in listed(self.path) if low < (f[2], f[0]) <= high], self.split)
+        return ranges(self.path, [f for f in committed(self.path) if low < (f[2], f[0]) <= high], self.split)
 
     def read(self, partition):
         return read_range(partition)
@@ -352,4 +363,8 @@ def stitched(parts: DataFrame) -> DataFrame:
 def read_frames(spark: SparkSession, path: str) -> DataFrame:
     """path and value of the records of all zstd files under a path; a listing by Spark's own file source, no contents."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zst").option("recursiveFileLookup", "true").load(path).select("path")
+    manifest = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{MANIFEST}")
+    if manifest.getFileSystem(spark._jsc.hadoopConfiguration()).exists(manifest):
+        names = read_manifest(spark, path).select(F.col("file").alias("name"))
+        files = files.join(names, F.element_at(F.split("path", "/"), -1) == F.col("name"), "left_semi")
     return stitched(unpacked(frame_index(files)))

@@ -66,6 +66,13 @@ def test_write_commits_by_its_manifest(spark, tmp_path):
         told = pgnsource.read_manifest(spark, path)
         assert told.agg(F.sum("games")).first()[0] == games == pgn.read_pgn(spark, path, "m", "r").count()
         assert {r.file for r in told.collect()} == {p.rpartition("/")[2] for p, _, _ in pgnsource.listed(path)}
+    # what a task left that was lost is not in the manifest, and not read
+    (tmp_path / "out" / "part-lost.pgn").write_text('[Site "half')
+    assert pgn.read_pgn(spark, path, "m", "r").count() == 50
+    packed = str(tmp_path / "packed")
+    rows.write.format("pgn").mode("append").options(compression="zstd", frameGames=7).save(packed)
+    (tmp_path / "packed" / "part-lost.pgn.zst").write_bytes(zstandard.ZstdCompressor().compress(b'[Site "half"]'))
+    assert pgn.read_pgn_zst(spark, packed, "m", "r").count() == 50
     with pytest.raises(Exception, match="boom"):
         rows.select(F.when(F.col("value").contains("s7"), F.raise_error(F.lit("boom"))).otherwise(F.col("value")).alias("value"), "file", "start").write.format("pgn").mode("append").save(path)
     assert pgnsource.read_manifest(spark, path).agg(F.sum("games")).first()[0] == 50
