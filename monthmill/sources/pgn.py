@@ -8,62 +8,129 @@ still holds one is cut again.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import pgnsource
 
 # The tags that get a column.
 TAGS = "Event Site Date Round White Black Result UTCDate UTCTime WhiteElo BlackElo WhiteRatingDiff BlackRatingDiff WhiteTitle BlackTitle ECO Opening TimeControl Termination Variant FEN SetUp".split()
+#: What lies between the quotes of a usual header: a first name, a further one, the end.
+BETWEEN = re.compile(r"(\[?|\]\n\[)(\w+) ", re.A)
+#: Any tag line: its name, and its value, quoted to the line's end or bare.
+TAG = re.compile(r'\[?(\w++)[ \t]*+("(?:[^"\\]++|\\.)*+"(?=[ \t]*\]?\Z)|.*?)[ \t]*\]?\Z', re.A)
+#: Where a record that holds several games is cut, and a first line that is a tag though its separator took the bracket.
+CUT, BARE_TAG = re.compile(r"\n[ \t]*\n\["), re.compile(r"\w+(\s.*)?\]\Z", re.A)
+EXTRA = pa.map_(pa.string(), pa.string())
 
 
-def unquoted(value: Column) -> Column:
+def unquoted(value: str) -> str:
     """A tag's value without its quotes, \\" and then \\\\ unescaped; an unquoted value as it is; a missing one ''."""
-    inner = F.substring(value, F.lit(2), F.length(value) - 2)
-    plain = F.when(inner.contains("\\"), F.replace(F.replace(inner, F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\"))).otherwise(inner)
-    return F.when(value.startswith('"') & value.endswith('"') & (F.length(value) > 1), plain).otherwise(value)
-
-
-def tag_map(keys: Column, values: Column) -> Column:
-    """A map of tags, the last of a name winning."""
-    none = F.create_map().cast("map<string,string>")
-    last = F.aggregate(F.arrays_zip(keys.alias("k"), values.alias("v")), none, lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, _: k != e["k"]), F.create_map(e["k"], e["v"])))
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), F.map_from_arrays(keys, values)).otherwise(last)
+    quoted = len(value) > 1 and value[0] == value[-1] == '"'
+    return value[1:-1].replace('\\"', '"').replace("\\\\", "\\") if quoted else value
+
+
+def game_by_lines(text: str) -> tuple[dict[str, str], str]:
+    """Tags, the last of a name winning, and movetext of any text, line by line."""
+    lines = [line for x in text.split("\n") if (line := x.strip(" \t\r"))]
+    is_tag = [x[0] == "[" or (i == 0 and BARE_TAG.match(x) is not None) for i, x in enumerate(lines)]
+    told = [m for x, t in zip(lines, is_tag, strict=True) if t and (m := TAG.match(x))]
+    return {m[1]: unquoted(m[2]) for m in told}, " ".join([x for x, t in zip(lines, is_tag, strict=True) if not t])
+
+
+def odd_games(records: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+    """The games of any records (binary), with the places of their records: a column for each tag, movetext and the others.
+    Bytes that are no UTF-8 become U+FFFD."""
+    texts = [(x or b"").decode("utf-8", "replace").strip(" \t\r\n").replace("\r\n", "\n") for x in records.to_pylist()]
+    games = [(i, *game_by_lines(x)) for i, text in enumerate(texts) for x in CUT.split(text) if x]
+    told = [pa.array([tags.get(t) for _, tags, _ in games], pa.string()) for t in TAGS]
+    extra = [[(k, v) for k, v in tags.items() if k not in TAGS] or None for _, tags, _ in games]
+    return np.array([i for i, _, _ in games], np.int64), [*told, pa.array([m for _, _, m in games], pa.string()), pa.array(extra, EXTRA)]
+
+
+def usual_games(text: pa.Array) -> tuple[np.ndarray, list[pa.Array]]:
+    """The same of those records (trimmed, lines ending in LF) that are one game with a usual header: tag lines, the first
+    perhaps without its bracket, nothing escaped in them, then a blank line and moves. Headers are cut at their quotes, all at
+    once; every second cut must then be what lies between two values."""
+    n = len(text)
+    halves = pc.split_pattern(text, "\n\n", max_splits=1)
+    at = halves.offsets.to_numpy().astype(np.int64)
+    head = halves.values.take(pa.array(at[:-1]))
+    moves = pc.utf8_trim(pc.fill_null(halves.values.take(pa.array(at[:-1] + 1, mask=np.diff(at) < 2)), ""), " \t\r\n")
+    cuts = pc.split_pattern(head, '"')
+    at = cuts.offsets.to_numpy().astype(np.int64)
+    count = np.diff(at)
+    record = np.repeat(np.arange(n), count)
+    place = np.arange(len(record)) - at[:-1][record]
+    even = np.flatnonzero(place % 2 == 0)
+    codes = cuts.values.take(pa.array(even)).dictionary_encode()
+    # of each different piece between quotes: is it a first name (1), a further one (2), the end (3); and which name
+    pieces = codes.dictionary.to_pylist()
+    found = [BETWEEN.fullmatch(x) for x in pieces]
+    kinds = np.array([3 if x == "]" else 0 if m is None else 2 if m[1][:1] == "]" else 1 for x, m in zip(pieces, found, strict=True)], np.int8)
+    names = [m and m[2] for m in found]
+    code = codes.indices.to_numpy()
+    wanted = np.where(place[even] == 0, 1, np.where(place[even] == count[record[even]] - 1, 3, 2))
+    wrong = np.bincount(record[even], kinds[code] != wanted, n)
+    lines = count // 2
+    good = (wrong == 0) & (count % 2 == 1) & (lines > 0) & (pc.count_substring(head, "\n").to_numpy() == lines - 1)
+    good &= ~np.asarray(pc.match_substring(head, "\\")) & ~np.asarray(pc.match_substring_regex(moves, r"(?m)^[ \t]*\["))
+    kept = np.flatnonzero(good)
+    row = np.full(n, -1)
+    row[kept] = np.arange(len(kept))
+    used = good[record[even]] & (kinds[code] != 3)
+    rows, values, code = row[record[even][used]], even[used] + 1, code[used]
+
+    def value_of(names_codes: list[int]) -> pa.Array:
+        here = np.isin(code, names_codes) if len(names_codes) != 1 else code == names_codes[0]
+        found_at = np.full(len(kept), -1)
+        found_at[rows[here]] = values[here]  # the last of a name wins
+        return cuts.values.take(pa.array(found_at, mask=found_at < 0))
+
+    told = [value_of([i for i, x in enumerate(names) if x == t]) for t in TAGS]
+    extra: list = [None] * len(kept)
+    others = np.flatnonzero(np.array([x not in TAGS for x in names], bool)[code])
+    for r, v, c in zip(rows[others].tolist(), cuts.values.take(pa.array(values[others])).to_pylist(), code[others].tolist(), strict=True):
+        extra[r] = {**(extra[r] or {}), names[c]: v}
+    moves = pc.replace_substring_regex(moves.take(pa.array(kept)), r"[ \t\r\f\v]*\n[ \t\r\n\f\v]*", " ")
+    return kept, [*told, moves, pa.array([x and list(x.items()) for x in extra], EXTRA)]
 
 
 def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
     """One row for each game: a column for each known tag, ``movetext`` (its lines joined by a space, '' where there is
-    none) and ``extra_tags`` (a map, null where empty). Bytes that are no UTF-8 become U+FFFD. Blank records are skipped, and
-    a record that holds several games, as a separator may be missed or lines may end otherwise, is cut into them."""
-    # the text is told once: a filter below the cut, or one that Spark infers for an inner explode, would tell it again
-    text = F.replace(F.btrim(F.make_valid_utf8(F.col(value)), F.lit(" \t\r\n")), F.lit("\r\n"), F.lit("\n"))
+    none) and ``extra_tags`` (a map, null where empty). Bytes that are no UTF-8 become U+FFFD. Null and blank records are
+    skipped, and a record that holds several games, as a separator may be missed or lines may end otherwise, is cut into them.
+
+    Usual games are parsed by Arrow's kernels, a batch at once; only odd ones one by one. As column expressions, each of which
+    makes a string of its own, the same took twice the time and more."""
     rest = [c for c in records.columns if c != value]
-    whole = records.select(*rest, text.alias("mm_text"))
-    one = whole.select(*rest, F.explode_outer(F.split("mm_text", r"\n[ \t]*\n\[")).alias("mm_text")).where("mm_text != ''")
-    # a game is tag lines, the first perhaps without the bracket that its separator took, then a blank line and moves
-    head = F.substring_index("mm_text", "\n\n", 1)
-    moves = F.substring("mm_text", F.length("mm_head") + 1, F.lit(2147483647))
-    plain = one.withColumn("mm_head", head).withColumn("mm_moves", F.btrim(moves, F.lit(" \t\r\n")))
-    usual = F.col("mm_head").rlike(r"\A\[?\w++ \"[^\"\\\n]*+\"\](?:\n\[\w++ \"[^\"\\\n]*+\"\])*+\z") & ~F.col("mm_moves").rlike(r"(?m)^[ \t]*\[")
-    # otherwise every line is looked at
-    lines = F.filter(F.transform(F.split("mm_text", "\n"), lambda x: F.btrim(x, F.lit(" \t\r"))), lambda x: x != "")
-    is_tag = lambda x, i: F.when(i == 0, x.startswith("[") | x.rlike(r"^\w+(\s.*)?\]$")).otherwise(x.startswith("["))
-    of = lambda tag: F.transform(F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), is_tag(x, i).alias("t"))), lambda s: s["t"] == tag), lambda s: s["x"])
-    told = F.when(F.col("mm_moves").contains("\n"), F.regexp_replace("mm_moves", r"\s*\n\s*", " ")).otherwise(F.col("mm_moves"))
-    cut = plain.withColumn("mm_usual", usual)
-    cut = cut.select(*rest, "mm_usual", F.when(F.col("mm_usual"), F.col("mm_head")).otherwise(F.array_join(of(F.lit(True)), "\n")).alias("mm_header"), F.when(F.col("mm_usual"), told).otherwise(F.array_join(of(F.lit(False)), " ")).alias("movetext"))
-    # a usual header is cut between its lines, as no value holds a quote; another is scanned twice, whatever its number of tags
-    bare = F.ltrim(F.substring("mm_header", F.lit(1), F.length("mm_header") - 2), F.lit("["))
-    tags = cut.withColumn("mm_tags", F.when(F.col("mm_usual"), F.split(bare, r'"\]\n\[')))
-    found = lambda pattern: F.regexp_extract_all("mm_header", F.lit(pattern), F.lit(1))
-    keys = F.when(F.col("mm_usual"), F.transform("mm_tags", lambda x: F.substring_index(x, ' "', 1))).otherwise(found(r"(?m)^\[?(\w+)"))
-    values = F.when(F.col("mm_usual"), F.transform("mm_tags", lambda x: F.substring_index(x, '"', -1))).otherwise(F.transform(found(r"(?m)^\[?\w++[ \t]*+(\"(?:[^\"\\\n]++|\\.)*+\"(?=[ \t]*\]?$)|[^\n]*?)[ \t]*\]?$"), unquoted))
-    parsed = tags.select(*rest, "movetext", keys.alias("mm_keys"), values.alias("mm_values"))
-    parsed = parsed.select(*rest, "movetext", tag_map(F.col("mm_keys"), F.col("mm_values")).alias("mm_tags"))
-    extra = F.map_filter("mm_tags", lambda k, v: ~k.isin(*TAGS))
-    return parsed.select(*rest, *[F.element_at("mm_tags", F.lit(t)).alias(t) for t in TAGS], "movetext", F.when(F.size(extra) > 0, extra).alias("extra_tags"))
+    strings = ", ".join(f"{t} string" for t in [*TAGS, "movetext"])
+    schema = T.StructType([records.schema[c] for c in rest] + T._parse_datatype_string(f"{strings}, extra_tags map<string,string>").fields)
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, raw, odd = batch.columns[:-1], batch.column(len(rest)), np.arange(batch.num_rows)
+            try:
+                text = pc.replace_substring(pc.utf8_trim(pc.fill_null(raw.cast(pa.string()), ""), " \t\r\n"), "\r\n", "\n")
+                kept, columns = usual_games(text)
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(kept)) for c in held), *columns], names=names)
+                odd = np.setdiff1d(odd, kept)
+            except pa.ArrowInvalid:  # bytes that are no UTF-8
+                pass
+            if len(odd):
+                at, columns = odd_games(raw.take(pa.array(odd)))
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(odd[at])) for c in held), *columns], names=names)
+
+    return records.select(*rest, F.col(value).cast("binary").alias("mm_value")).mapInArrow(run, schema)
 
 
 def with_lineage(rows: DataFrame, month: str, source_file: str | Column, run_id: str) -> DataFrame:

@@ -1,6 +1,8 @@
 import datetime as dt
 import json
+import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +127,24 @@ def test_stream(spark, tmp_path):
     games = streaming.stream_games(spark, str(tmp_path / "in"))
     streaming.land_stream(games, str(tmp_path / "ckpt"), streaming.append_landing(str(tmp_path / "out"))).awaitTermination()
     assert {(r.Event, str(r.month)) for r in spark.read.parquet(str(tmp_path / "out" / "batch=*")).select("Event", "UTCDate").withColumn("month", F.substring("UTCDate", 1, 7)).collect()} == {("A", "2013.01"), ("B", "2013.02")}
+
+
+def test_usual_games_as_line_by_line():
+    """What the batch kernels take as usual is what looking at every line makes of it, whatever the texts are made of."""
+    rng = random.Random(3)
+    bits = ['[Event "A"]', '[Site "b c"]', '[Event "z"]', '[Odd "q"]', '[White "x\\"y"]', "[Black x]", "[ECO]", '[FEN "a\\\\"]', "\n", "\n\n", "\n \n", "1. e4 e5", "{ [%clk 0:1] }", "[", '"', "]", " ", 'Foo "x"]', "1-0", "é", '[[Round "1"]']
+    texts = ["".join(rng.choice(bits) + rng.choice(["\n", "\n", "", "\n\n"]) for _ in range(rng.randint(0, 9))).strip(" \t\r\n") for _ in range(20000)]
+    kept, columns = pgn.usual_games(pa.array(texts))
+    assert 500 < len(kept) < 4000
+    at, told = pgn.odd_games(pa.array([texts[i].encode() for i in kept], pa.binary()))
+    assert at.tolist() == list(range(len(kept)))  # one game each
+    for got, want in zip(columns[:-1], told[:-1], strict=True):
+        assert got.to_pylist() == want.to_pylist()
+    assert [x and dict(x) for x in columns[-1].to_pylist()] == [x and dict(x) for x in told[-1].to_pylist()]
+
+
+def test_one_record_of_bad_bytes_leaves_the_others(spark):
+    rows = spark.createDataFrame([(1, b'[Event "a\xff"]\n\n1. e4'), (2, b'[Event "b"]\n\n1. d4 *'), (3, None), (4, b" \n"), (5, b'[Event "c"]\n\n*\n\n[Event "d"]\n\n1-0')], "id int, value binary")
+    got = sorted((r.id, r.Event, r.movetext) for r in pgn.parse_games(rows).collect())
+    assert got == [(1, "a�", "1. e4"), (2, "b", "1. d4 *"), (5, "c", "*"), (5, "d", "1-0")]
+    assert pgn.parse_games(rows.limit(0)).count() == 0
