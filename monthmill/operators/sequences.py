@@ -33,17 +33,34 @@ def moves(movetext: Column, limit: int = MAX_STEPS) -> Column:
     return F.slice(F.filter(F.split(bare, r"\s+"), lambda m: (m != "") & ~m.isin(*C.RAW_RESULTS)), 1, limit)
 
 
-def game_rows(raw: DataFrame, games: DataFrame) -> DataFrame:
-    """Rows for :func:`next_steps`: the movetext of raw joined to the games that count, by id and source file."""
+GAME = ["game_id", "_source_file"]
+
+
+def game_texts(raw: DataFrame) -> DataFrame:
+    """The movetext of each game id and source file."""
     text = raw.select(C.game_id(F.col("Site")).alias("game_id"), "_source_file", "movetext")
     # copies within a file would meet each other; any of their texts will do
-    text = text.where(F.col("game_id").isNotNull()).groupBy("game_id", "_source_file").agg(F.min("movetext").alias("movetext"))
-    counted = games.where(~F.col("is_duplicate") & F.col("game_id").isNotNull())
+    return text.where(F.col("game_id").isNotNull()).groupBy(*GAME).agg(F.min("movetext").alias("movetext"))
+
+
+def counted_games(games: DataFrame) -> DataFrame:
+    """What the explorer takes from the games that count."""
     rating = C.mean_rating(F.col("white_elo"), F.col("black_elo"))
-    joined = counted.select("game_id", "_source_file", "month", "speed", "result", rating.alias("rating")).join(text, ["game_id", "_source_file"])
+    return games.where(~F.col("is_duplicate") & F.col("game_id").isNotNull()).select(*GAME, "month", "speed", "result", rating.alias("rating"))
+
+
+def rows_of(counted: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows for :func:`next_steps` of :func:`counted_games` and :func:`game_texts`, by id and source file. Where both are
+    tables bucketed and sorted by these (:mod:`monthmill.plans.bucketed`), hint "merge" on one has them joined as they lie."""
+    joined = counted.join(texts, GAME)
     return joined.select("game_id", "month", "speed", "result", "rating", C.explorer_band(F.col("rating")).alias("rating_band"), moves(F.col("movetext")).alias("steps"))
 
 
+def game_rows(raw: DataFrame, games: DataFrame) -> DataFrame:
+    """Rows for :func:`next_steps`: the movetext of raw joined to the games that count, by id and source file."""
+    return rows_of(counted_games(games), game_texts(raw))
+
+
 def steps(rows: DataFrame, first: int | Column = 1, last: Column | None = None) -> DataFrame:
     """One row for each step: its prefix joined by spaces, a hash of it, and the step; of all lengths, or of some."""
     first = first if isinstance(first, Column) else F.lit(first)

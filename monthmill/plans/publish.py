@@ -140,7 +140,8 @@ class Store:
         that pass; whether each was. ``told``: a row a month, joined to rows for the audit. Months are moved into place, one
         folder each, and their pointers appended together."""
         staging = f"{self.root}/{table}/_staging-{run_id}"
-        laid = rows.withColumn("mm_month", F.col("month")).repartition("mm_month").sortWithinPartitions("mm_month", *sort)
+        # where a month is larger than the session's advisory size, AQE splits it among tasks, a file each
+        laid = rows.withColumn("mm_month", F.col("month")).hint("rebalance", "mm_month").sortWithinPartitions("mm_month", *sort)
         laid.write.option("compression", "zstd").partitionBy("mm_month").parquet(staging)
         written = self.spark.read.schema(rows.schema).parquet(f"{staging}/*")
         facts = {c: F.max(c) for c in told.columns if c != "month"} if told is not None else {}

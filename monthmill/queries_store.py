@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from . import queries as Q
 from .operators import aggregates, sequences, serve, sketches
-from .plans import checks, guard, publish, skipping, upkeep
+from .plans import bucketed, checks, guard, publish, skipping, upkeep
 from .plans.scratch import scratch_path, written
 from .sources import cost, landing, pgn, pgnsource
 from .streaming import landing as streaming
@@ -172,6 +172,14 @@ def position_moves_by_replay(spark, sf_dir):
     return sequences.next_steps(written(rows, "lines"), sequences.captures_state())
 
 
+def position_moves_bucketed(spark, sf_dir):
+    """The explorer on two tables bucketed and sorted by game, joined as they lie."""
+    bucketed.trust_order(spark)
+    games = bucketed.bucketed(sequences.counted_games(Q.games(spark, sf_dir)), "counted", sequences.GAME)
+    texts = bucketed.bucketed(sequences.game_texts(Q.raw_games(spark, sf_dir)), "texts", sequences.GAME)
+    return sequences.next_steps(written(sequences.rows_of(games.hint("merge"), texts), "explorer-rows"))
+
+
 def unplaced_pairs(spark, sf_dir):
     return sequences.pair_counts(Q.explorer_rows(spark, sf_dir), _without_queen)
 
@@ -232,6 +240,14 @@ def published_months(spark, sf_dir):
     return _all_months(spark, sf_dir).read("games", Q.FROM, Q.TO).groupBy("month").agg(F.count("*").alias("games"), F.count_if("is_duplicate").alias("copies"))
 
 
+def sorted_months(spark, sf_dir):
+    """Of each published month, its games and how many of them lie before a lesser id in their file."""
+    at = Window.partitionBy("file").orderBy("place")  # a file's rows
+    rows = _all_months(spark, sf_dir).read("games").select("month", "game_id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+    late = (F.lead("game_id").over(at) < F.col("game_id")).cast("int")
+    return rows.select("month", late.alias("late")).groupBy("month").agg(F.count("*").alias("games"), F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"))
+
+
 def month_check_rows(spark, sf_dir):
     """The recorded checks of all months."""
     return _all_months(spark, sf_dir).history().select(F.col("partition").alias("month"), "check_name", "passed", "observed", "expected", "blocking")
@@ -391,8 +407,8 @@ def heaviest_over_range(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     made = (
-        pgn_files, pgn_source, pgn_zst_frames, pgn_manifest, pgn_stream, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, position_moves_by_replay, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
-        published_months, month_check_rows, point_lookup_published, player_lookup_published, restore_report, players_over_range, median_over_range, heaviest_over_range, published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
+        pgn_files, pgn_source, pgn_zst_frames, pgn_manifest, pgn_stream, pgn_odd_tags, lineage, streamed_landing, landed_month, unpublished_months, source_inventory, inventory_by_year, cost_pages, cost_months, position_moves_by_function, position_moves_by_replay, position_moves_bucketed, unplaced_pairs, dq_explorer, numbered_lines, board_keys,
+        published_months, sorted_months, month_check_rows, point_lookup_published, player_lookup_published, restore_report, players_over_range, median_over_range, heaviest_over_range, published_month, check_counts, restore_drill, latest_runs, expired_runs, orphan_files, newest_versions, file_counts, old_columns, reader_sql, capped_openings, approx_players, heaviest_players,
     )
     return {f.__name__: f for f in made}
 
@@ -463,11 +479,13 @@ def oracle_sql() -> dict[str, str]:
         "cost_months": f"WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem), m AS (SELECT day, unnest([strftime(date_trunc('month', day) - INTERVAL 1 MONTH, '%Y-%m'), strftime(day, '%Y-%m')]) AS month FROM d) SELECT strftime(day, '%Y-%m-%d') AS usage_date, month, month || '-01' AS first, strftime(last_day({first}), '%Y-%m-%d') AS last FROM m",
         "position_moves_by_function": f"WITH {_PLACED} SELECT * FROM position_moves",
         "position_moves_by_replay": _replay_sql(),
+        "position_moves_bucketed": f"WITH {Q._POSITIONS} SELECT * FROM position_moves",
         "unplaced_pairs": f"WITH {Q._POSITIONS}, {_PAIRS} SELECT * FROM pairs",
         "dq_explorer": _dq_explorer_sql(),
         "numbered_lines": f"WITH {g}, m AS (SELECT list_slice(list_filter(string_split_regex(trim(regexp_replace(regexp_replace(movetext, '\\{{[^}}]*\\}}', ' ', 'g'), '\\d+\\.+|\\$\\d+|[?!]+', ' ', 'g')), '\\s+'), lambda x: x NOT IN ('', '1-0', '0-1', '1/2-1/2', '*')), 1, 16) AS made FROM raw) SELECT coalesce(array_to_string(list_transform(made, lambda x, i: CASE WHEN i % 2 = 1 THEN CAST((i + 1) // 2 AS VARCHAR) || '. ' || x ELSE x END), ' '), '') AS line, count(*) AS games FROM m GROUP BY 1",
         "board_keys": "SELECT 'r' || CAST(o_orderkey % 7 + 1 AS VARCHAR) || '/8 ' || CASE WHEN o_orderkey % 2 = 0 THEN 'w' ELSE 'b' END || ' KQkq' AS position, count(*) AS games FROM orders GROUP BY 1",
         "published_months": f"WITH {g} SELECT month, count(*) AS games, count(*) FILTER (is_duplicate) AS copies FROM games WHERE month BETWEEN '{Q.FROM}' AND '{Q.TO}' GROUP BY month",
+        "sorted_months": f"WITH {g} SELECT month, count(*) AS games, CAST(0 AS BIGINT) AS out_of_order FROM games GROUP BY month",
         "month_check_rows": Q.oracle_of_curated(),
         "point_lookup_published": f"WITH {g} SELECT game_id, month, white, result, _source_file, 0 AS files_beyond_two FROM games WHERE game_id = '00000097' AND NOT is_duplicate",
         "player_lookup_published": f"WITH {g} SELECT game_id, month, black, result, _source_file FROM games WHERE white = 'Player10' AND month BETWEEN '{Q.FROM}' AND '{Q.TO}'",
