@@ -19,8 +19,10 @@ and so do those of each shorter one: a sorted array of grams is the trie. Sorted
 4. Prices meet the blocks' grams in the same dealing, the prices first, so that blocks stream past them, and go back to
    their blocks, past which the texts stream.
 
-A task thus holds the distinct keys of one block or of one dealing. Dealings grow in number with the text up to
-``MOST_BUCKETS``, so up to 32 GB one has at most about 4 M distinct grams, whatever the text; text beyond repeats its grams.
+A task thus holds the distinct keys of one block or of one dealing. Dealings grow in number with the text, without a limit,
+so on average one has at most 4 M distinct grams or words, whatever the text. A dealing has at least one context of three
+bytes whole, which has at most 2**24 grams at order 5, far fewer in text; so a block has no more rows of grams than it has
+such contexts, however many dealings there are.
 """
 
 from __future__ import annotations
@@ -48,8 +50,8 @@ TASK_BYTES = 32_000_000
 PIECE_BYTES = 4_000_000
 #: Bytes that are turned into grams at once.
 CHUNK = 1_000_000
-#: Bytes of text for each dealing of keys, and the most dealings.
-BUCKET_BYTES, MOST_BUCKETS = 4_000_000, 8192
+#: Bytes of text for each dealing of keys, so that a dealing has no more distinct grams than these bytes, whatever the corpus.
+BUCKET_BYTES = 4_000_000
 #: Blocks whose counts are added up in one task.
 MERGED_BLOCKS = 1000
 #: Values that no UTF-8 text has: before the first byte, and after the last.
@@ -152,7 +154,7 @@ def word_hashes(words: Iterable[bytes]) -> np.ndarray:
 def buckets_of(kind: int, keys: np.ndarray, buckets: int, order: int) -> np.ndarray:
     """The dealing of each key: all grams whose contexts share their nearest three bytes have the same."""
     near = (keys >> 8 * (order - 2) if kind == GRAM else keys).view(np.uint64)
-    return ((near * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int16)
+    return ((near * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int16 if buckets <= 1 << 15 else np.int32)
 
 
 def count_chunk(parts: Sequence[bytes], train: np.ndarray, order: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -453,7 +455,7 @@ def score_texts(
         raise ValueError(f"kept columns named as results: {', '.join(sorted(clash))}")
     body = F.coalesce(F.col(text_col), F.lit(""))
     size = docs.agg(F.sum(F.octet_length(body).cast("long"))).first()[0] or 0
-    buckets = min(MOST_BUCKETS, size // BUCKET_BYTES + 1)
+    buckets = size // BUCKET_BYTES + 1
     tasks = max(spark.sparkContext.defaultParallelism, size // task_bytes + 1)
     ids = F.struct(*[F.col(f"`{k}`") for k in keep]).alias("ids")
     dealt = docs.select(ids, body.alias("body"), F.coalesce(train, F.lit(False)).alias("train")).coalesce(tasks)

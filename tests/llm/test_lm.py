@@ -2,6 +2,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +144,20 @@ def test_edges(spark, odd_docs, no_docs):
     assert (untrained.n_tokens, untrained.n_known, untrained.train_tokens) == (1, 0, 0) and untrained.score == pytest.approx(-math.log10(256)) and untrained.base_score == 0
     with pytest.raises(ValueError):
         lm.score_texts(odd_docs, F.lit(True), keep=["score"])
+
+
+def test_dealings_grow_without_a_limit(spark, monkeypatch):
+    """Over 2**15 dealings, and one, give the same scores; no dealing's number wraps."""
+    rows = [(i, " ".join(f"w{(i * k) % 97} {k * 7919 % 1009}" for k in range(60)), i % 7 != 2) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, train boolean")
+
+    def scores():
+        return {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 6)) for r in lm.score_texts(docs, F.col("train")).collect()}
+
+    one = scores()
+    size = sum(len(t) for _, t, _ in rows)
+    monkeypatch.setattr(lm, "BUCKET_BYTES", max(1, size // 50_000))
+    assert size // lm.BUCKET_BYTES > 1 << 15
+    assert scores() == one
+    dealt = lm.buckets_of(lm.WORD, np.arange(100_000, dtype=np.int64) * 7919, 1 << 20, lm.ORDER)
+    assert dealt.min() >= 0 and dealt.max() > 1 << 19
