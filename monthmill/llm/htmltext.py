@@ -1,12 +1,12 @@
 """Main text of web pages by tag-path ratios.
 
-A page is cut into text nodes, each with its root-to-leaf tag path (tags with their class names). Over the nodes that no
-boilerplate element holds, text length and punctuation are added up per path, link text not counted, and divided by the path's
-nodes; each node takes its path's two ratios; both sequences are smoothed over the page with a Gaussian, fused into their
-geometric mean, and thresholded at ``THRESHOLD`` standard deviations. The paths whose nodes clear it on average are the
-content paths, and their nodes are content.
+A page is cut into text nodes, each with its root-to-leaf tag path (tags with their class names, and whether they are
+boilerplate by their tag or names). Over all nodes text length and punctuation are added up per path and divided by the path's
+nodes, where link text and text in boilerplate elements weigh nothing; each node takes its path's two ratios; both sequences
+are smoothed over the page with a Gaussian, fused into their geometric mean, and thresholded at ``THRESHOLD`` standard
+deviations. The paths whose nodes clear it on average are the content paths, and their nodes are content.
 
-Short parts of an article have thin paths. So of the other nodes those are content too that lie in an article, main or text
+Short parts of an article have thin paths. So of the other nodes outside boilerplate those are content too that lie in an article, main or text
 block which holds content paths; or else, in a part that is not mostly links, between two content nodes of the innermost
 element around them that has any, in a heading right before content, or in a paragraph, list, quotation or table beside it.
 """
@@ -148,7 +148,7 @@ def parse(page: str) -> tuple[list[Element], list[Node]]:
     the tags it opens or closes, so a page takes time in proportion to its length, however deep or broken it is."""
     elements = [Element(-1, 0, "", False, False, False, -1, 1)]
     nodes: list[Node] = []
-    paths: dict[tuple[int, str], int] = {}
+    paths: dict[tuple[int, str, bool], int] = {}
     stack, opened = [0], defaultdict(int)
     block = 0
     ended: dict[int, int] = {}  # boilerplate without an end tag so far: the first node of an article or main in it
@@ -190,7 +190,7 @@ def parse(page: str) -> tuple[list[Element], list[Node]]:
                 ended[e] = len(nodes)
                 e = elements[elements[e].parent].marked
         number = len(elements)
-        path = paths.setdefault((around.path, tag + classes), len(paths) + 1)
+        path = paths.setdefault((around.path, tag + classes, own), len(paths) + 1)
         elements.append(Element(stack[-1], path, tag, around.link or tag == "a", around.article or article, own, number if own else around.marked, len(stack) + 1 if tag in BLOCKS else around.block))
         stack.append(number)
         opened[tag] += 1
@@ -212,13 +212,19 @@ def fused_ratios(paths: np.ndarray, length: np.ndarray, signs: np.ndarray) -> np
     return np.where(ratios[0] > 0, np.sqrt(smooth[0] * (smooth[1] + 0.1)), 0.0)
 
 
-def content_nodes(elements: Sequence[Element], nodes: Sequence[Node]) -> list[bool]:
-    """Which of a page's text nodes with text, none of them boilerplate, are content."""
-    paths = np.array([elements[n.element].path for n in nodes])
+def content_nodes(elements: Sequence[Element], nodes: Sequence[Node], boilerplate: Sequence[bool]) -> list[bool]:
+    """Which of a page's text nodes with text are content; ``boilerplate`` says which of them boilerplate elements hold."""
+    # boilerplate that an article ends has nodes of both kinds on one path; they are told apart
+    paths = np.unique([2 * elements[n.element].path + b for n, b in zip(nodes, boilerplate, strict=True)], return_inverse=True)[1]
     size = [len(n.text.strip()) for n in nodes]
     linked = [elements[n.element].link for n in nodes]
-    length = np.array([0 if x else s for s, x in zip(size, linked, strict=True)], float)
-    signs = np.array([0 if x else len(_PUNCTUATION.findall(n.text)) for n, x in zip(nodes, linked, strict=True)], float)
+    weightless = [x or b for x, b in zip(linked, boilerplate, strict=True)]
+    length = np.array([0 if x else s for s, x in zip(size, weightless, strict=True)], float)
+    signs = np.array([0 if x else len(_PUNCTUATION.findall(n.text)) for n, x in zip(nodes, weightless, strict=True)], float)
+    if not length.any():
+        length = np.array([0 if b else s for s, b in zip(size, boilerplate, strict=True)], float)  # a page of links
+        if not length.any():
+            return [False] * len(nodes)
     fused = fused_ratios(paths, length, signs)
     share = (np.bincount(paths, fused) / np.maximum(np.bincount(paths), 1))[paths]
     picked = share >= min(THRESHOLD * fused.std(), share.max())
@@ -244,7 +250,7 @@ def content_nodes(elements: Sequence[Element], nodes: Sequence[Node]) -> list[bo
         part[e] = e if holder[e] == e or last[up] >= 0 else part[up]
     out = picked.tolist()
     for i in range(len(nodes) - 1, -1, -1):
-        if out[i]:
+        if out[i] or boilerplate[i]:
             continue
         e = nodes[i].element
         around, branch = holder[e], part[e]
@@ -260,12 +266,12 @@ def content_nodes(elements: Sequence[Element], nodes: Sequence[Node]) -> list[bo
 def main_text(page: str) -> str:
     """The content's blocks in page order, blanks made one space, joined by two newlines; '' where there is none."""
     elements, nodes = parse(page)
-    nodes = [n for i, n in enumerate(nodes) if i >= elements[n.element].until]
-    solid = [n for n in nodes if n.text.strip()]
+    solid = [(n, i < elements[n.element].until) for i, n in enumerate(nodes) if n.text.strip()]
     if not solid:
         return ""
-    wanted = {id(n) for n, yes in zip(solid, content_nodes(elements, solid), strict=True) if yes}
-    blocks: dict[int, list[str]] = {n.block: [] for n in solid if id(n) in wanted}
+    chosen = content_nodes(elements, [n for n, _ in solid], [b for _, b in solid])
+    wanted = {id(n) for (n, _), yes in zip(solid, chosen, strict=True) if yes}
+    blocks: dict[int, list[str]] = {n.block: [] for n, _ in solid if id(n) in wanted}
     for n in nodes:
         if n.block in blocks and (id(n) in wanted or not n.text.strip()):
             blocks[n.block].append(n.text)
