@@ -1,9 +1,10 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer numpy network.
 
-A token's bucket is its crc32 modulo ``BUCKETS``. Each bucket has a fixed sparse index vector of +1 and -1; its context
-vector is the sum of the index vectors of its neighbours within ``REACH`` tokens, over the sample. A document is pooled into
-the mean of its tokens' index vectors, the mean of their context vectors (each of length 1), its length, and how much the pooling is the work of a few tokens. A
-network of one hidden layer is fitted on that, and a temperature on rows kept apart makes its outputs probabilities.
+A token's bucket is its crc32 modulo ``BUCKETS``. Each bucket has a fixed sparse index vector of +1 and -1. Its context
+vector is the sum, over the sample, of the index vectors of its neighbours within ``REACH`` tokens, each permuted by where the
+neighbour stands. A document is pooled into the means of its tokens' index and context vectors, the deviations of the context
+vectors, and, for each step up to ``REACH``, the mean product of two tokens' index vectors that far apart: a token times itself
+is never negative, so repetition shows. There are no other measures of a text. A network of one hidden layer is fitted on that, and a temperature on rows kept apart makes its outputs probabilities.
 
 All is fitted on at most about ``sample_rows`` labelled rows; buckets and dimensions bound what is broadcast (16 MB).
 """
@@ -12,10 +13,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from operator import eq
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,8 @@ from .sampling import drawn, labelled
 SAMPLE_ROWS = 20_000
 BUCKETS, DIM, ONES, REACH = 1 << 16, 64, 4, 2
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-2
+#: Tokens whose vectors are held at once.
+SLICE = 4096
 #: Tasks that gather context vectors, and ranges of buckets in which these are summed; with SAMPLE_ROWS they bound a group.
 TASKS, RANGES = 12, 8
 #: A probability of at least this much is called good.
@@ -48,6 +50,7 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, DIM, (BUCKETS, ONES)), rng.choice(np.array([-1.0, 1.0]), (BUCKETS, ONES))
 
 
+@cache
 def index_matrix() -> np.ndarray:
     place, sign = index_vectors()
     out = np.zeros((BUCKETS, DIM), np.float32)
@@ -56,37 +59,45 @@ def index_matrix() -> np.ndarray:
     return out
 
 
+def buckets(text: str) -> np.ndarray:
+    """The bucket of every token, in order."""
+    tokens = _TOKEN.findall(text)
+    known = {t: bucket(t) for t in set(tokens)}
+    return np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
+
+
 def context_sums(texts: Iterator[str]) -> np.ndarray:
-    """Sums of the neighbours' index vectors for each bucket."""
+    """Sums of the neighbours' permuted index vectors for each bucket."""
     place, sign = index_vectors()
     out = np.zeros(BUCKETS * DIM)
     for text in texts:
-        ids = np.array([bucket(t) for t in _TOKEN.findall(text)], np.int64)
+        ids = buckets(text)
         for step in range(1, REACH + 1):
-            for a, b in ((ids[:-step], ids[step:]), (ids[step:], ids[:-step])):
-                if len(a):
-                    cell = (a[:, None] * DIM + place[b]).ravel()
-                    np.add.at(out, cell, sign[b].ravel())
+            for a, b, turn in ((ids[:-step], ids[step:], step), (ids[step:], ids[:-step], -step)):
+                for at in range(0, len(a), SLICE):
+                    cell = (a[at : at + SLICE, None] * DIM + (place[b[at : at + SLICE]] + turn) % DIM).ravel()
+                    np.add.at(out, cell, sign[b[at : at + SLICE]].ravel())
     return out.reshape(BUCKETS, DIM)
 
 
-def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
-    """Mean of the rows of vectors that the text's tokens have, the logarithms of the number of tokens and of tokens for
-    each different one, the share of tokens that have themselves within reach, and the length of the mean index vector;
-    zeros without tokens."""
-    tokens = _TOKEN.findall(text)
-    counts = Counter(tokens)
-    width = vectors.shape[1]
-    out = np.zeros(width + 4, np.float32)
-    if counts:
-        n = np.fromiter(counts.values(), np.float32, len(counts))
-        ids = np.fromiter(map(bucket, counts), np.int64, len(counts))
-        total = n.sum()
-        for at in range(0, len(ids), 4096):
-            out[:width] += n[at : at + 4096] @ vectors[ids[at : at + 4096]]
-        out[:width] /= total
-        out[width:] = np.log1p(total), np.log(total / len(n)), max(sum(map(eq, tokens, tokens[k:])) for k in range(1, REACH + 1)) / total, np.linalg.norm(out[:DIM])
-    return out
+def pooled(text: str, index: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Means of index and context vectors over the text's tokens, deviations of context vectors, and the mean product of index
+    vectors at each step; zeros without tokens."""
+    ids = buckets(text)
+    out = np.zeros((3 + REACH, index.shape[1]))
+    held, times = np.unique(ids, return_counts=True)
+    for at in range(0, len(held), SLICE):
+        which, n = held[at : at + SLICE], times[at : at + SLICE].astype(np.float32)
+        for k, v in enumerate((index[which], context[which], context[which] ** 2)):
+            out[k] += n @ v
+    out[:3] /= max(len(ids), 1)
+    out[2] = np.sqrt(np.maximum(out[2] - out[1] ** 2, 0))
+    for step in range(1, min(REACH, len(ids) - 1) + 1):
+        a, b = ids[:-step], ids[step:]
+        for at in range(0, len(a), SLICE):
+            out[2 + step] += np.einsum("ij,ij->j", index[a[at : at + SLICE]], index[b[at : at + SLICE]])
+        out[2 + step] /= len(a)
+    return out.astype(np.float32).ravel()
 
 
 @dataclass
@@ -152,11 +163,11 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 1) -> Network:
 
 @dataclass
 class QualityModel:
-    vectors: np.ndarray
+    context: np.ndarray
     network: Network
 
     def scores(self, texts: Sequence[str]) -> np.ndarray:
-        return self.network.probabilities(np.stack([pooled(t, self.vectors) for t in texts]))
+        return self.network.probabilities(np.stack([pooled(t, index_matrix(), self.context) for t in texts]))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "quality", text_col: str = "text", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> QualityModel | None:
@@ -182,12 +193,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label_col: st
         context[p.r] = np.frombuffer(p.v, np.float32).reshape(BUCKETS // RANGES, DIM)
     context = context.reshape(BUCKETS, DIM)
     context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-6)
-    vectors = np.concatenate([index_matrix(), context], axis=1)
-    sent = docs.sparkSession.sparkContext.broadcast(vectors)
+    sent = docs.sparkSession.sparkContext.broadcast(context)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            made = [pooled(t, sent.value).tobytes() for t in batch.column(0).to_pylist()]
+            made = [pooled(t, index_matrix(), sent.value).tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary()), batch.column(1)], names=["x", "label"])
 
     got = rows.select("body", "label").mapInArrow(pool, "x binary, label int").toArrow()
@@ -199,7 +209,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train: Column, label_col: st
     raw = got.column("x").to_pylist()
     order = sorted(range(len(raw)), key=lambda i: (raw[i], y[i]))  # whatever order the rows came in
     x = np.stack([np.frombuffer(raw[i], np.float32) for i in order]).astype(np.float64)
-    return QualityModel(vectors, fit_network(x, y[order]))
+    return QualityModel(context, fit_network(x, y[order]))
 
 
 def score_quality(docs: DataFrame, model: QualityModel | None, text_col: str = "text", keep: Sequence[str] = ("doc_id",), cut: float = CUT) -> DataFrame:
