@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates, curate, sequences
@@ -78,3 +78,38 @@ def build_pending(store: Store) -> dict[str, dict[str, bool]]:
     for source, targets, step in ((RAW, [CURATED], build_curated), (CURATED, [PLAYERS], build_players), (PLAYERS, AGGREGATES, build_aggregates), (CURATED, [EXPLORER], build_explorer)):
         out[targets[0]] = {m: step(store, m) for m in store.pending(source, *targets)}
     return out
+
+
+def refresh(store: Store, buckets: int = 16) -> dict[str, dict[str, bool]]:
+    """Bring typed games, player sides and aggregates up to date, all pending months of a table in one job, each audited against
+    its own counts of the layer below; by table, whether each month built was published. A rejected month stops its own later
+    layers only; where nothing is pending nothing is read. The result is that of the builders month by month."""
+    done: dict[str, dict[str, bool]] = {}
+    count = lambda rows, name: rows.groupBy("month").agg(F.count("*").alias(name))
+    if todo := store.pending(RAW, CURATED):
+        raw, runs = store.read_months(RAW, todo)
+        run = new_run_id()
+        rows = curate.curate_games(raw, _by_month(runs), run, within=["month"])
+        done[CURATED] = store.publish_months(CURATED, rows, *checks.curated_audit(F.col("month"), F.col("told")), run, runs, count(raw, "told"), sort=["game_id"])
+    if todo := store.pending(CURATED, PLAYERS):
+        games, runs = store.read_months(CURATED, todo)
+        run = new_run_id()
+        rows = curate.player_sides(games, _by_month(runs), run)
+        done[PLAYERS] = store.publish_months(PLAYERS, rows, *checks.player_games_audit(F.col("month"), F.col("told")), run, runs, count(games, "told"), bucket="player_id", buckets=buckets, sort=["player_id", "played_at"])
+    if todo := store.pending(PLAYERS, *AGGREGATES):
+        players, runs = store.read_months(PLAYERS, todo)
+        games, _ = store.read_months(CURATED, todo)
+        told, run, unique = count(aggregates.once(games), "told"), new_run_id(), F.col("told")
+        made = {
+            SUMMARY: (aggregates.monthly_summary(games, players), checks.summary_audit(unique)),
+            OPENINGS: (aggregates.opening_counts(games), checks.openings_audit(unique)),
+            RATINGS: (aggregates.rating_distribution(players), checks.ratings_audit(unique)),
+        }
+        for table, (rows, audit) in made.items():
+            done[table] = store.publish_months(table, rows.withColumns({"_source_run_id": _by_month(runs), "_run_id": F.lit(run), "_built_at": F.current_timestamp()}), *audit, run, runs, told)
+    return done
+
+
+def _by_month(runs: dict[str, str]) -> Column:
+    """The run of a row's month."""
+    return F.create_map(*[F.lit(x) for pair in runs.items() for x in pair])[F.col("month")]

@@ -93,7 +93,21 @@ class Store:
         paths = [self.run_path(table, r.month, r.run_id, r.folder) for r in v.orderBy("month").collect()]  # a row a month
         if not paths:
             raise LookupError(f"{table} has no months in that range")
-        return self.spark.read.option("mergeSchema", "true").parquet(*paths)
+        return self._read_runs(paths)
+
+    def _read_runs(self, paths: list[str]) -> DataFrame:
+        """Rows of several runs; a single one keeps the column of its bucket folders, which several roots cannot have."""
+        reader = self.spark.read.option("mergeSchema", "true")
+        return (reader.option("recursiveFileLookup", "true") if len(paths) > 1 else reader).parquet(*paths)
+
+    def read_months(self, table: str, months: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+        """Rows of the given published months as of one moment, and the run of each."""
+        asked = set(months)
+        found = [r for r in self.versions(table).collect() if r.month in asked]  # a row a month
+        if missing := asked - {r.month for r in found}:
+            raise LookupError(f"{table} has no month {min(missing)}")
+        paths = [self.run_path(table, r.month, r.run_id, r.folder) for r in found]
+        return self._read_runs(paths), {r.month: r.run_id for r in found}
 
     def record(self, table: str, month: str, run_id: str, checks: DataFrame) -> None:
         self._record(table, run_id, checks.withColumn("partition", F.lit(month)))
@@ -135,15 +149,19 @@ class Store:
         self.record(table, month, run_id, found)
         return ok
 
-    def publish_months(self, table: str, rows: DataFrame, measures: dict, checks: list[Check], run_id: str, source_run_id: str | None = None, told: DataFrame | None = None, sort: Iterable[str] = ()) -> dict[str, bool]:
+    def publish_months(self, table: str, rows: DataFrame, measures: dict, checks: list[Check], run_id: str, source_run_id: str | dict[str, str] | None = None, told: DataFrame | None = None, sort: Iterable[str] = (), bucket: str | None = None, buckets: int = 16) -> dict[str, bool]:
         """Write all months of rows (by their column ``month``) in one job, audit them in one pass by month, and publish those
-        that pass; whether each was. ``told``: a row a month, joined to rows for the audit. Months are moved into place, one
-        folder each, and their pointers appended together."""
+        that pass; whether each was. ``told``: a row a month, joined to rows for the audit. ``source_run_id``: one of all, or
+        one a month. Months are moved into place, one folder each, and their pointers appended together."""
         staging = f"{self.root}/{table}/_staging-{run_id}"
+        parts = ["mm_month"]
+        if bucket:
+            rows = rows.withColumn("bucket", F.pmod(F.xxhash64(bucket), F.lit(buckets)).cast("int"))
+            parts.append("bucket")
         # where a month is larger than the session's advisory size, AQE splits it among tasks, a file each
-        laid = rows.withColumn("mm_month", F.col("month")).hint("rebalance", "mm_month").sortWithinPartitions("mm_month", *sort)
-        laid.write.option("compression", "zstd").partitionBy("mm_month").parquet(staging)
-        written = self.spark.read.schema(rows.schema).parquet(f"{staging}/*")
+        laid = rows.withColumn("mm_month", F.col("month")).hint("rebalance", *parts).sortWithinPartitions(*parts, *sort)
+        laid.write.option("compression", "zstd").partitionBy(*parts).parquet(staging)
+        written = self.spark.read.schema(rows.drop("bucket").schema).option("recursiveFileLookup", "true").parquet(staging)
         facts = {c: F.max(c) for c in told.columns if c != "month"} if told is not None else {}
         seen = written.join(F.broadcast(told), "month", "left") if told is not None else written
         found = self.spark.createDataFrame(audit(seen, measures | facts, checks, ["month"]).collect(), "month string, " + CHECK_ROW)  # a row a month and check
@@ -156,8 +174,9 @@ class Store:
                 if not fs.rename(self._path(f"{staging}/mm_month={r.month}")[0], target):
                     raise RuntimeError(f"{table} {r.month}: could not be moved into place")
         self._delete(staging)
-        published = self.spark.createDataFrame([(r.month,) for r in good if r.ok], "month string")
-        refs = published.select(F.lit(table).alias("table_name"), "month", F.lit(run_id).alias("run_id"), F.lit(source_run_id).cast("string").alias("source_run_id"), F.current_timestamp().alias("published_at"), F.lit(f"run={run_id}").alias("folder"))
+        sources = source_run_id if isinstance(source_run_id, dict) else {r.month: source_run_id for r in good}
+        published = self.spark.createDataFrame([(r.month, sources.get(r.month)) for r in good if r.ok], "month string, source_run_id string")
+        refs = published.select(F.lit(table).alias("table_name"), "month", F.lit(run_id).alias("run_id"), "source_run_id", F.current_timestamp().alias("published_at"), F.lit(f"run={run_id}").alias("folder"))
         refs.coalesce(1).write.mode("append").parquet(f"{self.root}/_refs")
         self._record(table, run_id, found.withColumnRenamed("month", "partition"))
         return {r.month: r.ok for r in good}

@@ -180,7 +180,7 @@ def restore_report(store: Store, listed: DataFrame) -> DataFrame:
         live_rows = store.read(table)
         columns = [c for c in live_rows.columns if c != "bucket"]
         told = spark.createDataFrame([(r.month, r.location) for r in rows], "listed string, location string").select("listed", folder(F.col("location")).alias("place"))
-        read = spark.read.schema(live_rows.schema).parquet(*[r.location for r in rows])
+        read = spark.read.schema(live_rows.select(*columns).schema).option("recursiveFileLookup", "true").parquet(*[r.location for r in rows])
         found = fingerprints(read.withColumn("mm_place", folder(F.col("_metadata.file_path"))), "mm_place", columns).join(F.broadcast(told), F.col("mm_place") == F.col("place"))
         live = fingerprints(live_rows, "month", columns).withColumnsRenamed({"rows": "live", "sum_a": "live_a", "sum_b": "live_b"})
         others = live.select(F.col("live_a").alias("sum_a"), F.col("live_b").alias("sum_b"), F.lit(True).alias("known")).distinct()

@@ -385,7 +385,7 @@ def oracle_sql() -> dict[str, str]:
     best = lambda name, v: f"(SELECT '{name}' AS highlight, eco, opening FROM totals ORDER BY {v} DESC, games DESC, eco, opening LIMIT 1)"
     from . import queries_store
 
-    return queries_store.oracle_sql() | {
+    made = queries_store.oracle_sql() | {
         "curated_games": f"WITH {_GAMES} SELECT * EXCLUDE (movetext) FROM games",
         "duplicate_flags": f"WITH {_GAMES} SELECT game_id, _source_file FROM games WHERE is_duplicate",
         "player_games": f"WITH {_PLAYERS} SELECT * FROM players",
@@ -451,3 +451,4 @@ def oracle_sql() -> dict[str, str]:
         "white_score_by_rating": f"WITH {_GAMES} SELECT CAST(floor(white_elo / 100) * 100 AS INTEGER) AS rating_bucket, count(*) AS games, avg(CASE result WHEN 'white' THEN 1.0 WHEN 'draw' THEN 0.5 WHEN 'black' THEN 0.0 END) AS white_score FROM games WHERE NOT is_duplicate AND event LIKE 'Rated%' AND white_elo IS NOT NULL GROUP BY 1 HAVING count(*) >= 100",
         "point_lookup": f"WITH {_GAMES} SELECT * EXCLUDE (movetext, _run_id, _source_run_id) FROM games WHERE game_id = '00000097' AND NOT is_duplicate LIMIT 1",
     }
+    return made | {"refreshed_layers": queries_store.refreshed_sql(made)}

@@ -115,3 +115,30 @@ def test_lookups_open_the_files_that_may_have_a_value(store):
     assert [r.id for r in skipping.lookup(store, "t", "key", key(0))[0].collect()] == [0]
     with pytest.raises(LookupError):
         skipping.lookup(store, "t", "key", "x", "2014-01")
+
+
+def test_layers_refreshed_together_are_those_built_month_by_month(store, tmp_path):
+    other = publish.Store(store.spark, str(tmp_path / "other"))
+    games = {m: [raw_row(i % 4, UTCDate=m.replace("-", ".") + ".01", month=m) for i in range(6)] for m in ("2013-01", "2013-02")}
+    for s in (store, other):
+        for m, rows in games.items():
+            put_raw(s, m, rows)
+    assert all(step(store, m) for m in games for step in (layers.build_curated, layers.build_players, layers.build_aggregates))
+    done = layers.refresh(other)
+    assert done == {t: dict.fromkeys(games, True) for t in (layers.CURATED, layers.PLAYERS, *layers.AGGREGATES)}
+    clock = ["_built_at", "_run_id", "_source_run_id"]
+    for t in done:
+        a, b = store.read(t).drop(*clock), other.read(t).drop(*clock)
+        assert "bucket" not in a.columns
+        assert sorted(a.columns) == sorted(b.columns)
+        assert a.exceptAll(b.select(a.columns)).isEmpty() and a.count() == b.count()
+    sources = {r.month: r.source_run_id for r in other.versions(layers.CURATED).collect()}
+    assert sources == {m: other.pin(layers.RAW, m) for m in games}
+    assert {(r.month, r._source_run_id) for r in other.read(layers.CURATED).select("month", "_source_run_id").distinct().collect()} == set(sources.items())
+    assert layers.refresh(other) == {}
+    # one month landed again makes that month's layers pending, whoever built them; copies are told within a month
+    put_raw(store, "2013-02", games["2013-02"][:5])
+    assert {t: list(m) for t, m in layers.refresh(store, buckets=2).items()} == {t: ["2013-02"] for t in done}
+    assert store.read(layers.PLAYERS).where("month = '2013-02'").count() == 10 and store.read(layers.CURATED).where("is_duplicate").count() == 3
+    with pytest.raises(LookupError):
+        other.read_months(layers.RAW, ["2013-01", "2015-01"])
