@@ -2,6 +2,7 @@ import html
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from monthmill.llm import htmltext as H
@@ -115,6 +116,15 @@ def test_ratios_decide_where_no_tag_or_class_tells(monkeypatch):
         assert H.main_text(PLAIN) != text
 
 
+def test_ratios_decide_on_the_given_pages(monkeypatch):
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"]).column(0).to_pylist()
+    assert all(H.main_text(p) == article_of(p) for p in pages)
+    true, rng = H.fused_ratios, np.random.default_rng(0)
+    for spoilt in (lambda p, *_: np.ones(len(p)), lambda p, *_: rng.random(len(p)), lambda *a: -true(*a), lambda *a: rng.permutation(true(*a))):
+        monkeypatch.setattr(H, "fused_ratios", spoilt)
+        assert sum(H.main_text(p) != article_of(p) for p in pages) > len(pages) / 2
+
+
 @pytest.mark.parametrize(
     "page",
     [
