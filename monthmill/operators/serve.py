@@ -11,6 +11,8 @@ from ..functions import columns as C
 from .aggregates import ALL
 
 MONTH = re.compile(r"^\d{4}-(0[1-9]|1[0-2])$")
+#: Registers of the distinct count of a month's players, as a power of two.
+LG_REGISTERS = 14
 RESULT_SUMS = ["games", "white_wins", "draws", "black_wins", "unfinished"]
 
 
@@ -281,8 +283,10 @@ def get_game(games: DataFrame, game_id: str) -> DataFrame:
 
 
 def approx_players(players: DataFrame) -> DataFrame:
-    """About how many players a month has, and its player-games: what skew to expect."""
-    return players.groupBy("month").agg(F.approx_count_distinct("player_id").alias("players"), F.count("*").alias("player_games"))
+    """About how many players a month has, and its player-games: what skew to expect. The sketch's standard error is 0.8 %, so that
+    among many months none is off by a tenth, as some were at the 5 % that Spark's approx_count_distinct has unless told."""
+    estimate = F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg("player_id", LG_REGISTERS)), F.lit(0))
+    return players.groupBy("month").agg(estimate.alias("players"), F.count("*").alias("player_games"))
 
 
 def heaviest_players(players: DataFrame, k: int = 10) -> DataFrame:

@@ -96,6 +96,33 @@ def test_sketches_over_ranges(spark):
         sketches.players_over(kept, "2013-04", "2013-02")
 
 
+def sides(spark, players, months):
+    """Player-games of so many different players in each month; one in a thousand has two."""
+    i = F.col("id") % months
+    month = F.concat(F.lit("19"), (F.floor(i / 12) + 10).cast("string"), F.lit("-"), F.lpad((i % 12 + 1).cast("string"), 2, "0"))
+    own = spark.range(players * months).select(month.alias("month"), F.lit("blitz").alias("speed"), F.lit(False).alias("is_duplicate"), F.concat(F.lit("player"), "id").alias("player_id"))
+    return own.unionByName(own.where(F.xxhash64("player_id") % 1000 == 0))
+
+
+def test_estimates_hold_in_every_month(spark):
+    rows = sides(spark, 2000, 100)
+    told = serve.approx_players(rows).collect()
+    assert len(told) == 100 and all(abs(r.players - 2000) <= 100 for r in told)
+    assert serve.approx_players(rows.withColumn("player_id", F.lit(None).cast("string"))).first().players == 0
+
+
+def test_tallies_are_exact_over_ranges(spark):
+    """Ranges with more players than a sketch tells apart or tracks."""
+    rows = sides(spark, 20_000, 3)
+    tallies = sketches.month_tallies(rows.unionByName(rows.withColumn("is_duplicate", F.lit(True))))
+    chosen = rows.where("month between '1910-01' and '1910-02'")
+    told = sketches.exact_players_over(tallies, "1910-01", "1910-02", by=("speed",)).first()
+    assert (told.speed, told.player_games, told.players) == ("blitz", chosen.count(), 40_000)
+    busiest = chosen.groupBy("player_id").count().orderBy(F.desc("count"), "player_id").limit(10)
+    assert [tuple(r) for r in sketches.exact_heaviest_over(tallies, "1910-01", "1910-02").collect()] == [tuple(r) for r in busiest.collect()]
+    assert sketches.exact_players_over(tallies, "1910-01", "1910-02", ["rapid"]).first().players == 0
+
+
 def test_lookups_open_the_files_that_may_have_a_value(store):
     rows = store.spark.range(3000).select(F.sha1(F.col("id").cast("string")).alias("key"), "id", F.concat(F.lit("2013-0"), (F.col("id") % 3 + 1).cast("string")).alias("month"))
     measures, rules = {"rows": F.count("*")}, [checks.not_empty()]
