@@ -26,6 +26,24 @@ def month_sketches(players: DataFrame) -> DataFrame:
     )
 
 
+def month_tallies(players: DataFrame) -> DataFrame:
+    """By month, speed and player: player_games, over player-games that count. Where a sketch's error will not do, these are
+    what months keep: a row a player, so they grow with the players, but they merge exactly over any range and any speeds."""
+    return once(players).groupBy("month", "speed", "player_id").agg(F.count("*").alias("player_games"))
+
+
+def exact_players_over(tallies: DataFrame, from_month: str, to_month: str, speeds: list[str] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """player_games, and how many players they have, over a range; null is no player."""
+    own = _chosen(tallies, from_month, to_month, speeds).groupBy(*by, "player_id").agg(F.sum("player_games").alias("player_games"))
+    return own.groupBy(*by).agg(F.sum("player_games").alias("player_games"), F.count("player_id").alias("players"))
+
+
+def exact_heaviest_over(tallies: DataFrame, from_month: str, to_month: str, k: int = 10, speeds: list[str] | None = None) -> DataFrame:
+    """The ``k`` players of most player-games over a range, ties to the lesser id."""
+    own = _chosen(tallies, from_month, to_month, speeds).groupBy("player_id").agg(F.sum("player_games").alias("player_games"))
+    return own.orderBy(F.desc("player_games"), F.asc_nulls_last("player_id")).limit(int(k))
+
+
 def _chosen(sketches: DataFrame, from_month: str, to_month: str, speeds: list[str] | None) -> DataFrame:
     rows = in_range(sketches, from_month, to_month)
     return rows.where(F.col("speed").isin(*speeds)) if speeds else rows
