@@ -31,6 +31,12 @@ SCHEMA = "value string, file string, start bigint"
 MANIFEST = "manifest.json"
 #: Bytes of a range, bytes read at once, records of an Arrow batch, games of a zstd frame.
 SPLIT_BYTES, READ_BYTES, BATCH_ROWS, FRAME_GAMES = 64 << 20, 4 << 20, 2000, 20_000
+#: Packed bytes read at once.
+PACKED_BYTES = 128 << 10
+#: Bytes first read beyond a range's end, for the end of its last game.
+READ_BEYOND = 4096
+#: Where there are more ranges, those that follow one another share a task, which has about SPLIT_BYTES at most.
+RANGE_TASKS = 256
 BLANKS = b" \t\r\n"
 BOUNDARY = re.compile(rb"\n[ \t\r]*\n\[")
 
@@ -81,9 +87,13 @@ def cut(chunks: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
         yield begin, held
 
 
-def read_on(f, at: int) -> Iterator[bytes]:
+def read_on(f, at: int, end: int) -> Iterator[bytes]:
+    """What lies from ``at`` to ``end``, and then, as little as may end a game, what lies behind."""
     f.seek(at)
-    while chunk := f.read(READ_BYTES):
+    beyond = READ_BEYOND
+    while chunk := f.read(min(READ_BYTES, end - at) if at < end else beyond):
+        beyond = min(READ_BYTES, 2 * beyond) if at >= end else beyond
+        at += len(chunk)
         yield chunk
 
 
@@ -98,7 +108,7 @@ def records_of_range(f, start: int, end: int) -> Iterator[tuple[int, bytes]]:
         base = low + kept
         if kept:
             break
-    for offset, record in cut(read_on(f, base)):
+    for offset, record in cut(read_on(f, base, end)):
         at = base + offset
         if at >= end:
             return
@@ -123,19 +133,24 @@ class Range(InputPartition):
     path: str
     start: int
     end: int
+    split: int = SPLIT_BYTES
 
 
 def ranges(root: str, files: list[tuple[str, int, int]], split: int) -> list[Range]:
+    """What tasks read: bytes of a file, to be read in ranges of ``split`` bytes. A task has one of them, or, where there would
+    be more than RANGE_TASKS, some that follow one another; so a small ``split`` makes no task for each few games."""
     scheme = re.match(r"^(?!file:)\w+://", root)
     named = [(f"{scheme[0]}{path}" if scheme else path, size) for path, size, _ in files]
-    return [Range(path, at, min(size, at + split)) for path, size in named for at in range(0, size, split)]
+    of_task = split * max(1, min(SPLIT_BYTES, sum(size for _, size in named) // RANGE_TASKS) // split)
+    return [Range(path, at, min(size, at + of_task), split) for path, size in named for at in range(0, size, of_task)]
 
 
 def read_range(part: Range) -> Iterator[pa.RecordBatch]:
     system, at = file_system(part.path)
     name = at.rpartition("/")[2]
     with system.open_input_file(at) as f:
-        rows = ((record.decode("utf-8", "replace"), name, start) for start, record in records_of_range(f, part.start, part.end) if record.strip())
+        found = (x for low in range(part.start, part.end, part.split) for x in records_of_range(f, low, min(part.end, low + part.split)))
+        rows = ((record.decode("utf-8", "replace"), name, start) for start, record in found if record.strip())
         yield from batches(rows, ["value", "file", "start"], [pa.string(), pa.string(), pa.int64()])
 
 

@@ -95,3 +95,45 @@ def test_frames_cut_anywhere(spark, tmp_path, step):
     assert sites(got) == sites(pgn.read_pgn(spark, str(tmp_path / "plain"), "m", "r"))
     with pytest.raises(ValueError, match="cut off"):
         list(pgnsource.frames(io.BytesIO(packed[:-8]), len(packed) - 8))
+
+
+class Counted(io.BytesIO):
+    """A file that tells how much was read of it."""
+
+    told = 0
+
+    def read(self, n=-1):
+        out = super().read(n)
+        self.told += len(out)
+        return out
+
+
+def test_small_ranges_read_little_and_share_tasks():
+    """A range reads about itself, not megabytes beyond it; a large input in small ranges is read by some hundred tasks."""
+    body = text(5000).encode()
+    f = Counted(body)
+    for at in range(0, len(body), 20_000):
+        list(pgnsource.records_of_range(f, at, min(len(body), at + 20_000)))
+    assert f.told < 2 * len(body)
+    files = [(f"/d/{i}", 10**9 + i, 0) for i in range(5)]
+    tasks = pgnsource.ranges("/d", files, 100_000)
+    assert len(tasks) < 2 * pgnsource.RANGE_TASKS and {t.split for t in tasks} == {100_000}
+    for path, size, _ in files:
+        own = [(t.start, t.end) for t in tasks if t.path == path]
+        assert own[0][0] == 0 and own[-1][1] == size and all(a[1] == b[0] and a[1] % 100_000 == 0 for a, b in zip(own, own[1:], strict=False))
+
+
+def test_ranges_of_a_task_have_each_game_once(tmp_path):
+    (tmp_path / "a.pgn").write_bytes(body := text(500).encode())
+    read = [r for b in pgnsource.read_range(pgnsource.Range(str(tmp_path / "a.pgn"), 0, len(body), 300)) for r in b.column(0).to_pylist()]
+    assert [x.encode() for x in read] == [r for _, r in pgnsource.cut([body])]
+
+
+def test_parsing_and_unpacking_go_a_little_at_once(spark, tmp_path, monkeypatch):
+    """A large batch is parsed in slices, and a frame that packs well comes out in pieces."""
+    assert pgn.PARSE_ROWS <= 2000
+    rows = spark.range(9000, numPartitions=1).select(F.concat(F.lit('[Site "s'), "id", F.lit('"]\n\n*')).alias("value"), (F.spark_partition_id() * 0).alias("mm_at"))
+    assert pgn.parse_games(rows).select("Site").distinct().count() == 9000
+    packed = zstandard.ZstdCompressor().compress(("[Site \"s\"]\n\n" + "1. e4 " * 50 + "\n\n").encode() * 40_000)
+    (tmp_path / "a.pgn.zst").write_bytes(packed)
+    assert pgn.read_pgn_zst(spark, str(tmp_path), "m", "r").count() == 40_000
