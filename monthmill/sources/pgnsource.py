@@ -338,7 +338,8 @@ def unpacked(index: DataFrame) -> DataFrame:
         def stream(f, at, size):
             f.seek(at)
             unpack = zstandard.ZstdDecompressor().decompressobj()
-            while size > 0 and (packed := f.read(min(size, READ_BYTES))):
+            # what comes of a read may be many times its size
+            while size > 0 and (packed := f.read(min(size, PACKED_BYTES))):
                 size -= len(packed)
                 yield unpack.decompress(packed)
 
