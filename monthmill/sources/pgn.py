@@ -30,6 +30,8 @@ TAG = re.compile(r'\[?(\w++)[ \t]*+("(?:[^"\\]++|\\.)*+"(?=[ \t]*\]?\Z)|.*?)[ \t
 #: Where a record that holds several games is cut, and a first line that is a tag though its separator took the bracket.
 CUT, BARE_TAG = re.compile(r"\n[ \t]*\n\["), re.compile(r"\w+(\s.*)?\]\Z", re.A)
 EXTRA = pa.map_(pa.string(), pa.string())
+#: Records that are parsed at once, as what the kernels make of them on the way is many times their size.
+PARSE_ROWS = 2000
 
 
 def unquoted(value: str) -> str:
@@ -117,7 +119,7 @@ def parse_games(records: DataFrame, value: str = "value") -> DataFrame:
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, PARSE_ROWS) for whole in batches for at in range(0, whole.num_rows, PARSE_ROWS)):
             held, raw, odd = batch.columns[:-1], batch.column(len(rest)), np.arange(batch.num_rows)
             try:
                 text = pc.replace_substring(pc.utf8_trim(pc.fill_null(raw.cast(pa.string()), ""), " \t\r\n"), "\r\n", "\n")
