@@ -83,9 +83,11 @@ def board_key(fen: Column) -> Column:
 
 
 def support(pairs: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(month, prefix_hash, move) played often enough, counted on hashes before anything wide moves."""
+    """(month, prefix_hash, move) played often enough, counted on hashes before anything wide moves; a row counts once, or as
+    its ``games`` tell."""
     keys = ["month", "prefix_hash", "move", *(["n"] if "n" in pairs.columns else [])]  # equal prefixes are of equal length
-    return pairs.groupBy(*keys).count().where(F.col("count") >= min_support).drop("count")
+    played = F.sum("games") if "games" in pairs.columns else F.count("*")
+    return pairs.groupBy(*keys).agg(played.alias("count")).where(F.col("count") >= min_support).drop("count")
 
 
 def kept_steps(rows: DataFrame, min_support: int = MIN_SUPPORT, stride: int = STRIDE, longest: int = MAX_STEPS) -> DataFrame:
@@ -96,10 +98,11 @@ def kept_steps(rows: DataFrame, min_support: int = MIN_SUPPORT, stride: int = ST
     tables of supported pairs are written, and joined back to the sequences at each stride's end; where they are small Spark
     broadcasts them, by their written size. rows should be a table, as each stride reads it.
     """
-    narrow, alive, found = rows.select("month", "steps"), F.lit(stride), []
+    weight = ["games"] if "games" in rows.columns else []
+    narrow, found = rows.select("month", "steps", *weight), []
     reached = rows.withColumn("mm_last", F.lit(stride))
     for done in range(0, longest, stride):
-        pairs = steps(narrow, done + 1, F.lit(done + stride)).select("month", "prefix_hash", "move", "n")
+        pairs = steps(narrow, done + 1, F.lit(done + stride)).select("month", "prefix_hash", "move", "n", *weight)
         table = written(support(pairs, min_support), "support")
         found.append(table.drop("n"))
         at = done + stride
@@ -167,6 +170,18 @@ def best_example() -> Column:
     return F.max(F.when(F.col("rating").isNotNull(), F.struct("rating", "game_id")))
 
 
+def equal_sequences(rows: DataFrame) -> DataFrame:
+    """rows, those with the same steps, month, speed and band as one with their counts (``games`` and so on), written.
+
+    The best example of a group is a struct, for which Spark sorts what it groups; so games are grouped here once, before each
+    becomes as many rows as it has steps, and what is sorted after that are different sequences."""
+    r = F.col("result")
+    merged = rows.groupBy("month", "speed", "rating_band", "steps").agg(
+        F.count("*").alias("games"), F.count_if(r == "white").alias("white_wins"), F.count_if(r == "draw").alias("draws"), F.count_if(r == "black").alias("black_wins"), F.count("rating").alias("rated_games"), F.sum("rating").alias("rating_sum"), best_example().alias("best")
+    )
+    return written(merged, "sequences")
+
+
 def _placed(rows: DataFrame, state: Callable | Replay | None) -> DataFrame:
     """rows with the position of their prefix; a function of prefixes sees each distinct one once."""
     if state is None:
@@ -180,24 +195,22 @@ def next_steps(rows: DataFrame, state_fn: Callable | Replay | None = None, min_s
     """By month, position, move, speed and band: games, results, rated games, the sum of their ratings, the best example.
 
     Pairs of a prefix and a move below ``min_support`` in a month are dropped before prefixes are merged; ``kept``: the steps
-    that have it, where they are known.
+    of :func:`equal_sequences` that have it, where they are known.
     """
-    kept = kept_steps(rows, min_support) if kept is None else kept
-    r = F.col("result")
-    cells = kept.groupBy("month", "prefix", "move", "speed", "rating_band").agg(
-        F.count("*").alias("games"), F.count_if(r == "white").alias("white_wins"), F.count_if(r == "draw").alias("draws"), F.count_if(r == "black").alias("black_wins"), F.count("rating").alias("rated_games"), F.sum("rating").alias("rating_sum"), best_example().alias("best")
-    )
+    kept = kept_steps(equal_sequences(rows), min_support) if kept is None else kept
+    sums = [F.sum(c).alias(c) for c in ("games", "white_wins", "draws", "black_wins", "rated_games")]
+    cells = kept.groupBy("month", "prefix", "move", "speed", "rating_band").agg(*sums, F.sum("rating_sum").alias("rating_sum"), F.max("best").alias("best"))
     if isinstance(state_fn, Replay):
         cells = written(cells, "cells")
     merged = _placed(cells, state_fn).where(F.col("position").isNotNull()).groupBy("month", "position", "move", "speed", "rating_band").agg(
-        *[F.sum(c).alias(c) for c in ("games", "white_wins", "draws", "black_wins", "rated_games")], F.coalesce(F.sum("rating_sum"), F.lit(0.0)).alias("rating_sum"), F.max("best").alias("best")
+        *sums, F.coalesce(F.sum("rating_sum"), F.lit(0.0)).alias("rating_sum"), F.max("best").alias("best")
     )
     return merged.select("*", F.col("best.game_id").alias("example_game_id"), F.col("best.rating").alias("example_rating")).drop("best")
 
 
 def pair_counts(rows: DataFrame, state_fn: Callable | Replay | None = None, min_support: int = MIN_SUPPORT, kept: DataFrame | None = None) -> DataFrame:
     """By month, how many distinct pairs of a prefix and a move have support, and of how many the prefix has no state."""
-    pairs = (kept_steps(rows, min_support) if kept is None else kept).select("month", "prefix", "move").distinct()
+    pairs = (kept_steps(equal_sequences(rows), min_support) if kept is None else kept).select("month", "prefix", "move").distinct()
     return _placed(pairs, state_fn).groupBy("month").agg(F.count("*").alias("pairs"), F.count_if(F.col("position").isNull()).alias("unplaced"))
 
 

@@ -108,6 +108,23 @@ def test_level_wise_support_keeps_what_one_pass_does(spark, stride):
     assert sorted(map(tuple, kept.select(order).collect())) == sorted(map(tuple, plain.select(order).collect()))
 
 
+def test_equal_sequences_are_grouped_before_their_steps_are_made(spark, monkeypatch):
+    """A thousand games of few sequences become steps as those few, and every figure is as if each game had been."""
+    rows = random_rows(spark, 60).crossJoin(spark.range(20)).withColumn("game_id", F.concat("game_id", F.lit("-"), "id")).drop("id").where("month = '2020-01'")
+    pairs = sequences.steps(rows)
+    kept = pairs.join(sequences.support(pairs, 5), ["month", "prefix_hash", "move"], "left_semi").withColumn("position", sequences.built_in_state(F.col("prefix")))
+    r = F.col("result")
+    cells = kept.groupBy("month", "position", "move", "speed", "rating_band").agg(
+        F.count("*"), F.count_if(r == "white"), F.count_if(r == "draw"), F.count_if(r == "black"), F.count("rating"), F.coalesce(F.sum("rating"), F.lit(0.0)), sequences.best_example()
+    )
+    made, steps = [], sequences.steps
+    monkeypatch.setattr(sequences, "steps", lambda rows, *a: made.append(rows.count()) or steps(rows, *a))
+    got = sequences.next_steps(rows)
+    order = lambda df: sorted(map(str, df.collect()))
+    assert order(got) == order(cells.toDF(*got.columns[:-2], "best").select("*", "best.game_id", "best.rating").drop("best").toDF(*got.columns))
+    assert max(made) * 10 <= rows.count()
+
+
 def test_steps_without_support_are_never_made(spark, monkeypatch):
     """The support passes make at most a third of all steps."""
     rows, made = random_rows(spark, 1000).where("size(steps) > 12"), []
