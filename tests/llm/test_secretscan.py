@@ -125,3 +125,10 @@ def test_edges(spark, odd_docs, no_docs, net):
     assert S.scan_secrets(odd_docs, None).agg(F.sum("n_hex")).first()[0] == 0
     with pytest.raises(ValueError):
         S.scan_secrets(odd_docs.withColumnRenamed("score", "spans"), net, keep=("spans",))
+
+
+def test_findings_and_calibration_take_all_documents(spark):
+    docs = spark.range(45_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("token = 0123456789ab"), F.col("id") % 50).alias("text"))
+    found = S.rule_findings(docs)
+    assert found.agg(F.sum("n")).first()[0] == 45_000
+    assert S.held_logits(found, S.CharNet.new()).where("kind = 0").agg(F.sum("n"), F.sum("weight")).first()[:] == (50, 45_000)
